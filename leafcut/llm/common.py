@@ -131,3 +131,30 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def held_out(doc_id: Column, of: int, remainder: int) -> Column:
+    """Whether the check sum of an identifier's digits puts its document aside; a missing identifier is not put aside."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % of == remainder, F.lit(False))
+
+
+def keep_rows(docs: DataFrame, column: str, passes) -> DataFrame:
+    """docs with the rows for which passes(values) is true, all columns as they were; nothing is shuffled. passes gets a list of values and gives as many booleans."""
+    import pyarrow as pa
+
+    schema, at = docs.schema, docs.columns.index(column)
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(passes(b.column(at).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, schema)
+
+
+def bounded(rows: DataFrame, key: Column, group: str, most: int, sizes: dict | None = None) -> DataFrame:
+    """Of each group about `most` rows, chosen by a hash of their key; all of them if there are fewer. For fitting models only."""
+    sizes = sizes if sizes is not None else {r[0]: r[1] for r in rows.groupBy(group).count().collect()}
+    part = F.lit(0.0)
+    for g, n in sizes.items():
+        part = F.when(F.col(group).eqNullSafe(F.lit(g)), min(1.0, most / n)).otherwise(part)
+    return rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < part * (1 << 20))

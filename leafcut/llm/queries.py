@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from leafcut.llm import exact_dedup, url_filter
+from leafcut.llm import exact_dedup, language_id, secrets_scan, url_filter
 from leafcut.llm.common import table
 
 
+def op4_language_id(spark, sf_dir):
+    return language_id.predict_held_out(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark, sf_dir):
+    return secrets_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op4_language_id, op7_exact_dedup, op8_secret_scan, op9_url_filter)}
 SQL = {"op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
