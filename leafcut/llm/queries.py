@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafcut.llm import exact_dedup, language_id, secrets_scan, url_filter
+from leafcut.llm import exact_dedup, language_id, secrets_scan, toxicity, url_filter
 from leafcut.llm.common import table
 
 
@@ -22,5 +22,9 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op4_language_id, op7_exact_dedup, op8_secret_scan, op9_url_filter)}
+def op10_toxicity(spark, sf_dir):
+    return toxicity.predict_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op4_language_id, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
 SQL = {"op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
