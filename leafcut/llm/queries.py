@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafcut.llm import exact_dedup, language_id, secrets_scan, toxicity, url_filter
+from leafcut.llm import exact_dedup, html_extract, language_id, secrets_scan, toxicity, url_filter
 from leafcut.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op4_language_id(spark, sf_dir):
     return language_id.predict_held_out(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extract(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -26,5 +30,5 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.predict_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op4_language_id, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op4_language_id, op5_html_extract, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
 SQL = {"op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
