@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from leafcut.llm import exact_dedup, html_extract, language_id, secrets_scan, toxicity, url_filter
+from leafcut.llm import exact_dedup, html_extract, language_id, ngram_join, secrets_scan, toxicity, url_filter
 from leafcut.llm.common import table
 
 
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark, sf_dir):
     return language_id.predict_held_out(table(spark, sf_dir, "documents"))
 
@@ -30,5 +34,5 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.predict_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op4_language_id, op5_html_extract, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
-SQL = {"op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op4_language_id, op5_html_extract, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
+SQL = {"op1_ngram_join": ngram_join.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
