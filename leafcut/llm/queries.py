@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafcut.llm import exact_dedup, html_extract, language_id, ngram_join, secrets_scan, toxicity, url_filter
+from leafcut.llm import decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_join, secrets_scan, toxicity, url_filter
 from leafcut.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_language_id(spark, sf_dir):
     return language_id.predict_held_out(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,10 @@ def op5_html_extract(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -34,5 +42,5 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.predict_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op4_language_id, op5_html_extract, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_mixing, op4_language_id, op5_html_extract, op6_decontaminate, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
 SQL = {"op1_ngram_join": ngram_join.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
