@@ -1,4 +1,46 @@
-STAGES = []
+"""From raw documents to a training mixture: five stages, each on all that the one before it kept."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from leafcut.llm import decontaminate, exact_dedup, language_id, mixing, ngram_join
+from leafcut.llm.common import stage, table
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is determined."""
+    return language_id.accepted(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One of each text."""
+    return exact_dedup.drop_exact(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One of each group of near duplicates."""
+    return ngram_join.one_of_each(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mixture uses, with their rate and number of copies."""
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+
+
+STAGES = [("language", language), ("exact", exact), ("near", near), ("benchmark", benchmark), ("mixture", mixture)]
+#: Trained stages can't be stated in SQL; tests hold them against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each written and read again before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
