@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafcut.llm import decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_join, secrets_scan, toxicity, url_filter
+from leafcut.llm import decontaminate, exact_dedup, html_extract, language_id, license_scan, mixing, ngram_join, secrets_scan, toxicity, url_filter
 from leafcut.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark, sf_dir):
+    return license_scan.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,5 +46,5 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.predict_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_mixing, op4_language_id, op5_html_extract, op6_decontaminate, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_license_scan, op3_mixing, op4_language_id, op5_html_extract, op6_decontaminate, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
 SQL = {"op1_ngram_join": ngram_join.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
