@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,16 +20,21 @@ class Result:
     classified: DataFrame
     summary: DataFrame
 
+    def release(self) -> None:
+        self.features.unpersist()
+        self.scores.unpersist()
+
 
 def run(pages: DataFrame, toc: DataFrame | None, vectors: DataFrame | None, types: DataFrame, phrases: DataFrame, prototypes: DataFrame | None = None, max_pages: int | None = None, exact_duplicates: bool = False) -> Result:
-    """pages follow the page contract; vectors are (doc_id, page_num, image_embedding, text_embedding). Nothing runs until a result is used."""
+    """pages follow the page contract; vectors are (doc_id, page_num, image_embedding, text_embedding). Nothing runs until a result is used; release() frees what was kept."""
     pages = features.capped(pages, max_pages)
-    f = features.page_features(pages, toc, exact_duplicates)
+    # Features and scores are read several times over; they are kept on disk where memory is short, and made again if an executor is lost.
+    f = features.page_features(pages, toc, exact_duplicates).persist(StorageLevel.MEMORY_AND_DISK)
     if vectors is None:
         vectors = f.select("doc_id", "page_num").limit(0).withColumns({"image_embedding": F.lit(None).cast("array<double>"), "text_embedding": F.lit(None).cast("array<double>")})
     v = f.filter("NOT is_blank").select("doc_id", "page_num").join(vectors, ["doc_id", "page_num"], "left")
     image, text = (similarity.flags(similarity.chain(v, c)) for c in ("image_embedding", "text_embedding"))
-    scores = scoring.page_scores(scoring.with_flags(f, image, text))
+    scores = scoring.page_scores(scoring.with_flags(f, image, text)).persist(StorageLevel.MEMORY_AND_DISK)
     index = scoring.segment_index(scores)
     inputs = classify.segment_inputs(f, index, pages.select("doc_id", "page_num", "text"))
     cents = None

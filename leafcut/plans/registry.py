@@ -39,7 +39,7 @@ def _flags(spark, d, f):
 
 
 def _scores(spark, d):
-    f = _features(spark, d)
+    f = _features(spark, d).persist()
     g = _flags(spark, d, f)
     return scoring.page_scores(scoring.with_flags(f, g, g)), f
 
@@ -340,9 +340,6 @@ def a10_j06_n09_prototypes(spark, d):
     return classify.nearest_prototype(_groups(spark, d), A.prototypes(spark, d), "g").select("g", "type_id", F.round("mean_sim", 9).alias("mean_sim"))
 
 
-_T10 = {"a": "t0", "b": "t3"}
-
-
 @query("SELECT DISTINCT 't' || (vec_id % 4) AS type_id FROM embeddings WHERE vec_id < 20 AND vec_id % 4 IN (0, 3)")
 def s06_j10_known_prototypes(spark, d):
     known = spark.createDataFrame([("t0",), ("t3",), ("t9",)], "type_id string")
@@ -352,7 +349,6 @@ def s06_j10_known_prototypes(spark, d):
 @query("SELECT event_type AS type_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS k FROM events) WHERE k <= 20")
 def k04_l06_last_prototypes(spark, d):
     e = A.table(spark, d, "events").select(F.col("event_type").alias("type_id"), F.col("event_id").alias("ord"), F.array(F.col("event_id").cast("double")).alias("vec"))
-    half = F.col("ord") % 1000 < 500
     kept = classify.keep_prototypes(e.filter("ord < 500"), e.filter("ord >= 500"))
     return kept.select("type_id", F.get("vec", F.lit(0)).cast("long").alias("event_id"))
 

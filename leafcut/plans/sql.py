@@ -119,7 +119,7 @@ FOLD AS (
                 coalesce(d.format_label <> d.prev_label, false) AND list_contains(f.s_labels, d.format_label) AS ret, d.region || '/' || d.kind AS scheme,
                 CASE WHEN d.cur IS NOT NULL THEN d.cur WHEN d.bare_n = f.s_cur + 1 THEN d.bare_n END AS number, CASE WHEN d.cur IS NOT NULL AND d.kind = 'total' THEN d.total ELSE f.s_total END AS of_,
                 f.s_cur, f.s_total, f.s_scheme, f.s_title, f.s_page, f.s_labels, f.s_seen
-              FROM D d JOIN FOLD f ON d.doc_id = f.doc_id AND d.page_num = f.page_num + 1)))))))),
+              FROM D d JOIN FOLD f ON d.doc_id = f.doc_id AND d.page_num = f.page_num + 1))))))),
 FE AS MATERIALIZED (SELECT D.*, number AS page_num_found, CASE WHEN number IS NOT NULL THEN of_ END AS page_total_found, reset AS numbering_reset, fresh AS numbering_fresh_start, other AS numbering_scheme_changed,
     repeated AS bookmark_suppressed, mark AS has_l1_bookmark, changed AS format_changed, ret AS format_returning, CASE WHEN mark THEN title END AS bookmark_title, level AS bookmark_level FROM D JOIN FOLD f USING (doc_id, page_num))"""
 
