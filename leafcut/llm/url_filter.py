@@ -73,7 +73,7 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) ->
     # Rules are judged for every alias, targets that are not pages included.
     _, by = rule_for(host_of(F.col("node")), path_of(F.col("node")), rules)
     told = node.withColumn("by", by).groupBy("component").agg(F.max(F.col("by") == "allow").alias("allowed"), F.max(F.col("by") == "block").alias("blocked"))
-    sized = node.join(told, "component").select(F.col("node").alias("_node"), F.when(F.coalesce("allowed", F.lit(False)), "allow").when("blocked", "block").otherwise("allow").alias("_alias"))
+    sized = node.join(told, "component").select(F.col("node").alias("_node"), F.when(F.coalesce("allowed", F.lit(False)), "allow").when(F.col("blocked"), "block").otherwise("allow").alias("_alias"))
     rows = ruled.withColumn("_node", address(F.col("url")))
     open_, rest = rows.filter("own IS NULL AND _node IS NOT NULL"), rows.filter("own IS NOT NULL OR _node IS NULL")
     sized = stage(sized.join(open_.groupBy("_node").agg(F.count("*").alias("_n")), "_node"), "verdicts")
