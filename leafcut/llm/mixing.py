@@ -42,7 +42,8 @@ def domain(labels: DataFrame) -> DataFrame:
 def _features(docs: DataFrame, *more: str) -> DataFrame:
     """Rows (doc_id, more, tokens, f) of each word's letters, beginning and ending; a first row for each document has its tokens and the empty feature."""
     words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    each = docs.select("doc_id", *more, F.explode(F.concat(F.array(F.lit("")), words)).alias("w"), F.size(words).alias("n"))
+    # Words are counted before they are taken apart, so that no row carries its whole text along.
+    each = docs.select("doc_id", *more, words.alias("ws")).select("doc_id", *more, "ws", F.size("ws").alias("n")).select("doc_id", *more, "n", F.explode(F.concat(F.array(F.lit("")), F.col("ws"))).alias("w"))
     letters = F.regexp_replace(F.lower("w"), r"[^\p{L}]+", "")
     parts = F.when(F.col("w") == "", F.array(F.lit(""))).otherwise(F.array(F.concat(F.lit("="), letters), F.concat(F.lit("<"), F.left(letters, F.lit(5))), F.concat(F.lit(">"), F.right("w", F.lit(2)))))
     return each.select("doc_id", *more, F.when(F.col("w") == "", F.col("n")).otherwise(0).alias("tokens"), F.explode(parts).alias("f"))
