@@ -43,15 +43,16 @@ def is_upper(c: Column) -> Column:
     return c.rlike(r"\p{Lu}") & ~c.rlike(r"\p{Ll}")
 
 
-def title_anchor(text: Column) -> Column:
-    hit = F.filter(F.slice(lines(text), 1, 3), lambda x: x.rlike(ANCHOR) & is_upper(x))
+def title_anchor(text: Column, ls: Column | None = None) -> Column:
+    """ls, here and below: the text's lines, if a column has them already."""
+    hit = F.filter(F.slice(lines(text) if ls is None else ls, 1, 3), lambda x: x.rlike(ANCHOR) & is_upper(x))
     return F.substring(first(hit), 1, 80)
 
 
-def correspondence(text: Column) -> Column:
+def correspondence(text: Column, ls: Column | None = None) -> Column:
     """Sorted distinct header labels among the first 15 lines; null for fewer than two."""
     name = lambda x: F.when(x.rlike(MEMO), F.upper(F.regexp_extract(x, MEMO, 1))).when(x.rlike(MEMO_WORD), F.lit("MEMORANDUM"))
-    got = F.array_sort(F.array_distinct(F.filter(F.transform(F.slice(lines(text), 1, 15), name), lambda x: x.isNotNull())))
+    got = F.array_sort(F.array_distinct(F.filter(F.transform(F.slice(lines(text) if ls is None else ls, 1, 15), name), lambda x: x.isNotNull())))
     return F.when(F.size(got) >= 2, got)
 
 
@@ -59,7 +60,7 @@ def _small(x: Column) -> Column:
     return x.try_cast("long").between(0, LARGEST_PAGE)
 
 
-def numbering_total(text: Column) -> Column:
+def numbering_total(text: Column, ls: Column | None = None) -> Column:
     """(cur, total) of the first line that says page X of Y or pg X/Y, X at most 999."""
     def one(x: Column) -> Column:
         out = F.lit(None)
@@ -68,10 +69,10 @@ def numbering_total(text: Column) -> Column:
             out = F.when(x.rlike(p) & _small(cur), F.struct(cur.try_cast("long").alias("cur"), F.regexp_extract(x, p, 2).try_cast("long").alias("total"))).otherwise(out)
         return out
 
-    return first(F.filter(F.transform(lines(text), one), lambda x: x.isNotNull()))
+    return first(F.filter(F.transform(lines(text) if ls is None else ls, one), lambda x: x.isNotNull()))
 
 
-def numbering_bare(text: Column) -> Column:
+def numbering_bare(text: Column, ls: Column | None = None) -> Column:
     def one(x: Column) -> Column:
         out = F.lit(None).cast("long")
         for p in reversed(BARE):
@@ -79,12 +80,12 @@ def numbering_bare(text: Column) -> Column:
             out = F.when(x.rlike(p) & _small(n), n.try_cast("long")).otherwise(out)
         return out
 
-    return first(F.filter(F.transform(lines(text), one), lambda x: x.isNotNull()))
+    return first(F.filter(F.transform(lines(text) if ls is None else ls, one), lambda x: x.isNotNull()))
 
 
-def numbering_split(text: Column) -> Column:
+def numbering_split(text: Column, ls: Column | None = None) -> Column:
     """The number on the line after a line that is only a page label."""
-    ls = lines(text)
+    ls = lines(text) if ls is None else ls
     pairs = F.arrays_zip(ls.alias("l"), F.slice(ls, 2, 100_000).alias("n"))
     hit = F.filter(pairs, lambda x: x["l"].rlike(LABEL) & F.coalesce(x["n"], F.lit("")).rlike(LABEL_VALUE) & F.coalesce(_small(x["n"]), F.lit(False)))
     return first(hit)["n"].try_cast("long")
@@ -93,32 +94,42 @@ def numbering_split(text: Column) -> Column:
 BANDS = ("0.12", "0.20", "0.30")
 
 
-def labeled_numbering(bands: Column) -> Column:
-    """(cur, total, region, kind) of the first band, footer before header, total before split label; a split label leaves total to the page before."""
+def band_lines(bands: Column) -> dict[tuple[str, str], Column]:
+    return {(b, r): lines(bands[b][r]) for b in BANDS for r in ("footer", "header")}
+
+
+def _named(region: str, kind: str):
+    def one(n: Column) -> Column:
+        cur, total = (n["cur"], n["total"]) if kind == "total" else (n, F.lit(None).cast("long"))
+        return F.struct(cur.alias("cur"), total.alias("total"), F.lit(region).alias("region"), F.lit(kind).alias("kind"))
+
+    return one
+
+
+def labeled_numbering(ls: dict[tuple[str, str], Column]) -> Column:
+    """(cur, total, region, kind) of the first band, footer before header, total before split label; a split label leaves total to the page before. ls: lines by band and region, as band_lines() gives them."""
     tries = []
     for b in BANDS:
         for kind in ("total", "split"):
             for region in ("footer", "header"):
-                t = bands[b][region]
-                n = numbering_total(t) if kind == "total" else numbering_split(t)
-                cur, total = (n["cur"], n["total"]) if kind == "total" else (n, F.lit(None).cast("long"))
-                tries.append(F.when(n.isNotNull(), F.struct(cur.alias("cur"), total.alias("total"), F.lit(region).alias("region"), F.lit(kind).alias("kind"))))
+                found = numbering_total(F.lit(None), ls[b, region]) if kind == "total" else numbering_split(F.lit(None), ls[b, region])
+                got = F.transform(F.array_compact(F.array(found)), _named(region, kind))
+                tries.append(first(got))
     return F.coalesce(*tries)
 
 
-def bare_candidate(bands: Column) -> Column:
+def bare_candidate(ls: dict[tuple[str, str], Column]) -> Column:
     """The bare number of the footer, else of the header, in the narrowest band; zero in the footer is as good as none."""
-    foot, head = (numbering_bare(bands[BANDS[0]][r]) for r in ("footer", "header"))
-    return F.when(F.coalesce(foot, F.lit(0)) != 0, foot).otherwise(head)
+    foot, head = (numbering_bare(F.lit(None), ls[BANDS[0], r]) for r in ("footer", "header"))
+    return F.coalesce(F.nullif(foot, F.lit(0).cast("long")), head)
 
 
-def letterhead(bands: Column) -> Column:
+def letterhead(ls: dict[tuple[str, str], Column]) -> Column:
     tries = []
     for b in BANDS:
         for region in ("header", "footer"):
-            ls = lines(bands[b][region])
-            block = F.array_join(F.slice(ls, 1, 8), " ")
-            tries.append(F.when(block.rlike(ADDRESS) | block.rlike(PHONE) | block.rlike(WEB), block))
+            block = F.array(F.array_join(F.slice(ls[b, region], 1, 8), " "))
+            tries.append(first(F.filter(block, lambda x: x.rlike(ADDRESS) | x.rlike(PHONE) | x.rlike(WEB))))
     return F.coalesce(*tries)
 
 

@@ -61,11 +61,15 @@ def detected(pages: DataFrame, toc: DataFrame | None = None, exact_duplicates: b
         marked = pages.join(bookmark_map(toc), ["doc_id", "page_num"], "left")
     t, w, h = F.coalesce("text", F.lit("")), F.col("width"), F.col("height")
     d = F.col("drawing_count")
+    # Lines are columns of their own, so that each text is cut once however many detectors read it.
+    cut = {("", ""): "_lines", **{k: f"_lines_{i}" for i, k in enumerate(text.band_lines(F.col("bands")))}}
+    marked = marked.withColumns({cut["", ""]: text.lines(t), **{cut[k]: v for k, v in text.band_lines(F.col("bands")).items()}})
+    own, ls = F.col("_lines"), {k: F.col(v) for k, v in cut.items()}
     local = marked.withColumns({
-        "is_blank": layout.is_blank(t, F.col("image_area"), w, h, d), "format_label": layout.page_format(w, h), "title_anchor": text.title_anchor(t), "correspondence_labels": text.correspondence(t),
-        "text_char_count": F.length(t), "text_density": layout.text_density(t, w, h), "is_drawing": layout.is_drawing(w, h, d, F.col("image_infos")), "block": text.letterhead(F.col("bands")),
-        "labeled": text.labeled_numbering(F.col("bands")), "bare": text.bare_candidate(F.col("bands")),
-    })
+        "is_blank": layout.is_blank(t, F.col("image_area"), w, h, d), "format_label": layout.page_format(w, h), "title_anchor": text.title_anchor(t, own), "correspondence_labels": text.correspondence(t, own),
+        "text_char_count": F.length(t), "text_density": layout.text_density(t, w, h), "is_drawing": layout.is_drawing(w, h, d, F.col("image_infos")), "block": text.letterhead(ls),
+        "labeled": text.labeled_numbering(ls), "bare": text.bare_candidate(ls),
+    }).drop(*cut.values())
     prev_d, prev_t = F.lag("drawing_count").over(by_page()), F.lag(t).over(by_page())
     back = local.withColumns({
         "prev_label": F.lag("format_label").over(by_page()), "prev_text": prev_t,

@@ -103,7 +103,7 @@ def f05_f06_headers(spark, d):
 
 @query(_DT + "SELECT doc_id, page_num, block AS letterhead FROM D WHERE block IS NOT NULL")
 def f08_letterhead(spark, d):
-    return A.raw_pages(spark, d).select("doc_id", "page_num", text.letterhead(F.col("bands")).alias("letterhead")).filter("letterhead IS NOT NULL")
+    return A.raw_pages(spark, d).select("doc_id", "page_num", text.letterhead(text.band_lines(F.col("bands"))).alias("letterhead")).filter("letterhead IS NOT NULL")
 
 
 @query(_DT + "SELECT doc_id, page_num FROM D WHERE is_drawing")
