@@ -22,16 +22,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafcut.llm.common import attach, components, id_filter, maybe_in, mix, stage, unstage
+from leafcut.llm.common import attach, components, id_filter, maybe_in, mix, release, stage, unstage
 
 WORDS = 5
-#: Shingles that a task meets in so many documents count as frequent; they only change the order, never the result.
-FREQUENT, MEMTABLE, ORDER_BITS = 3, 4_000_000, 22
+#: Shingles that a memtable meets in FREQUENT documents are counted, and those with a count of KNOWN come last; this only changes the order, never the result.
+FREQUENT, KNOWN, MEMTABLE, ORDER_BITS = 2, 8, 2_000_000, 22
 #: From so many documents (a power of two) a shingle's rows are spread over several tasks.
 SPREAD = 12
 FRAGMENTS = 4
+#: Parts of the global order whose sizes bound an overlap from above before it is counted.
+BINS = 128
 HUB_ROUNDS = 3
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
@@ -86,21 +88,41 @@ def _key(s: np.ndarray) -> bytes:
     return np.array([mix(s).sum(), np.bitwise_xor.reduce(mix(s + _BASE)), len(s)], np.uint64).tobytes()
 
 
+def _sizes(s: np.ndarray) -> bytes | None:
+    """How many shingles a set has in each of BINS parts; none if a part holds more than a byte can say."""
+    n = np.bincount((s >> np.uint64(64 - (BINS - 1).bit_length())).astype(np.int64), minlength=BINS)
+    return n.astype(np.uint8).tobytes() if len(s) and n.max() < 256 else None
+
+
+def _may_link(batches):
+    """Of pairs with the sizes of their parts, those whose overlap could reach the threshold; parts of unknown size bound nothing."""
+    for b in batches:
+        ok = np.ones(b.num_rows, bool)
+        both = np.flatnonzero(b.column(4).is_valid().to_numpy(zero_copy_only=False) & b.column(5).is_valid().to_numpy(zero_copy_only=False))
+        if len(both):
+            x, y = (np.frombuffer(b"".join(b.column(i).take(pa.array(both)).to_pylist()), np.uint8).reshape(-1, BINS) for i in (4, 5))
+            na, nb = (b.column(i).to_numpy(zero_copy_only=False)[both] for i in (2, 3))
+            most = np.minimum(x, y).sum(1, dtype=np.int64)
+            ok[both] = 100 * most >= 80 * (na + nb - most)
+        yield b.select(["a", "b", "na", "nb"]).filter(pa.array(ok))
+
+
 def _scan(batches):
-    """Size and key of each document's set, and the shingles that are frequent among a task's documents."""
+    """Size, key and part sizes of each document's set, and the shingles that are frequent among a task's documents."""
     held, size = [], 0
 
     def flush():
         h, c = np.unique(np.concatenate(held), return_counts=True)
         h, c = h[c >= FREQUENT], c[c >= FREQUENT]
         n = len(h)
-        return pa.record_batch([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["doc_id", "n", "key", "h", "c"])
+        return pa.record_batch([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["doc_id", "n", "key", "parts", "h", "c"])
 
     for b in batches:
-        n, key = [], []
+        n, key, parts = [], [], []
         for s in shingle_sets(b.column(1)):
             n.append(len(s))
             key.append(_key(s))
+            parts.append(_sizes(s))
             if len(s):
                 held.append(s)
                 size += len(s)
@@ -108,7 +130,7 @@ def _scan(batches):
                 yield flush()
                 held, size = [], 0
         none = pa.nulls(len(n), pa.int64())
-        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), none, none], ["doc_id", "n", "key", "h", "c"])
+        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(parts, pa.binary()), none, none], ["doc_id", "n", "key", "parts", "h", "c"])
     if held:
         yield flush()
 
@@ -121,7 +143,7 @@ def _prefixes(shared):
     """(h, salt, doc, n2) for the prefix of each set; n2 is twice the size, plus one inside the shorter prefix that suffices for the smaller document of a pair."""
 
     def run(batches):
-        levels, chosen = shared.value
+        levels, chosen = (x.value for x in shared)
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             take = np.flatnonzero(maybe_in(chosen, ids))
@@ -167,7 +189,7 @@ def _groups(batches):
             elif (g := int(sign[i])) not in seen:
                 seen.add(g)
                 fresh[i] = True
-        if len(seen) > 2_000_000:
+        if len(seen) > 200_000:
             seen.clear()
         rows = np.flatnonzero(fresh[order])
         return pa.record_batch([pa.array(gid[order][rows]), pa.array(doc[rows]), pa.array(n2[rows])], ["g", "doc", "n2"])
@@ -192,7 +214,7 @@ def _segments(shared):
     """(doc, frag, els): each chosen document's set, cut by the fragments of the global order."""
 
     def run(batches):
-        levels, chosen = shared.value
+        levels, chosen = (x.value for x in shared)
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             take = np.flatnonzero(maybe_in(chosen, ids))
@@ -229,21 +251,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scanned = stage(docs.mapInArrow(_scan, "doc_id long, n long, key binary, h long, c long"), "sets")
+    scanned = stage(docs.mapInArrow(_scan, "doc_id long, n long, key binary, parts binary, h long, c long"), "sets")
     rows = scanned.filter("key IS NOT NULL").select("doc_id", "n", "key")
     sets = stage(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")), "classes")
-    frequent = scanned.filter("h IS NOT NULL").groupBy("h").agg(F.sum("c").alias("c")).groupBy(F.col("h").bitwiseAND(F.lit((1 << ORDER_BITS) - 1)).alias("p")).agg(F.floor(F.log2(F.max("c"))).cast("int").alias("level")).toPandas()
+    frequent = scanned.filter("h IS NOT NULL").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= KNOWN).groupBy(F.col("h").bitwiseAND(F.lit((1 << ORDER_BITS) - 1)).alias("p")).agg(F.floor(F.log2(F.max("c"))).cast("int").alias("level")).toPandas()
     levels = np.zeros(1 << ORDER_BITS, np.uint8)  # a table of fixed size, however large the corpus
     levels[frequent["p"].to_numpy(np.int64)] = frequent["level"].to_numpy(np.uint8)
 
     known = docs.filter("doc_id IS NOT NULL")
-    chosen = spark.sparkContext.broadcast((levels, id_filter(sets.filter("rep IS NOT NULL").select("rep"))))
-    prefixes = known.mapInArrow(_prefixes(chosen), "h long, salt long, doc long, n2 long")
+    levels = spark.sparkContext.broadcast(levels)
+    chosen = spark.sparkContext.broadcast(id_filter(sets.filter("rep IS NOT NULL").select("rep")))
+    prefixes = known.mapInArrow(_prefixes((levels, chosen)), "h long, salt long, doc long, n2 long")
     sorted_ = prefixes.repartition("h", "salt").sortWithinPartitions("h", "salt", "n2", "doc")
     grouped = sorted_.mapInArrow(_groups, "g long, doc long, n2 long").withColumn("n", F.expr("n2 div 2"))
     groups = stage(grouped.groupBy("g", "doc", "n").agg(F.max(F.expr("n2 % 2")).alias("short")), "groups")
-    needed = spark.sparkContext.broadcast((levels, id_filter(groups.select("doc").distinct())))
-    segments = stage(known.mapInArrow(_segments(needed), "doc long, frag int, els array<long>"), "segments")
+    parts = stage(scanned.filter("key IS NOT NULL").select(F.col("doc_id").alias("doc"), "parts").join(groups.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "parts")
 
     links, tried, found = None, None, None
     turn = 0
@@ -272,15 +294,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             if tried is not None:
                 pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
-        good = stage(_verified(pairs, segments), "links")
+        bounds = pairs.join(parts.select(F.col("doc").alias("a"), F.col("parts").alias("pa")), "a").join(parts.select(F.col("doc").alias("b"), F.col("parts").alias("pb")), "b")
+        near_ = stage(bounds.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_may_link, "a long, b long, na long, nb long"), "near")
+        needed = spark.sparkContext.broadcast(id_filter(near_.select(F.explode(F.array("a", "b")).alias("doc")).distinct()))
+        segments = stage(known.mapInArrow(_segments((levels, needed)), "doc long, frag int, els array<long>"), "segments")
+        good = stage(_verified(near_, segments), "links")
+        unstage(segments, near_)
+        needed.destroy()
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = good if links is None else links.unionByName(good)
         if turn == 0 or not good.isEmpty():
             found = stage(components(links, "a", "b"), "components")
         unstage(now)
+        release(spark)
         # A round without new pairs ends the rounds; the last turn, over all that is left, always comes.
         turn = max(turn + 1, HUB_ROUNDS) if turn < HUB_ROUNDS and pairs.isEmpty() else turn + 1
-    unstage(segments, groups)
+    unstage(groups, parts)
 
     known_sets = sets.join(found, sets["rep"] == found["node"], "left").select("key", "size", F.coalesce("component", "rep").alias("component_id"))
     full = attach(rows.filter("n > 0"), stage(known_sets, "answers"), "key", "size", max(1, rows.count()))
