@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -60,6 +61,12 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int)
     return split.filter("_hot").drop("_hot").unionByName(cold)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of frames that nothing refers to any more, between the rounds of an iteration."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
