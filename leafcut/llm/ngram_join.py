@@ -26,13 +26,14 @@ from leafcut.llm.common import attach, components, id_filter, maybe_in, mix, rel
 
 WORDS = 5
 #: Shingles that a memtable meets in FREQUENT documents are counted, and those with a count of KNOWN come last; this only changes the order, never the result.
-FREQUENT, KNOWN, MEMTABLE, ORDER_BITS = 2, 8, 2_000_000, 22
+FREQUENT, KNOWN, MEMTABLE, ORDER_BITS = 2, 8, 8_000_000, 22
 #: From so many documents (a power of two) a shingle's rows are spread over several tasks.
 SPREAD = 12
 FRAGMENTS = 4
-#: Parts of the global order whose sizes bound an overlap from above before it is counted.
-BINS = 128
-HUB_ROUNDS = 3
+#: Least and most bits of a set's parity map, which bounds an overlap from above before it is counted; between them a map has a bit a shingle or more.
+LEAST_BITS, MOST_BITS = 512, 1 << 15
+#: Rounds of hubs before all remaining candidates are compared, and hubs of each group outside its largest component.
+HUB_ROUNDS, HUBS = 3, 3
 _CHUNK = 1 << 19
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -88,27 +89,32 @@ def _key(s: np.ndarray) -> bytes:
     return np.array([mix(s).sum(), np.bitwise_xor.reduce(mix(s + _BASE)), len(s)], np.uint64).tobytes()
 
 
-def _sizes(s: np.ndarray) -> bytes | None:
-    """How many shingles a set has in each of BINS parts; none if a part holds more than a byte can say."""
-    n = np.bincount((s >> np.uint64(64 - (BINS - 1).bit_length())).astype(np.int64), minlength=BINS)
-    return n.astype(np.uint8).tobytes() if len(s) and n.max() < 256 else None
+def _parity(s: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of shingles end in i. Sets that differ in few shingles differ in no more bits."""
+    bits = min(max(LEAST_BITS, 1 << (len(s) - 1).bit_length()), MOST_BITS)
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
 def _may_link(batches):
-    """Of pairs with the sizes of their parts, those whose overlap could reach the threshold; parts of unknown size bound nothing."""
+    """Of pairs with their parity maps, those whose overlap could reach the threshold; the wider map is folded to the width of the other."""
     for b in batches:
-        ok = np.ones(b.num_rows, bool)
-        both = np.flatnonzero(b.column(4).is_valid().to_numpy(zero_copy_only=False) & b.column(5).is_valid().to_numpy(zero_copy_only=False))
-        if len(both):
-            x, y = (np.frombuffer(b"".join(b.column(i).take(pa.array(both)).to_pylist()), np.uint8).reshape(-1, BINS) for i in (4, 5))
-            na, nb = (b.column(i).to_numpy(zero_copy_only=False)[both] for i in (2, 3))
-            most = np.minimum(x, y).sum(1, dtype=np.int64)
-            ok[both] = 100 * most >= 80 * (na + nb - most)
-        yield b.select(["a", "b", "na", "nb"]).filter(pa.array(ok))
+        na, nb = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+        maps = [b.column(i) for i in (4, 5)]
+        wide = np.stack([pc.binary_length(m).to_numpy(zero_copy_only=False) for m in maps])
+        differ = np.zeros(b.num_rows, np.int64)
+        for width in np.unique(wide, axis=1).T:
+            at = np.flatnonzero((wide == width[:, None]).all(0))
+            x, y = (np.frombuffer(b"".join(m.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1) for m in maps)
+            least = int(width.min())
+            x, y = (np.bitwise_xor.reduce(z.reshape(len(at), -1, least), axis=1) for z in (x, y))
+            differ[at] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+        most = (na + nb - differ) // 2
+        yield b.select(["a", "b", "na", "nb"]).filter(pa.array(100 * most >= 80 * (na + nb - most)))
 
 
 def _scan(batches):
-    """Size, key and part sizes of each document's set, and the shingles that are frequent among a task's documents."""
+    """Size, key and parity map of each document's set, and the shingles that are frequent among a task's documents."""
     held, size = [], 0
 
     def flush():
@@ -122,7 +128,7 @@ def _scan(batches):
         for s in shingle_sets(b.column(1)):
             n.append(len(s))
             key.append(_key(s))
-            parts.append(_sizes(s))
+            parts.append(_parity(s) if len(s) else None)
             if len(s):
                 held.append(s)
                 size += len(s)
@@ -243,6 +249,11 @@ def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap")).filter("100 * overlap >= 80 * (na + nb - overlap)").select("a", "b", "overlap")
 
 
+def _first(turn: int, i: int):
+    """The document of the smallest hash, with its size; after the first turn each group has its own hash, so that a document meets several hubs."""
+    return F.min(F.struct(F.hash("doc", F.lit(turn * (HUBS + 1) + i), *([F.col("g")] if turn else [])).alias("x"), F.col("doc").alias("a"), F.col("n").alias("na")))
+
+
 def _fits(n: str, m: str) -> str:
     return f"5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
 
@@ -275,19 +286,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             now = groups.join(found, groups["doc"] == found["node"], "left").select(*groups.columns, F.coalesce("component", "doc").alias("c"))
         # Groups that lie within one component have nothing more to tell.
         now = stage(now, "rows")
-        hub = F.min(F.struct(F.hash("doc", F.lit(turn)).alias("x") if turn else F.col("n").cast("int").alias("x"), F.col("doc").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")))
-        sums = now.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), hub.alias("hub")).filter("lo <> hi")
+        per = now.groupBy("g", "c").agg(F.count("*").alias("k"), *(_first(turn, i).alias(f"h{i}") for i in range(HUBS + 1)))
+        main = per.groupBy("g").agg(F.max(F.struct("k", "c", F.col("h0.a").alias("a"), F.col("h0.na").alias("na"))).alias("m"), F.count("*").alias("parts")).filter("parts > 1").select("g", F.col("m.c").alias("main"), F.struct("m.a", "m.na", F.col("m.c").alias("ca"), F.lit(0).alias("kind")).alias("m0"))
         if turn < HUB_ROUNDS:
-            near = now.join(sums.select("g", "hub.*"), "g").filter(f"c <> ca AND {_fits('n', 'na')}")
-            near = near.select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b"), F.when(F.col("a") < F.col("doc"), F.col("na")).otherwise(F.col("n")).alias("na"), F.when(F.col("a") < F.col("doc"), F.col("n")).otherwise(F.col("na")).alias("nb"), "doc")
-            near = near.groupBy("a", "b", "na", "nb", "doc").agg(F.count("*").alias("k"))
+            # Rows outside a group's largest component, against a hub of that component and some from outside it.
+            rest = [F.min(F.struct(F.col(f"h{i}.x").alias("x"), F.col(f"h{i}.a").alias("a"), F.col(f"h{i}.na").alias("na"), F.col("c").alias("ca"))).alias(f"r{i}") for i in range(1, HUBS + 1)]
+            hubs = per.join(main, "g").filter("c <> main").groupBy("g", "main", "m0").agg(*rest)
+            hubs = hubs.select("g", "main", F.array("m0", *(F.struct(f"r{i}.a", f"r{i}.na", f"r{i}.ca", F.lit(i).alias("kind")) for i in range(1, HUBS + 1))).alias("hubs"))
+            near = now.join(hubs, "g").filter("c <> main").select("doc", "n", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'na')}")
+            near = near.groupBy("doc", "n", "a", "na", "kind").agg(F.count("*").alias("k")).withColumnsRenamed({"a": "x", "na": "nx"})
+            near = near.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"), F.when(F.col("x") < F.col("doc"), F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(F.col("x") < F.col("doc"), F.col("n")).otherwise(F.col("nx")).alias("nb"), "doc", "kind", "k")
             if tried is not None:
                 near = near.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-            pairs = near.groupBy("doc").agg(F.max(F.struct("k", "a", "b", "na", "nb")).alias("p")).select("p.a", "p.b", "p.na", "p.nb").distinct()
+            # The first turn takes the hub that shares most groups with a document, later ones all hubs it meets.
+            pairs = near.select("a", "b", "na", "nb").distinct() if turn else near.groupBy("doc", "kind").agg(F.max(F.struct("k", "a", "b", "na", "nb")).alias("p")).select("p.a", "p.b", "p.na", "p.nb").distinct()
         else:
             # All candidate pairs across components: rows outside a group's largest component, against all rows.
-            main = now.join(sums.select("g"), "g").groupBy("g", "c").agg(F.count("*").alias("k")).groupBy("g").agg(F.max(F.struct("k", "c")).alias("m")).select("g", F.col("m.c").alias("main"))
-            open_ = now.join(main, "g")
+            open_ = now.join(main.select("g", "main"), "g")
             few = open_.filter("c <> main").select("g", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("short").alias("sx"), F.col("c").alias("cx"))
             met = few.join(open_, "g").filter(f"c <> cx AND (c = main OR x < doc) AND {_fits('n', 'nx')} AND CASE WHEN n <= nx THEN short = 1 ELSE sx = 1 END")
             pairs = met.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"), F.when(F.col("x") < F.col("doc"), F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(F.col("x") < F.col("doc"), F.col("n")).otherwise(F.col("nx")).alias("nb")).distinct()
