@@ -2,7 +2,7 @@
 
 Every document is a set of shingles of five words, known by 64-bit hashes. The global order puts shingles that are
 frequent within the corpus last. Two documents can only be similar enough if a short prefix of each in that order shares a
-shingle, which gives the candidates. The order is cut into fragments; the overlap of a candidate pair is counted in each
+shingle, which gives the candidates; where it stands in each set bounds what they can share. The order is cut into fragments; the overlap of a candidate pair is counted in each
 fragment separately and summed per pair. Equal sets are joined as one. Frequent prefixes are not expanded into all pairs:
 a few rounds compare each document with hubs and join what is linked; then every candidate pair that is still in different
 components is compared, so that no component is missed.
@@ -96,6 +96,11 @@ def _parity(s: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _fold(parity: bytes) -> list[int]:
+    """The map folded to LEAST_BITS bits, as longs."""
+    return np.bitwise_xor.reduce(np.frombuffer(parity, np.int64).reshape(-1, LEAST_BITS // 64), axis=0).tolist()
+
+
 def _may_link(batches):
     """Of pairs with their parity maps, those whose overlap could reach the threshold; the wider map is folded to the width of the other."""
     for b in batches:
@@ -116,12 +121,13 @@ def _may_link(batches):
 def _scan(batches):
     """Size, key and parity map of each document's set, and the shingles that are frequent among a task's documents."""
     held, size = [], 0
+    names = ["doc_id", "n", "key", "parts", "fold", "h", "c"]
 
     def flush():
         h, c = np.unique(np.concatenate(held), return_counts=True)
         h, c = h[c >= FREQUENT], c[c >= FREQUENT]
         n = len(h)
-        return pa.record_batch([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["doc_id", "n", "key", "parts", "h", "c"])
+        return pa.record_batch([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names)
 
     for b in batches:
         n, key, parts = [], [], []
@@ -136,7 +142,7 @@ def _scan(batches):
                 yield flush()
                 held, size = [], 0
         none = pa.nulls(len(n), pa.int64())
-        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(parts, pa.binary()), none, none], ["doc_id", "n", "key", "parts", "h", "c"])
+        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(parts, pa.binary()), pa.array([p and _fold(p) for p in parts], pa.list_(pa.int64())), none, none], names)
     if held:
         yield flush()
 
@@ -146,14 +152,19 @@ def _level(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(shared):
-    """(h, salt, doc, n2) for the prefix of each set; n2 is twice the size, plus one inside the shorter prefix that suffices for the smaller document of a pair."""
+    """(level, h, salt, doc, n, p) for the prefix of each set of n shingles; level and h give the global order, p a shingle's place in its set by that order."""
+    names = ["level", "h", "salt", "doc", "n", "p"]
+
+    def batch(*columns):
+        level, h, *rest = (np.concatenate(x) for x in columns)
+        return pa.record_batch([pa.array(level.astype(np.int32)), pa.array((h ^ np.uint64(1 << 63)).view(np.int64)), *(pa.array(x.astype(np.int64)) for x in rest)], names)
 
     def run(batches):
         levels, chosen = (x.value for x in shared)
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             take = np.flatnonzero(maybe_in(chosen, ids))
-            hs, salts, docs, sizes = [], [], [], []
+            lists = at, hs, salts, docs, sizes, spots = [], [], [], [], [], []
             for i, s in zip(take.tolist(), shingle_sets(b.column(1).take(pa.array(take))), strict=True):
                 n = len(s)
                 if not n:
@@ -162,31 +173,34 @@ def _prefixes(shared):
                 order = np.argsort(level, kind="stable")[: n - (4 * n + 4) // 5 + 1]
                 s, level = s[order], level[order].astype(np.int64)
                 own = int(mix(np.array([ids[i]], np.int64).view(np.uint64))[0] >> np.uint64(1))
+                at.append(level)
                 hs.append(s)
                 salts.append(np.where(level >= SPREAD, own & ((1 << np.maximum(level - SPREAD + 1, 0)) - 1), -1))
                 docs.append(np.full(len(s), ids[i], np.int64))
-                sizes.append(2 * n + (np.arange(len(s)) < n - (8 * n + 8) // 9 + 1))
+                sizes.append(np.full(len(s), n, np.int64))
+                spots.append(np.arange(len(s)))
                 if sum(map(len, hs[-64:])) > 500_000:
-                    yield pa.record_batch([pa.array(np.concatenate(x).astype(np.int64) if x is not hs else np.concatenate(x).view(np.int64)) for x in (hs, salts, docs, sizes)], ["h", "salt", "doc", "n2"])
-                    hs, salts, docs, sizes = [], [], [], []
+                    yield batch(*lists)
+                    for x in lists:
+                        x.clear()
             if hs:
-                yield pa.record_batch([pa.array(np.concatenate(x).astype(np.int64) if x is not hs else np.concatenate(x).view(np.int64)) for x in (hs, salts, docs, sizes)], ["h", "salt", "doc", "n2"])
+                yield batch(*lists)
 
     return run
 
 
 def _groups(batches):
-    """From rows sorted by shingle and salt: the groups of documents that share one, each set of members once a task; the group is known by a hash of its members, a spread shingle's by the shingle."""
+    """From rows in the global order: the groups of documents that share a shingle, each set of members once a task, at its first shingle; the group is known by a hash of its members, a spread shingle's by the shingle."""
     seen: set = set()
     carry = None
 
-    def emit(h, salt, doc, n2):
+    def emit(h, salt, doc, n, p):
         cut = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (salt[1:] != salt[:-1]))))
         size = np.diff(np.concatenate((cut, [len(h)])))
         wide = salt[cut] >= 0
         order = np.repeat(np.arange(len(cut)), size)
         d = doc.view(np.uint64)
-        sign = np.add.reduceat(mix(d) + mix(d ^ (n2.view(np.uint64) << np.uint64(40))), cut).view(np.int64)
+        sign = np.add.reduceat(mix(d) + mix(d ^ (n.view(np.uint64) << np.uint64(40))), cut).view(np.int64)
         gid = np.where(wide, h[cut], sign)
         fresh = np.zeros(len(cut), bool)
         for i in np.flatnonzero((size > 1) | wide).tolist():
@@ -198,10 +212,10 @@ def _groups(batches):
         if len(seen) > 200_000:
             seen.clear()
         rows = np.flatnonzero(fresh[order])
-        return pa.record_batch([pa.array(gid[order][rows]), pa.array(doc[rows]), pa.array(n2[rows])], ["g", "doc", "n2"])
+        return pa.record_batch([pa.array(gid[order][rows]), pa.array(doc[rows]), pa.array(n[rows]), pa.array(p[rows])], ["g", "doc", "n", "p"])
 
     for b in batches:
-        now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6)]
         if carry is not None:
             now = [np.concatenate(x) for x in zip(carry, now, strict=True)]
         h, salt = now[0], now[1]
@@ -251,18 +265,24 @@ def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 def _first(turn: int, i: int):
     """The document of the smallest hash, with its size; after the first turn each group has its own hash, so that a document meets several hubs."""
-    return F.min(F.struct(F.hash("doc", F.lit(turn * (HUBS + 1) + i), *([F.col("g")] if turn else [])).alias("x"), F.col("doc").alias("a"), F.col("n").alias("na")))
+    return F.min(F.struct(F.hash("doc", F.lit(turn * (HUBS + 1) + i), *([F.col("g")] if turn else [])).alias("x"), F.col("doc").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa")))
+
+
+def _fits(n: str, p: str, m: str, q: str) -> str:
+    """Whether sets of n and m shingles could link if the first that they share stands at places p and q: what comes before is not shared. It holds at the first shared shingle of any two that link."""
+    return f"9 * least({n} - {p}, {m} - {q}) >= 4 * ({n} + {m})"
 
 
-def _fits(n: str, m: str) -> str:
-    return f"5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
+def _close(x: str, y: str, n: str, m: str) -> str:
+    """Whether the folded parity maps of sets of n and m shingles leave room for a link."""
+    return f"9 * ({' + '.join(f'bit_count({x}[{i}] ^ {y}[{i}])' for i in range(LEAST_BITS // 64))}) <= {n} + {m}"
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scanned = stage(docs.mapInArrow(_scan, "doc_id long, n long, key binary, parts binary, h long, c long"), "sets")
+    scanned = stage(docs.mapInArrow(_scan, "doc_id long, n long, key binary, parts binary, fold array<long>, h long, c long"), "sets")
     rows = scanned.filter("key IS NOT NULL").select("doc_id", "n", "key")
     sets = stage(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")), "classes")
     frequent = scanned.filter("h IS NOT NULL").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= KNOWN).groupBy(F.col("h").bitwiseAND(F.lit((1 << ORDER_BITS) - 1)).alias("p")).agg(F.floor(F.log2(F.max("c"))).cast("int").alias("level")).toPandas()
@@ -272,11 +292,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = docs.filter("doc_id IS NOT NULL")
     levels = spark.sparkContext.broadcast(levels)
     chosen = spark.sparkContext.broadcast(id_filter(sets.filter("rep IS NOT NULL").select("rep")))
-    prefixes = known.mapInArrow(_prefixes((levels, chosen)), "h long, salt long, doc long, n2 long")
-    sorted_ = prefixes.repartition("h", "salt").sortWithinPartitions("h", "salt", "n2", "doc")
-    grouped = sorted_.mapInArrow(_groups, "g long, doc long, n2 long").withColumn("n", F.expr("n2 div 2"))
-    groups = stage(grouped.groupBy("g", "doc", "n").agg(F.max(F.expr("n2 % 2")).alias("short")), "groups")
-    parts = stage(scanned.filter("key IS NOT NULL").select(F.col("doc_id").alias("doc"), "parts").join(groups.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "parts")
+    prefixes = known.mapInArrow(_prefixes((levels, chosen)), "level int, h long, salt long, doc long, n long, p long")
+    sorted_ = prefixes.repartition("h", "salt").sortWithinPartitions("level", "h", "salt", "n", "doc")
+    grouped = sorted_.mapInArrow(_groups, "g long, doc long, n long, p long")
+    groups = stage(grouped.groupBy("g", "doc", "n").agg(F.min("p").alias("p")), "groups")
+    parts = stage(scanned.filter("key IS NOT NULL").select(F.col("doc_id").alias("doc"), "parts", "fold").join(groups.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "parts")
 
     links, tried, found = None, None, None
     turn = 0
@@ -287,13 +307,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         # Groups that lie within one component have nothing more to tell.
         now = stage(now, "rows")
         per = now.groupBy("g", "c").agg(F.count("*").alias("k"), *(_first(turn, i).alias(f"h{i}") for i in range(HUBS + 1)))
-        main = per.groupBy("g").agg(F.max(F.struct("k", "c", F.col("h0.a").alias("a"), F.col("h0.na").alias("na"))).alias("m"), F.count("*").alias("parts")).filter("parts > 1").select("g", F.col("m.c").alias("main"), F.struct("m.a", "m.na", F.col("m.c").alias("ca"), F.lit(0).alias("kind")).alias("m0"))
+        main = per.groupBy("g").agg(F.max(F.struct("k", "c", F.col("h0.a").alias("a"), F.col("h0.na").alias("na"), F.col("h0.pa").alias("pa"))).alias("m"), F.count("*").alias("parts")).filter("parts > 1").select("g", F.col("m.c").alias("main"), F.struct("m.a", "m.na", "m.pa", F.col("m.c").alias("ca"), F.lit(0).alias("kind")).alias("m0"))
         if turn < HUB_ROUNDS:
             # Rows outside a group's largest component, against a hub of that component and some from outside it.
-            rest = [F.min(F.struct(F.col(f"h{i}.x").alias("x"), F.col(f"h{i}.a").alias("a"), F.col(f"h{i}.na").alias("na"), F.col("c").alias("ca"))).alias(f"r{i}") for i in range(1, HUBS + 1)]
+            rest = [F.min(F.struct(F.col(f"h{i}.x").alias("x"), F.col(f"h{i}.a").alias("a"), F.col(f"h{i}.na").alias("na"), F.col(f"h{i}.pa").alias("pa"), F.col("c").alias("ca"))).alias(f"r{i}") for i in range(1, HUBS + 1)]
             hubs = per.join(main, "g").filter("c <> main").groupBy("g", "main", "m0").agg(*rest)
-            hubs = hubs.select("g", "main", F.array("m0", *(F.struct(f"r{i}.a", f"r{i}.na", f"r{i}.ca", F.lit(i).alias("kind")) for i in range(1, HUBS + 1))).alias("hubs"))
-            near = now.join(hubs, "g").filter("c <> main").select("doc", "n", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'na')}")
+            hubs = hubs.select("g", "main", F.array("m0", *(F.struct(f"r{i}.a", f"r{i}.na", f"r{i}.pa", f"r{i}.ca", F.lit(i).alias("kind")) for i in range(1, HUBS + 1))).alias("hubs"))
+            near = now.join(hubs, "g").filter("c <> main").select("doc", "n", "p", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'p', 'na', 'pa')}")
             near = near.groupBy("doc", "n", "a", "na", "kind").agg(F.count("*").alias("k")).withColumnsRenamed({"a": "x", "na": "nx"})
             near = near.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"), F.when(F.col("x") < F.col("doc"), F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(F.col("x") < F.col("doc"), F.col("n")).otherwise(F.col("nx")).alias("nb"), "doc", "kind", "k")
             if tried is not None:
@@ -303,8 +323,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         else:
             # All candidate pairs across components: rows outside a group's largest component, against all rows.
             open_ = now.join(main.select("g", "main"), "g")
-            few = open_.filter("c <> main").select("g", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("short").alias("sx"), F.col("c").alias("cx"))
-            met = few.join(open_, "g").filter(f"c <> cx AND (c = main OR x < doc) AND {_fits('n', 'nx')} AND CASE WHEN n <= nx THEN short = 1 ELSE sx = 1 END")
+            open_ = stage(open_.join(parts.select("doc", "fold"), "doc"), "open")
+            few = open_.filter("c <> main").select("g", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("p").alias("px"), F.col("c").alias("cx"), F.col("fold").alias("fx"))
+            met = few.join(open_, "g").filter(f"c <> cx AND (c = main OR x < doc) AND {_fits('n', 'p', 'nx', 'px')} AND {_close('fold', 'fx', 'n', 'nx')}")
             pairs = met.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"), F.when(F.col("x") < F.col("doc"), F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(F.col("x") < F.col("doc"), F.col("n")).otherwise(F.col("nx")).alias("nb")).distinct()
             if tried is not None:
                 pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
