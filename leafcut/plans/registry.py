@@ -137,12 +137,20 @@ def n05_labeled_numbering(spark, d):
     return _detected(spark, d).select("doc_id", "page_num", "labeled.cur", "labeled.total", "labeled.region", "labeled.kind", "bare")
 
 
+#: Ids in a block of the lookup of the row before.
+_BLOCK = 4096
+
+
 @query(f"""WITH t AS (SELECT doc_id, {S.words("substr(text, 1, 400)")} AS w FROM documents), n AS (SELECT doc_id, w, lag(w) OVER (ORDER BY doc_id) AS p FROM t)
 SELECT doc_id, CASE WHEN len(w) = 0 OR len(p) = 0 THEN 0 ELSE len(list_intersect(w, p)) / len(list_distinct(list_concat(w, p)))::DOUBLE END AS similarity FROM n WHERE p IS NOT NULL""")
 def n07_u03_u04_token_jaccard(spark, d):
-    t = A.table(spark, d, "documents").select("doc_id", text.tokens(F.substring("text", 1, 400)).alias("w"))
-    prev = t.select((F.col("doc_id") + 1).alias("doc_id"), F.col("w").alias("p"))
-    return t.join(prev, "doc_id").select("doc_id", text.jaccard(F.col("w"), F.col("p")).alias("similarity"))
+    """Each text against the one before it by doc_id. The row before is looked up in blocks of ids; a block's first row meets the last one of the block before."""
+    t = A.table(spark, d, "documents").select("doc_id", text.tokens(F.col("text")).alias("w"), F.floor(F.col("doc_id") / _BLOCK).alias("b"))
+    last = t.groupBy("b").agg(F.max_by("w", "doc_id").alias("edge"))
+    before = last.select("b", F.lag("b").over(Window.orderBy("b")).alias("pb")).join(last.select(F.col("b").alias("pb"), "edge"), "pb").select("b", "edge")
+    own = Window.partitionBy("b").orderBy("doc_id")
+    seen = t.withColumns({"p": F.lag("w").over(own), "k": F.row_number().over(own)}).join(before, "b", "left")
+    return seen.withColumn("p", F.when(F.col("k") == 1, F.col("edge")).otherwise(F.col("p"))).filter("p IS NOT NULL").select("doc_id", text.jaccard(F.col("w"), F.col("p")).alias("similarity"))
 
 
 @query("SELECT doc_id, CASE WHEN s = '' THEN 'segment' ELSE s END AS slug FROM (SELECT doc_id, substr(replace(trim(regexp_replace(regexp_replace(source || ' / ' || lang || '!', '[^A-Za-z0-9_\\s-]', ' ', 'g'), '\\s+', ' ', 'g')), ' ', '_'), 1, 40) AS s FROM documents)")

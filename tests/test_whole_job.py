@@ -8,3 +8,16 @@ def test_next_version_reads_every_line(spark, tmp_path):
     spark.createDataFrame(rows, "l_suppkey long, l_partkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
     want = {k: next(v for v in range(1, 9) if (k, v) not in {(a, c) for a, _, c in rows}) for k in (1, 2, 3)}
     assert {r.k: r.version for r in registry.QUERIES["n20_k08_next_version"](spark, str(tmp_path)).collect()} == want == {1: 3, 2: 3, 3: 1}
+
+
+def test_token_jaccard_of_whole_texts_and_over_gaps(spark, tmp_path):
+    import re
+
+    from leafcut.functions.text import STOP_WORDS
+
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(1, long), (2, long + " other words at the end"), (5, "other words"), (4095, "some words here"), (4096, "some words there"), (20_000, "words there"), (20_001, ""), (20_002, "x1 x2")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    sets = [{x for x in re.findall("[a-z0-9]+", t.lower()) if len(x) > 1} - set(STOP_WORDS) for _, t in rows]
+    want = {rows[i][0]: len(a & b) / len(a | b) if a and b else 0.0 for i, (a, b) in enumerate(zip(sets[1:], sets, strict=False), 1)}
+    assert {r.doc_id: r.similarity for r in registry.QUERIES["n07_u03_u04_token_jaccard"](spark, str(tmp_path)).collect()} == want and 0 < want[2] < 1
