@@ -26,11 +26,11 @@ def query(sql: str | None = None):
 
 
 def _detected(spark, d):
-    return features.detected(A.raw_pages(spark, d), A.toc(spark, d), exact_duplicates=True)
+    return features.detected(A.raw_pages(spark, d), A.toc(spark, d))
 
 
 def _features(spark, d):
-    return features.page_features(A.raw_pages(spark, d), A.toc(spark, d), exact_duplicates=True)
+    return features.page_features(A.raw_pages(spark, d), A.toc(spark, d))
 
 
 def _flags(spark, d, f):
@@ -46,7 +46,7 @@ def _scores(spark, d):
 
 def _run(spark, d, **more) -> pipeline.Result:
     v = A.page_vectors(spark, d).select("doc_id", "page_num", F.col("vec").alias("image_embedding"), F.col("vec").alias("text_embedding"))
-    return pipeline.run(A.raw_pages(spark, d), A.toc(spark, d), v, A.taxonomy_types(spark), A.taxonomy_phrases(spark), exact_duplicates=True, **more)
+    return pipeline.run(A.raw_pages(spark, d), A.toc(spark, d), v, A.taxonomy_types(spark), A.taxonomy_phrases(spark), **more)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Queries over small tables of their own, against brute force: every row and the whole text count."""
 
 from leafcut.plans import registry
+from leafcut.sources import adapter
 
 
 def test_next_version_reads_every_line(spark, tmp_path):
@@ -21,3 +22,26 @@ def test_token_jaccard_of_whole_texts_and_over_gaps(spark, tmp_path):
     sets = [{x for x in re.findall("[a-z0-9]+", t.lower()) if len(x) > 1} - set(STOP_WORDS) for _, t in rows]
     want = {rows[i][0]: len(a & b) / len(a | b) if a and b else 0.0 for i, (a, b) in enumerate(zip(sets[1:], sets, strict=False), 1)}
     assert {r.doc_id: r.similarity for r in registry.QUERIES["n07_u03_u04_token_jaccard"](spark, str(tmp_path)).collect()} == want and 0 < want[2] < 1
+
+
+def test_near_equal_pages_are_duplicates_in_every_query(spark, tmp_path):
+    import difflib
+    import random
+
+    rng = random.Random(8)
+    page = lambda: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(60))
+    first, second = page(), page()
+    # Ids 99 apart get the same head and phrase from the adapter.
+    rows = [(5, "s", first), (104, "s", first[:90] + "#" + first[91:]), (203, "s", second), (302, "s", second[:40] + "?" * 30 + second[70:]), (401, "t", first)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    (tmp_path / "embeddings.parquet").symlink_to("/root/testdata/sf0.001/embeddings.parquet")
+    d = str(tmp_path)
+    texts = {(r.doc_id, r.page_num): r.text for r in adapter.raw_pages(spark, d).collect()}
+    want = {k: (k[0], k[1] - 1) in texts and difflib.SequenceMatcher(None, t, texts[k[0], k[1] - 1]).ratio() >= 0.95 for k, t in texts.items()}
+    assert want == {("s", 1): False, ("s", 2): True, ("s", 3): False, ("s", 4): False, ("t", 1): False}
+    assert {(r.doc_id, r.page_num): r.is_duplicate_of_prev for r in registry.QUERIES["w01_duplicate_pages"](spark, d).collect()} == want
+    assert {r.doc_id: r.duplicates for r in registry.QUERIES["f14_duplicates_score_nothing"](spark, d).collect()} == {"s": 1, "t": 0}
+    scores = {(r.doc_id, r.page_num): r for r in registry.QUERIES["p01_p06_w08_w09_scores"](spark, d).collect()}
+    assert scores["s", 2].total_score == 0 and not scores["s", 2].is_boundary
+    report = registry._run(spark, d).scores.select("doc_id", "page_num", "duplicate_of_prev").collect()
+    assert {(r.doc_id, r.page_num): r.duplicate_of_prev for r in report} == want
