@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and zstandard novelty primed with code and identifier dictionaries.
 
 The base finds assignments to sensitive names, access keys and hexadecimal keys. The method looks at every other long
-mixed string whose line speaks of something sensitive: how many bytes does it add to the compressed context, when the
-compressor already knows common code and identifiers? One that hardly compresses is reported as `novel`.
+string with a letter whose own name (name=value), line or line before speaks of something sensitive, and at the bodies
+under PEM headers: how many bytes does it add to the compressed context, when the compressor already knows common code and
+identifiers? One that hardly compresses is reported as `novel`. Strings of 16 characters or more count; of digits alone, none.
 
 Defined results: a null text is empty and has no spans; spans are code points, end exclusive; base spans stay as they are,
 and a novel span overlaps none of them; every row of documents gives a row, repeated ones too; other columns are ignored.
@@ -27,13 +28,21 @@ BASE = (
 KINDS = (*(x[0] for x in BASE), "novel")
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: A candidate's line must name one of these within CONTEXT characters before it.
+#: A candidate's own name, its line or the line before must name one of these, lines within CONTEXT characters at the end.
 SENSITIVE = re.compile(r"password|passwd|passphrase|secret|token|api.?key|private.?key|access.?key|credential|bearer|authorization|signature|client.?id|session.?id|connection.?string", re.I | re.A)
 _HINTS = ("pass", "secret", "token", "key", "credential", "bearer", "authoriz", "signature", "client", "session", "connection")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
+#: Parts of a candidate: names before `=`, and the value with its padding.
+_PART = re.compile(r"[^=]+(?:=+$)?")
+#: A PEM header, and its body: up to the next dashes, or without any the lines that look like one.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----")
+_PEM_LINES = re.compile(r"(?:[ \t]*(?:[A-Za-z0-9+/=]*|[A-Za-z0-9-]+:[^\n]*)[ \t\r]*(?:\n|\Z))*")
 CONTEXT, LINE_BYTES = 60, 400
 #: Marginal bytes per character from which a string counts as incompressible: random base64 costs about 0.75, hexadecimal 0.5, prose and identifiers less.
 NOVELTY, NOVELTY_HEX = 0.62, 0.45
+#: Put before the context of a string without digits, so that letters cost what they cost in prose however short the context.
+_PROSE = """The committee met on Tuesday to discuss how the rules of the company should be changed, because many people had asked for it. Die Versammlung begann am Abend, und niemand
+wusste, warum sich die Entscheidung so lange verschoben hatte. Nous avons marché le long de la rivière pendant que les autres préparaient le repas. Los vecinos esperaban desde hacía tiempo una respuesta."""
 #: Words that code and configuration are made of; the dictionary holds each alone and joined with its neighbours, as identifiers are.
 _WORDS = """access account action active address admin alpha api app apple application array attribute authorization auth base bearer begin bool build button cache callback
 certificate channel character class client code color column command comment common component config configuration connect connection const container content context
@@ -83,18 +92,50 @@ class Scanner:
         low = text.lower()
         if not any(x in low for x in _HINTS):
             return []
-        out = []
+        out, bodies = [], self.bodies(text)
         for m in CANDIDATE.finditer(text):
-            s = m[0].strip(".=~-_/") if not m[0].endswith("=") else m[0].lstrip(".=~-_/")
-            start = m.start() + m[0].find(s) if s else 0
-            if len(s) < 16 or not re.search("[0-9]", s) or not re.search("[A-Za-z]", s):
-                continue
-            line = text[max(text.rfind("\n", 0, start) + 1, start - CONTEXT) : start]
-            if not SENSITIVE.search(line) or any(a < start + len(s) and start < b for a, _, b in taken):
-                continue
-            wide = text[max(0, start - LINE_BYTES) : start] + " " + text[start + len(s) : start + len(s) + LINE_BYTES // 2]
-            if self.novelty(wide, s) >= (NOVELTY_HEX if re.fullmatch("[0-9a-fA-F-]+", s) else NOVELTY):
-                out.append((start, 3, start + len(s)))
+            before = None
+            for start, s in self.parts(m):
+                if not re.search("[A-Za-z]", s) or any(a < start + len(s) and start < b for a, _, b in taken):
+                    continue
+                if not any(a <= start < b for a, b in bodies) and not SENSITIVE.search(text[m.start() : start]):
+                    before = self.lines(text, m.start()) if before is None else before
+                    if not SENSITIVE.search(before):
+                        continue
+                wide = text[max(0, start - LINE_BYTES) : start] + " " + text[start + len(s) : start + len(s) + LINE_BYTES // 2]
+                if not re.search("[0-9]", s):
+                    wide = _PROSE + wide
+                if self.novelty(wide, s) >= (NOVELTY_HEX if re.fullmatch("[0-9a-fA-F-]+", s) else NOVELTY):
+                    out.append((start, 3, start + len(s)))
+        return out
+
+    @staticmethod
+    def parts(m: re.Match) -> list[tuple[int, str]]:
+        """Starts and contents of what is measured in a candidate: names and value apart, or the whole if neither is long enough."""
+        trim = lambda at, x: (at + len(x) - len(x.lstrip(".=~-_/")), x.strip(".=~-_/") if not x.endswith("=") else x.lstrip(".=~-_/"))
+        long = [(at, x) for at, x in (trim(m.start() + p.start(), p[0]) for p in _PART.finditer(m[0])) if len(x) >= 16]
+        return long or [(at, x) for at, x in (trim(m.start(), m[0]),) if len(x) >= 16]
+
+    @staticmethod
+    def lines(text: str, start: int) -> str:
+        """The ends, of CONTEXT characters, of the line up to start and of the last line before it that is not blank."""
+        head = text.rfind("\n", 0, start) + 1
+        stop = head
+        while stop and text[stop - 1].isspace():
+            stop -= 1
+        last = text[max(text.rfind("\n", 0, stop) + 1, stop - CONTEXT) : stop]
+        return last + "\n" + text[max(head, start - CONTEXT) : start]
+
+    @staticmethod
+    def bodies(text: str) -> list[tuple[int, int]]:
+        """Where the bodies of sensitive PEM blocks are."""
+        out = []
+        for m in _PEM.finditer(text) if "-----BEGIN " in text else ():
+            if SENSITIVE.search(m[1]):
+                end = text.find("-----END", m.end())
+                other = text.find("-----BEGIN", m.end())
+                closed = end >= 0 and not m.end() <= other < end
+                out.append((m.end(), end if closed else m.end() + len(_PEM_LINES.match(text, m.end())[0])))
         return out
 
     def scan(self, text: str | None) -> tuple:

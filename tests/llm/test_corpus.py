@@ -258,3 +258,25 @@ def test_pipeline_keeps_and_drops(spark, tmp_path):
     texts = {i: t for i, t, _ in rows if t and re.search("[a-z]", t, re.I)}
     want = {c for i, n, c in brute_components([(i, t, None) for i, t in texts.items()])}
     assert {r.doc_id for r in out} == want and all(r.copies == 1 for r in out)
+
+
+def test_secrets_with_their_names_and_on_other_lines():
+    import base64
+
+    scanner, rng = secrets_scan.Scanner(), random.Random(11)
+    key, letters = "Zx9qL2vT8mK4pR7wB1nC5dF3", "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(32))
+    padded = base64.b64encode(rng.randbytes(25)).decode()
+
+    def found(text):
+        spans = [x.split(":") for x in scanner.scan(text)[4].split(",") if x]
+        return [text[int(a) : int(b)] for kind, a, b in spans if kind == "novel"]
+
+    for text in (f"ACCESS_KEY={key}", f"export DB_CREDENTIAL={key}\nx", f"conn;--private-key={key}", f"access_key: {key}", f"access_key:\n  {key}", f"credential:\n\n{key}"):
+        assert found(text) == [key]
+    assert found(f"DB_CREDENTIAL={padded}") == [padded] and padded.endswith("==")
+    assert found(f"ACCESS_KEY={letters}") == [letters] and found(f"auth bearer {letters}") == [letters]
+    body = [base64.b64encode(rng.randbytes(48)).decode() for _ in range(4)]
+    pem = lambda kind, end="\n-----END": f"some text\n-----BEGIN {kind}-----\n" + "\n".join(body) + (f"{end} {kind}-----\n" if end else "\n")
+    assert found(pem("RSA PRIVATE KEY")) == body and found(pem("PRIVATE KEY", "") + "Prose that goes on here.\n" + key) == body and found(pem("CERTIFICATE")) == []
+    for text in (f"BUILD_NUMBER={key}", f"access_key\nnothing here\n{key}", "ACCESS_KEY=internationalization", "the access key of the internationalization committee", "auth bearer 12345678901234567890"):
+        assert found(text) == []
