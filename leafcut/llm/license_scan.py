@@ -1,11 +1,12 @@
 """Licence scans with DataFrame operations only: a trained paragraph classifier, confirmed by templates.
 
-Texts are cut into paragraphs. A paragraph with a licence cue is scored by a sparse multinomial logistic regression over
-word 1-grams and 2-grams, trained on licence notices and on ordinary uses of their words; `unknown` is a class of its own,
-and a family below the calibrated probability is unknown too. The paragraph's word 3-grams are then compared with the
-family's templates: a prediction is confirmed if enough of some template, or of the paragraph, is covered.
+Texts are cut into paragraphs. Every paragraph that holds a known n-gram is scored by a sparse multinomial logistic
+regression over word 1-grams and 2-grams, trained on licence notices and on ordinary uses of their words; `unknown` is a
+class of its own, and a family below the calibrated probability is unknown too. The paragraph's word 3-grams are then
+compared with the family's templates: a prediction is confirmed if enough of some template, or of the paragraph, is covered.
 
-Defined results: null and empty texts have no paragraphs; a paragraph without a cue names no licence and gives no row; equal
+Defined results: null and empty texts have no paragraphs; every paragraph with a family gives a row; an unknown one gives a
+row if it has a cue, if its n-grams together speak for the families, or if a template confirms any family; equal
 probabilities go to the first family by name; equal templates to the first by number; every copy of a document is reported,
 fully repeated rows as one; other columns are ignored; no rows give no rows.
 """
@@ -69,7 +70,7 @@ ORDINARY = (
     "Redistribution of land was the promise of the new party.", "You may not use this entrance after ten.", "A copy of the report was sent to every person in the room.", "The rights of workers are reserved for the next session.",
     "The clause in the contract concerns the sale of goods.", "License plates must be visible from behind.", "The terms of the loan were published by the bank.", "Free entry for children under the age of six.",
 )
-#: A paragraph without one of these names no licence.
+#: An unknown paragraph with one of these gives a row in any case.
 CUES = ("licens", "licenc", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "cc by", "cc-by", "cc0", "public license", "rights reserved", "spdx")
 #: Below this probability a family is unknown: the least at which held-out ordinary uses all stay unknown, with a margin.
 CERTAIN, COVERED = 0.55, 0.5
@@ -126,42 +127,51 @@ def _constant(spark, rows: list, schema: str) -> DataFrame:
     return spark.sql("SELECT 1 AS _one").select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
-def _grams(w: Column, n: int) -> Column:
-    """Distinct word n-grams."""
-    return F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " ")))).otherwise(F.array().cast("array<string>"))
+def _next(w: Column, grams: Column, n: int) -> Column:
+    """Word n-grams from the words and their (n - 1)-grams, in order."""
+    k = F.greatest(F.size(w) - (n - 1), F.lit(0))
+    return F.zip_with(F.slice(grams, F.lit(1), k), F.slice(w, F.lit(n), k), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, par, start of text words w) of each paragraph with a cue; par counts all paragraphs of a text from 0."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    low = F.lower("text")
-    cue = lambda c: functools.reduce(lambda a, b: a | b, (F.contains(c, F.lit(x)) for x in CUES))
-    some = docs.select("doc_id", text.alias("text")).filter(cue(low))
-    cut = some.select("doc_id", F.posexplode(F.split("text", r"\n+|(?<=[.!?])\s+(?=\p{Lu})")).alias("par", "p"))
-    return cut.filter(cue(F.lower("p"))).select("doc_id", "par", "p", F.regexp_extract_all(F.lower("p"), F.lit(_WORD), F.lit(0)).alias("w"))
+def paragraphs(docs: DataFrame, known: list[str], templates: list[str]) -> DataFrame:
+    """(doc_id, par, cue, n n-grams, those known among them, m 3-grams, those of templates t3) of each paragraph with a cue or a known n-gram; par counts all paragraphs of a text from 0."""
+    cut = docs.select("doc_id", F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"\n+|(?<=[.!?])\s+(?=\p{Lu})")).alias("par", "p"))
+    low = F.lower("p")
+    # Arrays of one row name what is used twice; exploding them keeps it from being made again.
+    one = F.transform(F.array(F.regexp_extract_all(low, F.lit(_WORD), F.lit(0))), lambda w: F.struct(w.alias("w"), _next(w, w, 2).alias("w2")))
+    one = F.transform(one, lambda r: F.struct(r["w"].alias("w"), r["w2"].alias("w2"), F.array_distinct(F.concat(r["w"], r["w2"])).alias("own")))
+    one = F.transform(one, lambda r: F.struct(r["w"].alias("w"), r["w2"].alias("w2"), F.size(r["own"]).alias("n"), F.filter(r["own"], lambda g: g.isin(known)).alias("known")))
+    cue = functools.reduce(lambda a, b: a | b, (F.contains(low, F.lit(x)) for x in CUES))
+    some = cut.select("doc_id", "par", cue.alias("cue"), F.explode(one).alias("r")).filter(F.col("cue") | (F.size("r.known") > 0))
+    # The 2-grams of templates are all known, so no other paragraph has a 3-gram of theirs.
+    t3 = F.when(F.exists("r.known", lambda g: F.contains(g, F.lit(" "))), F.array_distinct(_next(F.col("r.w"), F.col("r.w2"), 3))).otherwise(F.array().cast("array<string>"))
+    return some.select("doc_id", "par", "cue", "r.n", "r.known", F.explode(F.transform(F.array(t3), lambda t: F.struct(F.size(t).alias("m"), F.filter(t, lambda g: g.isin(templates)).alias("t3")))).alias("s")).select("doc_id", "par", "cue", "n", "known", "s.m", "s.t3")
 
 
 def find_licenses(docs: DataFrame) -> DataFrame:
-    """doc_id, par, family, probability, template, covered, confirmed for each paragraph with a licence cue."""
+    """doc_id, par, family, probability, template, covered, confirmed for each paragraph that names a licence or may name one."""
     spark = docs.sparkSession
     names, weights, bias = trained()
     k = len(names)
-    table = _constant(spark, [{"g": g, **{f"w{i}": round(v, 6) for i, v in enumerate(ws)}} for g, ws in weights.items()], "g:string, " + ", ".join(f"w{i}:double" for i in range(k)))
+    table = F.from_json(F.lit(json.dumps({g: [round(v, 6) for v in ws] for g, ws in weights.items()})), "map<string,array<double>>")
     shingles = [(f, i, words(t)) for i, (f, t) in enumerate((f, t) for f in sorted(TEMPLATES) for t in TEMPLATES[f])]
-    compare = _constant(spark, [{"t3": " ".join(w[j : j + 3]), "fam": f, "tid": i, "size": max(1, len({tuple(w[j : j + 3]) for j in range(len(w) - 2)}))} for f, i, w in shingles for j in range(max(1, len(w) - 2))], "t3:string, fam:string, tid:int, size:int").distinct()
-    found = paragraphs(docs)
-    own = F.array_union(F.array_distinct("w"), _grams(F.col("w"), 2))
-    # The empty n-gram keeps paragraphs in which no known n-gram occurs.
-    each = found.select("doc_id", "par", F.size(own).alias("n"), F.explode(F.concat(F.array(F.lit("")), own)).alias("g"))
-    scored = each.join(F.broadcast(table), "g", "left").groupBy("doc_id", "par", "n").agg(*(F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)))
-    logits = F.array(*(F.lit(bias[i]) + F.col(f"s{i}") / F.sqrt(F.greatest(F.col("n"), F.lit(1)).cast("double")) for i in range(k)))
-    top = scored.select("doc_id", "par", logits.alias("z")).withColumn("m", F.array_max("z"))
-    total = F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("m")))
-    best = top.select("doc_id", "par", F.get(F.array(*map(F.lit, names)), (F.array_position("z", F.col("m")) - 1).cast("int")).alias("best"), (1 / total).alias("probability"))
-    family = F.when(F.col("probability") >= CERTAIN, F.col("best")).otherwise(UNKNOWN)
-    best = best.select("doc_id", "par", family.alias("family"), "probability")
-    hits = found.select("doc_id", "par", F.size(_grams(F.col("w"), 3)).alias("m"), F.explode(_grams(F.col("w"), 3)).alias("t3")).join(F.broadcast(compare), "t3").groupBy("doc_id", "par", "fam", "tid", "size", "m").agg(F.count("*").alias("hit"))
+    rows = [{"t3": " ".join(w[j : j + 3]), "fam": f, "tid": i, "size": max(1, len({tuple(w[j : j + 3]) for j in range(len(w) - 2)}))} for f, i, w in shingles for j in range(max(1, len(w) - 2))]
+    compare = _constant(spark, rows, "t3:string, fam:string, tid:int, size:int").distinct()
+    found = paragraphs(docs, sorted(weights), sorted({r["t3"] for r in rows}))
+    sums = F.aggregate("known", F.array(*[F.lit(0.0)] * k), lambda z, g: F.zip_with(z, F.element_at(table, g), lambda a, b: a + b))
+    logits = F.zip_with(F.array(*(F.lit(float(b)) for b in bias)), sums, lambda b, x: b + x / F.sqrt(F.greatest(F.col("n"), F.lit(1)).cast("double")))
+    each = found.select("doc_id", "par", "cue", "m", "t3", F.explode(F.array(logits)).alias("z")).withColumn("top", F.array_max("z"))
+    total = F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
+    best = F.get(F.array(*map(F.lit, names)), (F.array_position("z", F.col("top")) - 1).cast("int"))
+    told = each.select("doc_id", "par", "cue", "m", "t3", best.alias("best"), F.explode(F.array(total)).alias("total"), (F.get("z", F.lit(k - 1)) - F.col("top")).alias("un"))
+    # A text without known n-grams gives all families together this share; more than that speaks for them.
+    base = 1 - float(np.exp(bias[-1]) / np.exp(np.array(bias)).sum())
+    told = told.select("doc_id", "par", "m", "t3", F.when(1 / F.col("total") >= CERTAIN, F.col("best")).otherwise(UNKNOWN).alias("family"), (1 / F.col("total")).alias("probability"), (F.col("cue") | (1 - F.exp("un") / F.col("total") > base + 1e-9)).alias("speaks"))
+    scored = told.filter((F.col("family") != UNKNOWN) | F.col("speaks") | (F.size("t3") > 0)).distinct()
+    row = ["doc_id", "par", "family", "probability", "speaks"]
+    hits = scored.select(*row, "m", F.explode_outer("t3").alias("t3")).join(F.broadcast(compare), "t3", "left").groupBy(*row, "m", "fam", "tid", "size").agg(F.count("*").alias("hit"))
     cover = F.greatest(F.col("hit") / F.col("size"), F.col("hit") / F.greatest(F.col("m"), F.lit(1)))
-    near = hits.withColumn("covered", cover).groupBy("doc_id", "par", "fam").agg(F.max(F.struct("covered", (-F.col("tid")).alias("t"))).alias("b")).select("doc_id", "par", F.col("fam").alias("family"), F.col("b.covered").alias("covered"), (-F.col("b.t")).alias("template"))
-    out = best.join(near, ["doc_id", "par", "family"], "left")
-    return out.select("doc_id", "par", "family", "probability", "template", F.coalesce("covered", F.lit(0.0)).alias("covered"), (F.coalesce("covered", F.lit(0.0)) >= COVERED).alias("confirmed"))
+    near = F.when(F.col("fam").isNotNull(), F.struct(cover.alias("covered"), (-F.col("tid")).alias("t")))
+    out = hits.withColumn("near", near).groupBy(*row).agg(F.max("near.covered").alias("any"), F.max(F.when(F.col("fam") == F.col("family"), F.col("near"))).alias("b"))
+    out = out.filter((F.col("family") != UNKNOWN) | F.col("speaks") | (F.col("any") >= COVERED))
+    return out.select("doc_id", "par", "family", "probability", (-F.col("b.t")).alias("template"), F.coalesce("b.covered", F.lit(0.0)).alias("covered"), (F.coalesce("b.covered", F.lit(0.0)) >= COVERED).alias("confirmed"))

@@ -280,3 +280,25 @@ def test_secrets_with_their_names_and_on_other_lines():
     assert found(pem("RSA PRIVATE KEY")) == body and found(pem("PRIVATE KEY", "") + "Prose that goes on here.\n" + key) == body and found(pem("CERTIFICATE")) == []
     for text in (f"BUILD_NUMBER={key}", f"access_key\nnothing here\n{key}", "ACCESS_KEY=internationalization", "the access key of the internationalization committee", "auth bearer 12345678901234567890"):
         assert found(text) == []
+
+
+def test_licenses_without_a_cue(spark):
+    from collections import Counter
+
+    wrapped = "Redistribution and use in source and binary forms, with or without modification,\nare permitted provided that the following conditions are met"
+    texts = ["Distributed under GPLv3", "GPL v2 or later", "BSD-style terms apply", "MPL 2.0", "(c) 2021 The Authors", "Prose of a day.\nin the Software without restriction", wrapped, "Nothing at all", "The cat sat.", "MPL 2.0"]
+    rows = [(i, t, None) for i, t in enumerate(texts)]
+    out = license_scan.find_licenses(docs(spark, [*rows, rows[3]])).collect()
+    assert Counter((r.doc_id, r.par) for r in out) == Counter([(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (6, 0), (6, 1), (9, 0)])
+    family = {(r.doc_id, r.par): (r.family, r.confirmed) for r in out}
+    assert family[3, 0] == family[9, 0] == ("MPL-2.0", True) and family[4, 0] == ("all-rights-reserved", True) and family[5, 1][0] == "unknown"
+    # Brute force: no paragraph that the classifier names is dropped.
+    names, weights, bias = license_scan.trained()
+    for i, t in enumerate(texts):
+        for par, p in enumerate(t.split("\n")):
+            g = license_scan.ngrams(license_scan.words(p))
+            z = [b + sum(weights[x][k] for x in g if x in weights) / len(g) ** 0.5 for k, b in enumerate(bias)]
+            top = max(range(len(z)), key=z.__getitem__)
+            share = 1 / sum(2.718281828459045 ** (x - z[top]) for x in z)
+            want = names[top] if share >= license_scan.CERTAIN else "unknown"
+            assert family.get((i, par), ("unknown",))[0] == want
