@@ -4,14 +4,21 @@ A page's address, its redirect targets and its canonical address are aliases: co
 computed distributed, carry a block to every alias. A rule on the page itself decides first. Otherwise a component that
 holds an explicitly allowed address is allowed, else one that holds a blocked address is blocked, else the page is allowed.
 
+Targets may be relative in any form: they are resolved against the page's own address, after character references are
+decoded. Dot segments go from targets without a host; addresses with one name their node as they stand.
+
 Defined results: a null address or one without :// has empty host and path, is an alias of nothing and is allowed; null
 html has no links; rows that repeat an address share its verdict; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from leafcut.llm.common import attach, components, stage, unstage
 
@@ -46,6 +53,40 @@ def address(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(F.lower(whole), F.lit("://"), host_of(url), F.when(rest == "", "/").otherwise(rest)))
 
 
+@F.pandas_udf(StringType())
+def decoded(values: pd.Series) -> pd.Series:
+    """Character references of an attribute value decoded; only values with an ampersand arrive here not null."""
+    return values.map(lambda x: html.unescape(x).strip() if x is not None else None)
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with / without its . and .. segments."""
+    parts = F.split(path, "/", -1)
+    step = lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(x)))
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")), step)
+    ends = path.rlike(r"/\.\.?$")
+    out = F.concat(F.array_join(kept, "/"), F.when(ends, "/").otherwise(""))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.when(out == "", "/").otherwise(out)).otherwise(path)
+
+
+def resolved(url: Column, t: Column) -> Column:
+    """A target made absolute against the address of its page; null for targets of schemes without //."""
+    scheme, site = F.regexp_extract(url, r"(?s)^(.*?:)//", 1), F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
+    path = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    path = F.when(path == "", "/").otherwise(path)
+    own, more = F.regexp_extract(t, r"(?s)^([^?#]*)", 1), F.regexp_extract(t, r"(?s)^[^?#]*(.*)$", 1)
+    return (
+        F.when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), t)
+        .when(t.startswith("//"), F.concat(scheme, t))
+        .when(t.startswith("/"), F.concat(site, without_dots(own), more))
+        .when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(t.startswith("#"), F.concat(site, rest, t))
+        .when(t.startswith("?"), F.concat(site, path, t))
+        .otherwise(F.concat(site, without_dots(F.concat(F.regexp_extract(path, r"(?s)^(.*/)", 1), own)), more))
+    )
+
+
 def alias_links(pages: DataFrame) -> DataFrame:
     """(url, target): canonical links and immediate redirects that a page's html declares, made absolute."""
     tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0))
@@ -53,9 +94,9 @@ def alias_links(pages: DataFrame) -> DataFrame:
     canonical = F.when(tag.rlike(r"""(?i)\brel\s*=\s*["']?canonical\b"""), F.regexp_extract(tag, r"(?i)\bhref" + _ATTR, 1))
     refresh = F.when(tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""), F.regexp_extract(tag, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
     found = pages.filter(F.coalesce("html", F.lit("")).rlike("(?i)canonical|refresh")).select("url", F.explode(tags).alias("_tag")).select("url", F.coalesce(canonical, refresh).alias("t"))
-    base = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
-    target = F.when(F.col("t").startswith("//"), F.concat(F.regexp_extract("url", r"(?s)^(.*?:)//", 1), "t")).when(F.col("t").startswith("/"), F.concat(base, "t")).otherwise(F.col("t"))
-    return found.filter("t <> ''").select("url", target.alias("target")).filter("instr(target, '://') > 0 AND instr(url, '://') > 0")
+    t = F.when(F.contains("t", F.lit("&")), decoded(F.when(F.contains("t", F.lit("&")), F.col("t")))).otherwise(F.col("t"))
+    found = found.filter("t <> ''").select("url", t.alias("t"))
+    return found.filter("t <> ''").select("url", resolved(F.col("url"), F.col("t")).alias("target")).filter("target IS NOT NULL AND instr(target, '://') > 0 AND instr(url, '://') > 0")
 
 
 def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:

@@ -302,3 +302,17 @@ def test_licenses_without_a_cue(spark):
             share = 1 / sum(2.718281828459045 ** (x - z[top]) for x in z)
             want = names[top] if share >= license_scan.CERTAIN else "unknown"
             assert family.get((i, par), ("unknown",))[0] == want
+
+
+def test_urls_of_every_form(spark):
+    from urllib.parse import urljoin
+
+    base = "http://n.net/a/b/page.html?k=1#top"
+    canonical = ["main.html", "?id=2", "../c", "../../../up", "./x/./y/../z", ".", "..", "/r/../s", "//m.net/q/../w", "http://o.net/a/./b", "other?a=1&amp;b=2", "&#47;dec&#x2F;imal", "p?u=http://v.net/../k", "#here", "mailto:x@y.net"]
+    rows = [(i, base.replace("n.net", f"n{i}.net"), f"<link rel=canonical href='{t}'>") for i, t in enumerate(canonical)] + [(100, "http://h.net", "<meta http-equiv=refresh content='0;url=index.html'>"), (101, "no scheme", "<link rel=canonical href='main.html'>")]
+    got = {r.url: r.target for r in url_filter.alias_links(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    unref = lambda t: t.replace("&amp;", "&").replace("&#47;", "/").replace("&#x2F;", "/")
+    want = {u: urljoin(u, unref(t)) for (_, u, _), t in zip(rows, canonical, strict=False) if not t.startswith("mailto")}
+    assert got == want | {"http://h.net": "http://h.net/index.html"}
+    pages = [(1, "http://y.net/s/p", "<link rel=canonical href='../main?a=1&amp;b=2'>"), (2, "http://y.net/main?a=1&b=2", "<link rel=canonical href='http://t.com/de/9'>"), (3, "http://lone.net/", None)]
+    assert {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()} == {1: "block", 2: "block", 3: "allow"}
