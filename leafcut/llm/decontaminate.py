@@ -5,9 +5,11 @@ k = L // CHARS_PER_EDIT places; cut into k + 1 pieces, at least one piece of any
 exact hits of all pieces in a whole text; each hit is verified with Myers' bit-parallel distance between the item and the
 text around the hit. Items are taken in blocks of bounded size, each block against all documents.
 
-Defined results: items of fewer than LEAST_CHARS characters after normalising identify nothing and are skipped; null texts
-are empty; rows that repeat an item count once with their smallest distance; every copy of a document is reported; other
-columns are ignored; no rows on either side give no rows.
+Items of fewer than LEAST_CHARS characters after normalising may not differ at all and count as whole words only.
+
+Defined results: items that are empty after normalising are skipped; null texts are empty; rows that repeat an item count
+once with their smallest distance; every copy of a document is reported; other columns are ignored; no rows on either side
+give no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ CHARS_PER_EDIT, LEAST_CHARS = 16, 24
 #: Items a block may hold, and their characters; the automaton that executors get is bounded by both.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
 _OTHER = re.compile(r"[\W_]+")
+#: Letters of scripts that put no blank between words; a word may begin or end at any of them.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def normalised(text: str | None) -> str:
@@ -32,7 +36,13 @@ def normalised(text: str | None) -> str:
 
 
 def budget(size: int) -> int:
-    return size // CHARS_PER_EDIT
+    return size // CHARS_PER_EDIT if size >= LEAST_CHARS else 0
+
+
+def bounded(text: str, start: int, end: int) -> bool:
+    """Whether a stretch of a normalised text begins and ends with a word."""
+    edge = lambda i: i in (0, len(text)) or " " in text[i - 1 : i + 1] or _UNSPACED.search(text[i - 1 : i + 1])
+    return bool(edge(start) and edge(end))
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -103,6 +113,12 @@ class Matcher:
             for k, at in places:
                 name, item = self.items[k]
                 most, start = budget(len(item)), end + 1 - size - at
+                if len(item) < LEAST_CHARS:
+                    if (name not in found or found[name][0]) and bounded(text, start, end + 1):
+                        found[name] = (0, start, end + 1)
+                        if first:
+                            return [(name, 0, start, end + 1)]
+                    continue
                 if name in found and found[name][0] == 0:
                     continue
                 # Hits of one copy lie within the budget of each other; a stretch is looked at once.
@@ -130,7 +146,7 @@ def blocks(benchmark: DataFrame) -> list[Matcher]:
     out, held, size = [], [], 0
     for r in benchmark.select("item_id", "text").filter("item_id IS NOT NULL").distinct().toLocalIterator():
         item = normalised(r["text"])
-        if len(item) < LEAST_CHARS:
+        if not item:
             continue
         held.append((r["item_id"], item))
         size += len(item)

@@ -316,3 +316,13 @@ def test_urls_of_every_form(spark):
     assert got == want | {"http://h.net": "http://h.net/index.html"}
     pages = [(1, "http://y.net/s/p", "<link rel=canonical href='../main?a=1&amp;b=2'>"), (2, "http://y.net/main?a=1&b=2", "<link rel=canonical href='http://t.com/de/9'>"), (3, "http://lone.net/", None)]
     assert {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
+def test_decontamination_of_short_items(spark):
+    chinese = "今天天气很好我们一起去公园散步吧好不好呀"
+    items = [(1, "Who wrote it?"), (2, "forty-two"), (3, chinese), (4, "?!"), (5, "aba"), (6, "Twenty-two letters here")]
+    rows = [(10, "He asked: WHO wrote  it, then left.", None), (11, "Whoever; who wrote item", None), (12, "forty two", None), (13, "forty-twos", None), (14, "昨天说" + chinese + "然后走了", None), (15, "ababa xaba abax aba", None), (16, "twenty two lettres here", None), (17, "twenty-two letters here!", None), (18, None, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.edits, r.start, r.end) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(10, 1, 0, 9, 21), (12, 2, 0, 0, 9), (14, 3, 0, 3, 3 + len(chinese)), (15, 5, 0, 16, 19), (17, 6, 0, 0, 23)}
+    assert {r.doc_id for r in decontaminate.clean(docs(spark, rows), bench).select("doc_id").collect()} == {11, 13, 16, 18}
