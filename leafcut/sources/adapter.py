@@ -86,9 +86,12 @@ def taxonomy_phrases(spark: SparkSession) -> DataFrame:
 
 
 def prototypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first vectors, grouped by remainder into four types."""
-    v = table(spark, sf_dir, "embeddings").filter("vec_id < 20")
-    return v.select((F.col("vec_id") % 4).cast("int").alias("type_ord"), F.concat(F.lit("t"), F.col("vec_id") % 4).alias("type_id"), F.col("vec_id").alias("ord"), F.col("embedding").cast("array<double>").alias("vec"))
+    """The vectors, grouped by remainder into four types, of which the newest are kept."""
+    from leafcut.operators import classify
+
+    v = table(spark, sf_dir, "embeddings").select(F.concat(F.lit("t"), F.col("vec_id") % 4).alias("type_id"), F.col("vec_id").alias("ord"), F.col("embedding").cast("array<double>").alias("vec"))
+    kept = classify.keep_prototypes(v.limit(0), v)
+    return kept.select(F.substring("type_id", 2, 1).cast("int").alias("type_ord"), "type_id", "ord", "vec")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,3 +45,11 @@ def test_near_equal_pages_are_duplicates_in_every_query(spark, tmp_path):
     assert scores["s", 2].total_score == 0 and not scores["s", 2].is_boundary
     report = registry._run(spark, d).scores.select("doc_id", "page_num", "duplicate_of_prev").collect()
     assert {(r.doc_id, r.page_num): r.duplicate_of_prev for r in report} == want
+
+
+def test_prototypes_are_the_newest_of_the_whole_table(spark, tmp_path):
+    rows = [(i, [float(i), 1.0]) for i in range(130)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = sorted((r.type_ord, r.type_id, r.ord, r.vec[0]) for r in adapter.prototypes(spark, str(tmp_path)).collect())
+    want = [(t, f"t{t}", k, float(i)) for t in range(4) for k, i in enumerate([i for i in range(130) if i % 4 == t][-20:], 1)]
+    assert got == want
