@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import uuid
 
 import numpy as np
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 
 #: A key is hot if it holds this share of all rows or more; there are at most 1 / HOT_SHARE of them, which bounds what is broadcast.
 HOT_SHARE = 1 / 500
-#: Bits of a filter over identifiers (4 MB). A fuller filter lets more rows through; it never loses one.
-FILTER_BITS = 25
-ARROW_ROWS = 512
+#: A group is not hot below so many rows, whatever its share.
+HOT_LEAST = 256
+#: Identifiers that a filter is made for; it has FILTER_RATIO bits for each, so 32 MB at most. More identifiers are joined instead.
+FILTER_MOST, FILTER_RATIO = 1 << 24, 12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,17 +29,19 @@ def shared_dir(spark: SparkSession) -> str:
     if found:
         return found.rstrip("/")
     if not sc.getCheckpointDir():
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir("file:///tmp/leafcut-checkpoints")
     return sc.getCheckpointDir().rstrip("/")
 
 
 def stage(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
-    """Writes df to the shared folder and reads it again: lineage is cut, and a lost executor costs only the task it ran."""
+    """Writes df to the shared folder and reads it again: lineage is cut, and a lost executor costs only the task it ran. The table goes with unstage, or when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/leafcut-{name}-{uuid.uuid4().hex}"
     df.write.options(**(options or {})).parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out._leafcut_path = path
     return out
@@ -54,7 +58,7 @@ def unstage(*frames: DataFrame) -> None:
 
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Left join of rows with one row per key. Hot keys, HOT_SHARE of the rows or more and so a fixed number at most, are broadcast; the others are shuffled."""
-    least = max(int(total * HOT_SHARE), 1000)
+    least = max(int(total * HOT_SHARE), HOT_LEAST)
     hot = groups.filter(F.col(size) >= least).withColumn("_hot", F.lit(True))
     split = rows.join(F.broadcast(hot), key, "left")
     cold = split.filter(F.col("_hot").isNull()).select(*rows.columns).join(groups.filter(F.col(size) < least), key, "left")
@@ -78,9 +82,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A Bloom filter with two hashes over a column of longs, made by executors word by word; 2**bits / 64 words reach the driver, however many identifiers there are."""
+def filter_bits(n: int) -> int:
+    """The power of two that gives n identifiers FILTER_RATIO bits each."""
+    return min(max(16, (max(1, n) * FILTER_RATIO - 1).bit_length()), (FILTER_MOST * FILTER_RATIO - 1).bit_length())
+
+
+def id_filter(ids: DataFrame, bits: int | None = None) -> np.ndarray:
+    """A Bloom filter with two hashes over a column of longs, made by executors word by word; 2**bits / 64 words reach the driver."""
     c = F.col(ids.columns[0])
+    bits = filter_bits(ids.count()) if bits is None else bits
     places = F.explode(F.array(*(_place(c, seed, bits) for seed in (11, 12)))).alias("p")
     words = ids.select(places).groupBy(F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("m")).toPandas()
     out = np.zeros(1 << bits - 6, np.uint64)
@@ -116,6 +126,19 @@ def maybe_in(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def among(rows: DataFrame, column: str, ids: DataFrame, most: int = FILTER_MOST):
+    """Rows that may be meant by ids, and a broadcast filter over that column for the function that reads them; for more than `most` ids the rows are joined instead, and there is no filter. ids has one column of longs, the name of `column`."""
+    n = ids.count()
+    if n > most:
+        return rows.join(ids, column, "left_semi"), None
+    return rows, rows.sparkSession.sparkContext.broadcast(id_filter(ids, filter_bits(n)))
+
+
+def passing(shared, ids: np.ndarray) -> np.ndarray:
+    """Places of the identifiers that the filter of among() lets through."""
+    return np.arange(len(ids)) if shared is None else np.flatnonzero(maybe_in(shared.value, ids))
+
+
 def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
     """Connected components by alternating large and small stars: (node, component), component the smallest node that links reach. Nodes without a link to another node have no row. Each round is written to the shared folder; nothing is collected but a count and a checksum."""
     pair = lambda df, x, y: df.select(F.least(x, y).alias("v"), F.greatest(x, y).alias("u")).filter("u <> v").distinct()
@@ -127,8 +150,8 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
             break
         last = mark
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("k"))
+        large = attach(both.filter("v > u"), low, "u", "k", 2 * mark[0]).select(F.col("v").alias("x"), F.col("m").alias("y"))
         large = pair(large, F.col("x"), F.col("y"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.col("v"), F.col("u"))).alias("x"), F.col("m").alias("y"))
@@ -153,11 +176,24 @@ def keep_rows(docs: DataFrame, column: str, passes) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            yield b.filter(pa.array(passes(b.column(at).to_pylist()), pa.bool_()))
+            # Few texts at a time are made strings.
+            for i in range(0, b.num_rows, 64):
+                part = b.slice(i, 64)
+                yield part.filter(pa.array(passes(part.column(at).to_pylist()), pa.bool_()))
 
     return docs.mapInArrow(run, schema)
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose row_id is in gone (one column, _gone)."""
+    return docs.join(gone, row_id() == F.col("_gone"), "left_anti")
+
+
+def row_id() -> Column:
+    """A hash of a row's identifier and text, which tells rows apart that share an identifier."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def bounded(rows: DataFrame, key: Column, group: str, most: int, sizes: dict | None = None) -> DataFrame:
     """Of each group about `most` rows, chosen by a hash of their key; all of them if there are fewer. For fitting models only."""
     sizes = sizes if sizes is not None else {r[0]: r[1] for r in rows.groupBy(group).count().collect()}

@@ -1,6 +1,6 @@
 """Near duplicates: an exact Jaccard join over word n-grams by vertical partitioning.
 
-Every document is a set of shingles of five words, known by 64-bit hashes. The global order puts shingles that are
+Every document is a set of shingles of five words, known by 64-bit hashes, and a set by the 64-bit sum of theirs. The global order puts shingles that are
 frequent within the corpus last. Two documents can only be similar enough if a short prefix of each in that order shares a
 shingle, which gives the candidates; where it stands in each set bounds what they can share. The order is cut into fragments; the overlap of a candidate pair is counted in each
 fragment separately and summed per pair. Equal sets are joined as one. Frequent prefixes are not expanded into all pairs:
@@ -9,7 +9,8 @@ components is compared, so that no component is missed.
 
 Defined results: only A-Z are lower-cased and only ASCII white space parts words; a text of fewer words is one shingle; a
 null or blank text has no shingles and is linked with nothing; rows without an identifier are returned with a null
-component; fully repeated rows give repeated results; other columns are ignored; no rows give no rows.
+component, but link others; rows that share an identifier are judged each by its own text; fully repeated rows give
+repeated results; long texts are hashed in stretches of whole words; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafcut.llm.common import attach, components, id_filter, maybe_in, mix, release, stage, unstage
+from leafcut.llm.common import HOT_LEAST, HOT_SHARE, among, attach, components, mix, passing, release, row_id, stage, unstage, without
 
 WORDS = 5
 #: Shingles that a memtable meets in FREQUENT documents are counted, and those with a count of KNOWN come last; this only changes the order, never the result.
-FREQUENT, KNOWN, MEMTABLE, ORDER_BITS = 2, 8, 8_000_000, 22
+FREQUENT, KNOWN, MEMTABLE, ORDER_BITS = 2, 8, 4_000_000, 22
 #: From so many documents (a power of two) a shingle's rows are spread over several tasks.
 SPREAD = 12
 FRAGMENTS = 4
@@ -45,31 +46,48 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.empty(0, np.uint64)
 
 
-def _chunk_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+def _hashes(data: np.ndarray, first) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and what they hash to; a word never goes over a place in first. Each place of a word has a number of its own, so that no pattern of bytes cancels another."""
     low = _LOWER[data]
     inside = ~_SPACE[low]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
-    first = at[:-1][at[1:] > at[:-1]]
     start[first] = inside[first]
     st, nz = np.flatnonzero(start), np.flatnonzero(inside)
     if not len(st):
-        return [_EMPTY] * (len(at) - 1)
+        return st, _EMPTY
     begins = start[nz]
-    word = np.cumsum(begins) - 1
-    place = nz - st[word]
-    power = np.cumprod(np.full(int(place.max()) + 1, _BASE, np.uint64))
-    h = mix(np.add.reduceat(_BYTE[low[nz]] * power[place], np.flatnonzero(begins)))
-    five = mix(sum(h[i : len(h) - WORDS + 1 + i] * _PLACE[i] for i in range(WORDS))) if len(h) >= WORDS else _EMPTY
+    place = nz - st[np.cumsum(begins) - 1]
+    number = mix(np.arange(int(place.max()) + 1, dtype=np.uint64) + _BASE)
+    return st, mix(np.add.reduceat(_BYTE[low[nz]] * number[place], np.flatnonzero(begins)))
+
+
+def _fives(h: np.ndarray) -> np.ndarray:
+    return mix(sum(h[i : len(h) - WORDS + 1 + i] * _PLACE[i] for i in range(WORDS))) if len(h) >= WORDS else _EMPTY
+
+
+def _set(h: np.ndarray, five: np.ndarray) -> np.ndarray:
+    """The sorted set of a text's shingles, given its words and their runs of five."""
+    if len(h) >= WORDS:
+        s = np.sort(five)
+        return s[np.concatenate(([True], s[1:] != s[:-1]))]
+    return mix(np.array([(h * _PLACE[: len(h)]).sum() + np.uint64(len(h))], np.uint64)) if len(h) else _EMPTY
+
+
+def _chunk_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    st, h = _hashes(data, at[:-1][at[1:] > at[:-1]])
+    five = _fives(h)
     bound = np.searchsorted(st, at).tolist()
-    out = []
-    for a, b in zip(bound, bound[1:], strict=False):
-        if b - a >= WORDS:
-            s = np.sort(five[a : b - WORDS + 1])
-            out.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
-        else:
-            out.append(mix(np.array([(h[a:b] * _PLACE[: b - a]).sum() + np.uint64(b - a)], np.uint64)) if b > a else _EMPTY)
-    return out
+    return [_set(h[a:b], five[a : max(a, b - WORDS + 1)]) for a, b in zip(bound, bound[1:], strict=False)]
+
+
+def _long_set(data: np.ndarray) -> np.ndarray:
+    """The set of a text longer than a chunk, whose words are hashed a stretch at a time; stretches end at white space."""
+    space, cut = np.flatnonzero(_SPACE[data]), [0]
+    while (i := int(np.searchsorted(space, cut[-1] + _CHUNK))) < len(space):
+        cut.append(int(space[i]))
+    h = np.concatenate([_hashes(data[a:b], [0])[1] for a, b in zip(cut, [*cut[1:], len(data)], strict=True) if b > a] or [_EMPTY])
+    return _set(h, _fives(h))
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -80,7 +98,10 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     i = 0
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(off, off[i] + _CHUNK, "right")) - 1)
-        yield from _chunk_sets(data[off[i] : off[j]], off[i : j + 1] - off[i])
+        if off[j] - off[i] > _CHUNK:
+            yield _long_set(data[off[i] : off[j]])
+        else:
+            yield from _chunk_sets(data[off[i] : off[j]], off[i : j + 1] - off[i])
         i = j
 
 
@@ -118,32 +139,47 @@ def _may_link(batches):
         yield b.select(["a", "b", "na", "nb"]).filter(pa.array(100 * most >= 80 * (na + nb - most)))
 
 
+def _node(s: np.ndarray) -> int:
+    """The number that stands for a set in groups, pairs and links."""
+    return int(np.array([mix(s).sum()], np.uint64).view(np.int64)[0])
+
+
+_SCANNED = "doc_id long, pick long, node long, n long, key binary, parts binary, fold array<long>, h long, c long"
+
+
 def _scan(batches):
-    """Size, key and parity map of each document's set, and the shingles that are frequent among a task's documents."""
-    held, size = [], 0
-    names = ["doc_id", "n", "key", "parts", "fold", "h", "c"]
+    """Node, size, key and parity map of each document's set, and the shingles that are frequent among a task's documents."""
+    names = [x.split()[0] for x in _SCANNED.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+    held, size = np.empty(MEMTABLE, np.uint64), 0
 
     def flush():
-        h, c = np.unique(np.concatenate(held), return_counts=True)
-        h, c = h[c >= FREQUENT], c[c >= FREQUENT]
-        n = len(h)
-        return pa.record_batch([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names)
+        # Sorted in place: the table is never copied whole.
+        now = held[:size]
+        now.sort()
+        cut = np.flatnonzero(np.concatenate(([True], now[1:] != now[:-1])))
+        c = np.diff(np.concatenate((cut, [size])))
+        h, c = now[cut[c >= FREQUENT]], c[c >= FREQUENT]
+        return pa.record_batch([*(pa.nulls(len(h), k) for k in kinds[:-2]), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names)
 
     for b in batches:
-        n, key, parts = [], [], []
+        node, n, key, parts = [], [], [], []
         for s in shingle_sets(b.column(1)):
+            node.append(_node(s))
             n.append(len(s))
             key.append(_key(s))
             parts.append(_parity(s) if len(s) else None)
-            if len(s):
-                held.append(s)
-                size += len(s)
-            if size >= MEMTABLE:
-                yield flush()
-                held, size = [], 0
+            while len(s):
+                some = s[: MEMTABLE - size]
+                held[size : size + len(some)] = some
+                size += len(some)
+                s = s[len(some) :]
+                if size == MEMTABLE:
+                    yield flush()
+                    size = 0
         none = pa.nulls(len(n), pa.int64())
-        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(parts, pa.binary()), pa.array([p and _fold(p) for p in parts], pa.list_(pa.int64())), none, none], names)
-    if held:
+        yield pa.record_batch([b.column(0), b.column(2), *(pa.array(x, k) for x, k in zip((node, n, key, parts, [p and _fold(p) for p in parts]), kinds[2:], strict=False)), none, none], names)
+    if size:
         yield flush()
 
 
@@ -160,29 +196,31 @@ def _prefixes(shared):
         return pa.record_batch([pa.array(level.astype(np.int32)), pa.array((h ^ np.uint64(1 << 63)).view(np.int64)), *(pa.array(x.astype(np.int64)) for x in rest)], names)
 
     def run(batches):
-        levels, chosen = (x.value for x in shared)
+        levels, chosen = shared[0].value, shared[1]
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            take = np.flatnonzero(maybe_in(chosen, ids))
+            take = passing(chosen, b.column(0).to_numpy(zero_copy_only=False))
             lists = at, hs, salts, docs, sizes, spots = [], [], [], [], [], []
-            for i, s in zip(take.tolist(), shingle_sets(b.column(1).take(pa.array(take))), strict=True):
+            rows = 0
+            for s in shingle_sets(b.column(1).take(pa.array(take))):
                 n = len(s)
                 if not n:
                     continue
-                level = _level(s, levels)
+                node, level = _node(s), _level(s, levels)
                 order = np.argsort(level, kind="stable")[: n - (4 * n + 4) // 5 + 1]
                 s, level = s[order], level[order].astype(np.int64)
-                own = int(mix(np.array([ids[i]], np.int64).view(np.uint64))[0] >> np.uint64(1))
+                own = int(mix(np.array([node], np.int64).view(np.uint64))[0] >> np.uint64(1))
                 at.append(level)
                 hs.append(s)
                 salts.append(np.where(level >= SPREAD, own & ((1 << np.maximum(level - SPREAD + 1, 0)) - 1), -1))
-                docs.append(np.full(len(s), ids[i], np.int64))
+                docs.append(np.full(len(s), node, np.int64))
                 sizes.append(np.full(len(s), n, np.int64))
                 spots.append(np.arange(len(s)))
-                if sum(map(len, hs[-64:])) > 500_000:
+                rows += len(s)
+                if rows > 100_000:
                     yield batch(*lists)
                     for x in lists:
                         x.clear()
+                    rows = 0
             if hs:
                 yield batch(*lists)
 
@@ -234,33 +272,51 @@ def _segments(shared):
     """(doc, frag, els): each chosen document's set, cut by the fragments of the global order."""
 
     def run(batches):
-        levels, chosen = (x.value for x in shared)
+        levels, needed = shared[0].value, shared[1]
+        names = ["doc", "frag", "els"]
+
+        def batch(docs, frags, els):
+            at = np.concatenate(([0], np.cumsum([len(x) for x in els]))).astype(np.int32)
+            return pa.record_batch([pa.array(docs, pa.int64()), pa.array(frags, pa.int32()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(els)))], names)
+
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            take = np.flatnonzero(maybe_in(chosen, ids))
+            take = passing(needed, b.column(0).to_numpy(zero_copy_only=False))
             docs, frags, els = [], [], []
-            for i, s in zip(take.tolist(), shingle_sets(b.column(1).take(pa.array(take))), strict=True):
+            rows = 0
+            for s in shingle_sets(b.column(1).take(pa.array(take))):
+                node = _node(s)
                 frag = np.where(_level(s, levels) > 0, FRAGMENTS, (s >> np.uint64(62)).astype(np.int64))
                 for f in range(FRAGMENTS + 1):
                     part = s[frag == f]
                     if len(part):
-                        docs.append(ids[i])
+                        docs.append(node)
                         frags.append(f)
                         els.append(part.view(np.int64))
+                rows += len(s)
+                if rows > 500_000:
+                    yield batch(docs, frags, els)
+                    docs, frags, els, rows = [], [], [], 0
             if docs:
-                at = np.concatenate(([0], np.cumsum([len(x) for x in els]))).astype(np.int32)
-                yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(frags, pa.int32()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(els)))], ["doc", "frag", "els"])
+                yield batch(docs, frags, els)
 
     return run
 
 
-def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+def _split(pairs: DataFrame, side: str, other: str, rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs and rows (by doc, now by side) with one more column to join by: the pairs of a document that has more than HOT_SHARE of them all, such as a hub, are dealt over several tasks, and its rows repeated for each."""
+    least, salt = max(int(total * HOT_SHARE), HOT_LEAST // 4), "s" + side
+    hot = F.broadcast(pairs.groupBy(side).agg(F.count("*").alias("_n")).filter(F.col("_n") > least).select(F.col(side).alias("_k"), F.ceil(F.col("_n") / least).cast("int").alias("_w")))
+    dealt = pairs.join(hot, F.col(side) == F.col("_k"), "left").withColumn(salt, F.coalesce(F.pmod(F.hash(other), "_w"), F.lit(0))).drop("_k", "_w")
+    many = rows.join(hot, F.col("doc") == F.col("_k"), "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce("_w", F.lit(1)) - 1))).drop("_k", "_w")
+    return dealt, many.withColumnRenamed("doc", side)
+
+
+def _verified(pairs: DataFrame, segments: DataFrame, total: int) -> DataFrame:
     """Of pairs (a, b, na, nb) those with 100 * intersection >= 80 * union: overlaps are counted fragment by fragment and summed per pair."""
-    one = segments.select(F.col("doc").alias("a"), "frag", F.col("els").alias("ea"))
-    two = segments.select(F.col("doc").alias("b"), "frag", F.col("els").alias("eb"))
-    met = pairs.join(one, "a").join(two, ["b", "frag"]).select("a", "b", "na", "nb", "frag", F.size(F.array_intersect("ea", "eb")).cast("long").alias("o"))
-    part = met.groupBy("a", "b", "na", "nb", "frag").agg(F.max("o").alias("o"))
-    return part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap")).filter("100 * overlap >= 80 * (na + nb - overlap)").select("a", "b", "overlap")
+    pairs, one = _split(pairs, "a", "b", segments.withColumnRenamed("els", "ea"), total)
+    pairs, two = _split(pairs, "b", "a", segments.withColumnRenamed("els", "eb"), total)
+    met = pairs.join(one, ["a", "sa"]).join(two, ["b", "sb", "frag"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ea", "eb")).cast("long").alias("o"))
+    return met.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap")).filter("100 * overlap >= 80 * (na + nb - overlap)").select("a", "b", "overlap")
 
 
 def _first(turn: int, i: int):
@@ -280,23 +336,33 @@ def _close(x: str, y: str, n: str, m: str) -> str:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each document."""
+    return _near(docs).drop("pick")
+
+
+def _near(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and row_id (as pick) for each document. Nodes are sets, not identifiers, so texts that share an identifier stay apart."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scanned = stage(docs.mapInArrow(_scan, "doc_id long, n long, key binary, parts binary, fold array<long>, h long, c long"), "sets")
-    rows = scanned.filter("key IS NOT NULL").select("doc_id", "n", "key")
-    sets = stage(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")), "classes")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_id().alias("pick"))
+    scanned = stage(docs.mapInArrow(_scan, _SCANNED), "sets")
+    rows = scanned.filter("key IS NOT NULL").select("doc_id", "pick", "n", "key")
+    one = F.coalesce(F.min_by("pick", "doc_id"), F.min("pick")).alias("pick")
+    sets = stage(scanned.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("node").alias("node"), one), "classes")
     frequent = scanned.filter("h IS NOT NULL").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= KNOWN).groupBy(F.col("h").bitwiseAND(F.lit((1 << ORDER_BITS) - 1)).alias("p")).agg(F.floor(F.log2(F.max("c"))).cast("int").alias("level")).toPandas()
     levels = np.zeros(1 << ORDER_BITS, np.uint8)  # a table of fixed size, however large the corpus
     levels[frequent["p"].to_numpy(np.int64)] = frequent["level"].to_numpy(np.uint8)
+    del frequent
+    twice = not rows.filter("n > 0").groupBy("pick").count().filter("count > 1").isEmpty()
 
-    known = docs.filter("doc_id IS NOT NULL")
+    known = docs.select("pick", "text")
     levels = spark.sparkContext.broadcast(levels)
-    chosen = spark.sparkContext.broadcast(id_filter(sets.filter("rep IS NOT NULL").select("rep")))
-    prefixes = known.mapInArrow(_prefixes((levels, chosen)), "level int, h long, salt long, doc long, n long, p long")
+    source, chosen = among(known, "pick", sets.select("pick"))
+    prefixes = source.mapInArrow(_prefixes((levels, chosen)), "level int, h long, salt long, doc long, n long, p long")
     sorted_ = prefixes.repartition("h", "salt").sortWithinPartitions("level", "h", "salt", "n", "doc")
     grouped = sorted_.mapInArrow(_groups, "g long, doc long, n long, p long")
     groups = stage(grouped.groupBy("g", "doc", "n").agg(F.min("p").alias("p")), "groups")
-    parts = stage(scanned.filter("key IS NOT NULL").select(F.col("doc_id").alias("doc"), "parts", "fold").join(groups.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "parts")
+    if chosen is not None:
+        chosen.destroy()
+    parts = stage(scanned.filter("n > 0").select(F.col("node").alias("doc"), "pick", "parts", "fold").join(groups.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "parts")
 
     links, tried, found = None, None, None
     turn = 0
@@ -306,14 +372,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             now = groups.join(found, groups["doc"] == found["node"], "left").select(*groups.columns, F.coalesce("component", "doc").alias("c"))
         # Groups that lie within one component have nothing more to tell.
         now = stage(now, "rows")
+        n_rows = now.count()
         per = now.groupBy("g", "c").agg(F.count("*").alias("k"), *(_first(turn, i).alias(f"h{i}") for i in range(HUBS + 1)))
-        main = per.groupBy("g").agg(F.max(F.struct("k", "c", F.col("h0.a").alias("a"), F.col("h0.na").alias("na"), F.col("h0.pa").alias("pa"))).alias("m"), F.count("*").alias("parts")).filter("parts > 1").select("g", F.col("m.c").alias("main"), F.struct("m.a", "m.na", "m.pa", F.col("m.c").alias("ca"), F.lit(0).alias("kind")).alias("m0"))
+        main = per.groupBy("g").agg(F.sum("k").alias("gk"), F.max(F.struct("k", "c", F.col("h0.a").alias("a"), F.col("h0.na").alias("na"), F.col("h0.pa").alias("pa"))).alias("m"), F.count("*").alias("parts")).filter("parts > 1").select("g", "gk", F.col("m.c").alias("main"), F.struct("m.a", "m.na", "m.pa", F.col("m.c").alias("ca"), F.lit(0).alias("kind")).alias("m0"))
         if turn < HUB_ROUNDS:
             # Rows outside a group's largest component, against a hub of that component and some from outside it.
             rest = [F.min(F.struct(F.col(f"h{i}.x").alias("x"), F.col(f"h{i}.a").alias("a"), F.col(f"h{i}.na").alias("na"), F.col(f"h{i}.pa").alias("pa"), F.col("c").alias("ca"))).alias(f"r{i}") for i in range(1, HUBS + 1)]
-            hubs = per.join(main, "g").filter("c <> main").groupBy("g", "main", "m0").agg(*rest)
-            hubs = hubs.select("g", "main", F.array("m0", *(F.struct(f"r{i}.a", f"r{i}.na", f"r{i}.pa", f"r{i}.ca", F.lit(i).alias("kind")) for i in range(1, HUBS + 1))).alias("hubs"))
-            near = now.join(hubs, "g").filter("c <> main").select("doc", "n", "p", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'p', 'na', 'pa')}")
+            hubs = per.join(main, "g").filter("c <> main").groupBy("g", "gk", "main", "m0").agg(*rest)
+            hubs = hubs.select("g", "gk", "main", F.array("m0", *(F.struct(f"r{i}.a", f"r{i}.na", f"r{i}.pa", f"r{i}.ca", F.lit(i).alias("kind")) for i in range(1, HUBS + 1))).alias("hubs"))
+            near = attach(now, stage(hubs, "hubs"), "g", "gk", n_rows).filter("c <> main").select("doc", "n", "p", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'p', 'na', 'pa')}")
             near = near.groupBy("doc", "n", "a", "na", "kind").agg(F.count("*").alias("k")).withColumnsRenamed({"a": "x", "na": "nx"})
             near = near.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"), F.when(F.col("x") < F.col("doc"), F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(F.col("x") < F.col("doc"), F.col("n")).otherwise(F.col("nx")).alias("nb"), "doc", "kind", "k")
             if tried is not None:
@@ -330,13 +397,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             if tried is not None:
                 pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
-        bounds = pairs.join(parts.select(F.col("doc").alias("a"), F.col("parts").alias("pa")), "a").join(parts.select(F.col("doc").alias("b"), F.col("parts").alias("pb")), "b")
+        n_pairs = pairs.count()
+        bounds, pa_ = _split(pairs, "a", "b", parts.select("doc", F.col("parts").alias("pa")), n_pairs)
+        bounds, pb_ = _split(bounds, "b", "a", parts.select("doc", F.col("parts").alias("pb")), n_pairs)
+        bounds = bounds.join(pa_, ["a", "sa"]).join(pb_, ["b", "sb"])
         near_ = stage(bounds.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_may_link, "a long, b long, na long, nb long"), "near")
-        needed = spark.sparkContext.broadcast(id_filter(near_.select(F.explode(F.array("a", "b")).alias("doc")).distinct()))
-        segments = stage(known.mapInArrow(_segments((levels, needed)), "doc long, frag int, els array<long>"), "segments")
-        good = stage(_verified(near_, segments), "links")
+        wanted = near_.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+        source, needed = among(known, "pick", stage(parts.join(wanted, "doc").select("pick"), "wanted"))
+        segments = source.mapInArrow(_segments((levels, needed)), "doc long, frag int, els array<long>")
+        segments = stage(segments.dropDuplicates(["doc", "frag"]) if twice else segments, "segments")
+        good = stage(_verified(near_, segments, near_.count()), "links")
         unstage(segments, near_)
-        needed.destroy()
+        if needed is not None:
+            needed.destroy()
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = good if links is None else links.unionByName(good)
         if turn == 0 or not good.isEmpty():
@@ -345,18 +418,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         release(spark)
         # A round without new pairs ends the rounds; the last turn, over all that is left, always comes.
         turn = max(turn + 1, HUB_ROUNDS) if turn < HUB_ROUNDS and pairs.isEmpty() else turn + 1
-    unstage(groups, parts)
-
-    known_sets = sets.join(found, sets["rep"] == found["node"], "left").select("key", "size", F.coalesce("component", "rep").alias("component_id"))
-    full = attach(rows.filter("n > 0"), stage(known_sets, "answers"), "key", "size", max(1, rows.count()))
-    full = full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-    return full.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    levels.destroy()
+    classes = sets.join(found, sets["node"] == found["node"], "left").select("key", "size", "rep", F.coalesce("component", sets["node"]).alias("c"))
+    least = stage(classes.groupBy("c").agg(F.min("rep").alias("component_id"), F.count("*").alias("k")), "least")
+    answers = stage(attach(classes, least, "c", "k", sets.count()).select("key", "size", "component_id"), "answers")
+    unstage(groups, parts, least)
+    full = attach(rows.filter("n > 0"), answers, "key", "size", max(1, rows.count()))
+    full = full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "pick")
+    return full.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "pick"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs with one document of each group of near duplicates, the one with the smallest identifier."""
-    gone = stage(near_duplicates(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")), "gone")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """docs with one document of each group of near duplicates, the one with the smallest identifier; rows of the group that share it all stay, and so do rows without an identifier."""
+    return without(docs, stage(_near(docs).filter("component_id <> doc_id").select(F.col("pick").alias("_gone")).distinct(), "gone"))
 
 
 SQL = r"""
