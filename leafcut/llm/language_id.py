@@ -42,9 +42,9 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not is_letter.any():
         return np.empty(0, np.int64), np.empty(0, np.int64)
     cp = np.where(is_letter, cp, np.uint64(32))
-    cp = np.concatenate(([np.uint64(32)], cp, [np.uint64(32)]))
+    cp = np.concatenate(([np.uint64(32)], cp, [np.uint64(32)] * 2))
     found = []
-    for i in range(0, len(cp), _CHUNK):
+    for i in range(0, len(cp) - 2, _CHUNK):
         c = cp[i : i + _CHUNK + 2]
         s, b = c != 32, np.uint64(21)
         one, two = c[:-2], c[:-1] << b | c[1:]
