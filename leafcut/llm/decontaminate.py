@@ -3,11 +3,13 @@
 Texts are compared in lower case with everything but letters and digits as one blank. An item of L characters may differ in
 k = L // CHARS_PER_EDIT places; cut into k + 1 pieces, at least one piece of any such copy is untouched. One automaton finds
 exact hits of all pieces in a whole text; each hit is verified with Myers' bit-parallel distance between the item and the
-text around the hit. Items are taken in blocks of bounded size, each block against all documents.
+text around the hit. Items are taken in blocks of bounded size, each block against all documents. The driver reads the
+benchmark, which is the query set, and holds it; documents never reach it.
 
 Items of fewer than LEAST_CHARS characters after normalising may not differ at all and count as whole words only.
 
-Defined results: items that are empty after normalising are skipped; null texts are empty; rows that repeat an item count
+Defined results: start and end count characters of the normalised text, end exclusive, of the first stretch to end with the
+smallest distance and the shortest such stretch; long texts are searched whole; items that are empty after normalising are skipped; null texts are empty; rows that repeat an item count
 once with their smallest distance; every copy of a document is reported; other columns are ignored; no rows on either side
 give no rows.
 """
@@ -16,16 +18,17 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafcut.llm.common import keep_rows
+from leafcut.llm.common import keep_rows, stage
 
 CHARS_PER_EDIT, LEAST_CHARS = 16, 24
 #: Items a block may hold, and their characters; the automaton that executors get is bounded by both.
-BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
+BLOCK_ITEMS, BLOCK_CHARS = 20_000, 2_000_000
 _OTHER = re.compile(r"[\W_]+")
 #: Letters of scripts that put no blank between words; a word may begin or end at any of them.
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
@@ -52,8 +55,8 @@ def pieces(item: str) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
 
 
-def myers(item: str, text: str) -> tuple[int, int]:
-    """Smallest edit distance of the item to any stretch of the text, and where the first such stretch ends."""
+def myers(item: str, text: str, anchored: bool = False) -> tuple[int, int]:
+    """Smallest edit distance of the item to any stretch of the text, or if anchored to any that begins where the text does, and where the first such stretch ends."""
     peq: dict[str, int] = defaultdict(int)
     for i, c in enumerate(item):
         peq[c] |= 1 << i
@@ -72,7 +75,7 @@ def myers(item: str, text: str) -> tuple[int, int]:
             score -= 1
         if score < best:
             best, end = score, j + 1
-        ph = ph << 1 & mask
+        ph = (ph << 1 | anchored) & mask
         pv = (mh << 1 | ~(xv | ph)) & mask
         mv = ph & xv
     return best, end
@@ -133,7 +136,8 @@ class Matcher:
                     edits, stop = myers(item, text[a : start + len(item) + 2 * most + 1])
                     if edits > most:
                         continue
-                    a, b = max(0, a + stop - len(item)), a + stop
+                    b = a + stop
+                    a = b - myers(item[::-1], text[max(0, b - len(item) - edits) : b][::-1], anchored=True)[1]
                 if name not in found or edits < found[name][0]:
                     found[name] = (edits, a, b)
                     if first:
@@ -141,29 +145,30 @@ class Matcher:
         return [(name, *x) for name, x in sorted(found.items())]
 
 
-def blocks(benchmark: DataFrame) -> list[Matcher]:
-    """The benchmark's items in blocks of bounded size. The benchmark is the query set; documents are never collected."""
-    out, held, size = [], [], 0
-    for r in benchmark.select("item_id", "text").filter("item_id IS NOT NULL").distinct().toLocalIterator():
+def blocks(benchmark: DataFrame) -> Iterator[Matcher]:
+    """The benchmark's items in blocks of bounded size; all texts of an item are in one block."""
+    held, size, last = [], 0, None
+    for r in benchmark.select("item_id", "text").filter("item_id IS NOT NULL").distinct().orderBy("item_id").toLocalIterator():
         item = normalised(r["text"])
         if not item:
             continue
-        held.append((r["item_id"], item))
-        size += len(item)
-        if len(held) >= BLOCK_ITEMS or size >= BLOCK_CHARS:
-            out.append(Matcher(held))
+        if r["item_id"] != last and (len(held) >= BLOCK_ITEMS or size >= BLOCK_CHARS):
+            yield Matcher(held)
             held, size = [], 0
-    return out + [Matcher(held)] if held or not out else out
+        last = r["item_id"]
+        held.append((last, item))
+        size += len(item)
+    yield Matcher(held)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, edits, start, end for each document and item that it holds."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def scan(matcher: Matcher):
+    def scan(shared):
         def run(batches):
             for b in batches:
-                rows = [(d, *x) for d, text in zip(b.column(0).to_pylist(), b.column(1), strict=True) for x in matcher.matches(text.as_py())]
+                rows = [(d, *x) for d, text in zip(b.column(0).to_pylist(), b.column(1), strict=True) for x in shared.value.matches(text.as_py())]
                 cols = list(zip(*rows, strict=True)) or [()] * 5
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "item_id", "edits", "start", "end"])
 
@@ -171,13 +176,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     out = None
     for matcher in blocks(benchmark):
-        got = scan(matcher)
-        out = got if out is None else out.unionByName(got)
+        # A worker builds a block's automaton once and keeps it with the broadcast.
+        shared = docs.sparkSession.sparkContext.broadcast(matcher)
+        out = scan(shared) if out is None else out.unionByName(stage(scan(shared), "found"))
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those that hold a benchmark item."""
-    for matcher in blocks(benchmark):
-        docs = keep_rows(docs, "text", lambda texts, m=matcher: [not m.matches(x, first=True) for x in texts])
+    """docs without those that hold a benchmark item; nulls and empty texts stay, all columns as they were."""
+    for i, matcher in enumerate(blocks(benchmark)):
+        docs = stage(docs, "clean") if i else docs
+        shared = docs.sparkSession.sparkContext.broadcast(matcher)
+        docs = keep_rows(docs, "text", lambda texts, m=shared: [not m.value.matches(x, first=True) for x in texts])
     return docs
