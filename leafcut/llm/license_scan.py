@@ -8,7 +8,7 @@ compared with the family's templates: a prediction is confirmed if enough of som
 Defined results: null and empty texts have no paragraphs; every paragraph with a family gives a row; an unknown one gives a
 row if it has a cue, if its n-grams together speak for the families, or if a template confirms any family; equal
 probabilities go to the first family by name; equal templates to the first by number; every copy of a document is reported,
-fully repeated rows as one; other columns are ignored; no rows give no rows.
+fully repeated rows as one, and rows that share an identifier, or have none, by their own paragraphs; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -134,18 +134,18 @@ def _next(w: Column, grams: Column, n: int) -> Column:
 
 
 def paragraphs(docs: DataFrame, known: list[str], templates: list[str]) -> DataFrame:
-    """(doc_id, par, cue, n n-grams, those known among them, m 3-grams, those of templates t3) of each paragraph with a cue or a known n-gram; par counts all paragraphs of a text from 0."""
-    cut = docs.select("doc_id", F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"\n+|(?<=[.!?])\s+(?=\p{Lu})")).alias("par", "p"))
+    """(doc_id, par, a hash sig of the paragraph, cue, n n-grams, those known among them, m 3-grams, those of templates t3) of each paragraph with a cue or a known n-gram; par counts all paragraphs of a text from 0."""
+    cut = docs.select("doc_id", F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"\n+|(?<=[.!?])\s+(?=\p{Lu})")).alias("par", "p")).withColumn("sig", F.xxhash64("p"))
     low = F.lower("p")
     # Arrays of one row name what is used twice; exploding them keeps it from being made again.
     one = F.transform(F.array(F.regexp_extract_all(low, F.lit(_WORD), F.lit(0))), lambda w: F.struct(w.alias("w"), _next(w, w, 2).alias("w2")))
     one = F.transform(one, lambda r: F.struct(r["w"].alias("w"), r["w2"].alias("w2"), F.array_distinct(F.concat(r["w"], r["w2"])).alias("own")))
     one = F.transform(one, lambda r: F.struct(r["w"].alias("w"), r["w2"].alias("w2"), F.size(r["own"]).alias("n"), F.filter(r["own"], lambda g: g.isin(known)).alias("known")))
     cue = functools.reduce(lambda a, b: a | b, (F.contains(low, F.lit(x)) for x in CUES))
-    some = cut.select("doc_id", "par", cue.alias("cue"), F.explode(one).alias("r")).filter(F.col("cue") | (F.size("r.known") > 0))
+    some = cut.select("doc_id", "par", "sig", cue.alias("cue"), F.explode(one).alias("r")).filter(F.col("cue") | (F.size("r.known") > 0))
     # The 2-grams of templates are all known, so no other paragraph has a 3-gram of theirs.
     t3 = F.when(F.exists("r.known", lambda g: F.contains(g, F.lit(" "))), F.array_distinct(_next(F.col("r.w"), F.col("r.w2"), 3))).otherwise(F.array().cast("array<string>"))
-    return some.select("doc_id", "par", "cue", "r.n", "r.known", F.explode(F.transform(F.array(t3), lambda t: F.struct(F.size(t).alias("m"), F.filter(t, lambda g: g.isin(templates)).alias("t3")))).alias("s")).select("doc_id", "par", "cue", "n", "known", "s.m", "s.t3")
+    return some.select("doc_id", "par", "sig", "cue", "r.n", "r.known", F.explode(F.transform(F.array(t3), lambda t: F.struct(F.size(t).alias("m"), F.filter(t, lambda g: g.isin(templates)).alias("t3")))).alias("s")).select("doc_id", "par", "sig", "cue", "n", "known", "s.m", "s.t3")
 
 
 def find_licenses(docs: DataFrame) -> DataFrame:
@@ -160,15 +160,15 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     found = paragraphs(docs, sorted(weights), sorted({r["t3"] for r in rows}))
     sums = F.aggregate("known", F.array(*[F.lit(0.0)] * k), lambda z, g: F.zip_with(z, F.element_at(table, g), lambda a, b: a + b))
     logits = F.zip_with(F.array(*(F.lit(float(b)) for b in bias)), sums, lambda b, x: b + x / F.sqrt(F.greatest(F.col("n"), F.lit(1)).cast("double")))
-    each = found.select("doc_id", "par", "cue", "m", "t3", F.explode(F.array(logits)).alias("z")).withColumn("top", F.array_max("z"))
+    each = found.select("doc_id", "par", "sig", "cue", "m", "t3", F.explode(F.array(logits)).alias("z")).withColumn("top", F.array_max("z"))
     total = F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     best = F.get(F.array(*map(F.lit, names)), (F.array_position("z", F.col("top")) - 1).cast("int"))
-    told = each.select("doc_id", "par", "cue", "m", "t3", best.alias("best"), F.explode(F.array(total)).alias("total"), (F.get("z", F.lit(k - 1)) - F.col("top")).alias("un"))
+    told = each.select("doc_id", "par", "sig", "cue", "m", "t3", best.alias("best"), F.explode(F.array(total)).alias("total"), (F.get("z", F.lit(k - 1)) - F.col("top")).alias("un"))
     # A text without known n-grams gives all families together this share; more than that speaks for them.
     base = 1 - float(np.exp(bias[-1]) / np.exp(np.array(bias)).sum())
-    told = told.select("doc_id", "par", "m", "t3", F.when(1 / F.col("total") >= CERTAIN, F.col("best")).otherwise(UNKNOWN).alias("family"), (1 / F.col("total")).alias("probability"), (F.col("cue") | (1 - F.exp("un") / F.col("total") > base + 1e-9)).alias("speaks"))
+    told = told.select("doc_id", "par", "sig", "m", "t3", F.when(1 / F.col("total") >= CERTAIN, F.col("best")).otherwise(UNKNOWN).alias("family"), (1 / F.col("total")).alias("probability"), (F.col("cue") | (1 - F.exp("un") / F.col("total") > base + 1e-9)).alias("speaks"))
     scored = told.filter((F.col("family") != UNKNOWN) | F.col("speaks") | (F.size("t3") > 0)).distinct()
-    row = ["doc_id", "par", "family", "probability", "speaks"]
+    row = ["doc_id", "par", "sig", "family", "probability", "speaks"]
     hits = scored.select(*row, "m", F.explode_outer("t3").alias("t3")).join(F.broadcast(compare), "t3", "left").groupBy(*row, "m", "fam", "tid", "size").agg(F.count("*").alias("hit"))
     cover = F.greatest(F.col("hit") / F.col("size"), F.col("hit") / F.greatest(F.col("m"), F.lit(1)))
     near = F.when(F.col("fam").isNotNull(), F.struct(cover.alias("covered"), (-F.col("tid")).alias("t")))
