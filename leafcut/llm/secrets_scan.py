@@ -6,7 +6,8 @@ under PEM headers: how many bytes does it add to the compressed context, when th
 identifiers? One that hardly compresses is reported as `novel`. Strings of 16 characters or more count; of digits alone, none.
 
 Defined results: a null text is empty and has no spans; spans are code points, end exclusive; base spans stay as they are,
-and a novel span overlaps none of them; every row of documents gives a row, repeated ones too; other columns are ignored.
+and a novel span overlaps none of them; every row of documents gives a row, repeated ones too; long texts are scanned whole;
+other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -118,12 +119,15 @@ class Scanner:
 
     @staticmethod
     def lines(text: str, start: int) -> str:
-        """The ends, of CONTEXT characters, of the line up to start and of the last line before it that is not blank."""
-        head = text.rfind("\n", 0, start) + 1
-        stop = head
-        while stop and text[stop - 1].isspace():
+        """The ends, of CONTEXT characters, of the line up to start and of the last line before it that is not blank, as far as LINE_BYTES characters show them."""
+        least = max(0, start - LINE_BYTES)
+        head = text.rfind("\n", least, start) + 1
+        if not head:
+            return text[max(least, start - CONTEXT) : start]
+        stop, least = head, max(0, head - LINE_BYTES)
+        while stop > least and text[stop - 1].isspace():
             stop -= 1
-        last = text[max(text.rfind("\n", 0, stop) + 1, stop - CONTEXT) : stop]
+        last = text[max(text.rfind("\n", least, stop) + 1, stop - CONTEXT, 0) : stop]
         return last + "\n" + text[max(head, start - CONTEXT) : start]
 
     @staticmethod
