@@ -8,7 +8,7 @@ Targets may be relative in any form: they are resolved against the page's own ad
 decoded. Dot segments go from targets without a host; addresses with one name their node as they stand.
 
 Defined results: a null address or one without :// has empty host and path, is an alias of nothing and is allowed; null
-html has no links; rows that repeat an address share its verdict; other columns are ignored; no rows give no rows.
+html has no links, nor has a tag that holds <; long html is read whole; rows that repeat an address share its verdict; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from leafcut.llm.common import attach, components, stage, unstage
 #: (verdict, host, path prefix). A rule fits its host and all subdomains; the longest rule wins.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
+#: A rel attribute that has canonical among its tokens. Tags hold no <, so that unclosed ones are read once.
+_CANONICAL = r"""(?i)[\s"'/]rel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical[\s/>])"""
 _ATTR = r"""\s*=\s*["']?([^"'\s>]+)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -50,7 +52,7 @@ def address(url: Column) -> Column:
     """What names a node: the address without its fragment, host in lower case; null without ://."""
     whole = F.regexp_extract(url, r"(?s)^(.*?)://[^/?#]*", 1)
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    return F.when(F.instr(url, "://") > 0, F.concat(F.lower(whole), F.lit("://"), host_of(url), F.when(rest == "", "/").otherwise(rest)))
+    return F.when(F.instr(url, "://") > 0, F.concat(F.translate(whole, _UPPER, _LOWER), F.lit("://"), host_of(url), F.when(rest == "", "/").otherwise(rest)))
 
 
 @F.pandas_udf(StringType())
@@ -89,9 +91,9 @@ def resolved(url: Column, t: Column) -> Column:
 
 def alias_links(pages: DataFrame) -> DataFrame:
     """(url, target): canonical links and immediate redirects that a page's html declares, made absolute."""
-    tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^<>]*>"), F.lit(0))
     tag = F.col("_tag")
-    canonical = F.when(tag.rlike(r"""(?i)\brel\s*=\s*["']?canonical\b"""), F.regexp_extract(tag, r"(?i)\bhref" + _ATTR, 1))
+    canonical = F.when(tag.rlike(_CANONICAL), F.regexp_extract(tag, r"""(?i)[\s"'/]href""" + _ATTR, 1))
     refresh = F.when(tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""), F.regexp_extract(tag, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
     found = pages.filter(F.coalesce("html", F.lit("")).rlike("(?i)canonical|refresh")).select("url", F.explode(tags).alias("_tag")).select("url", F.coalesce(canonical, refresh).alias("t"))
     t = F.when(F.contains("t", F.lit("&")), decoded(F.when(F.contains("t", F.lit("&")), F.col("t")))).otherwise(F.col("t"))
