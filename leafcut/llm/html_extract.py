@@ -3,10 +3,11 @@
 A page is cut into leaf blocks (runs of text between block-level tags). Features of a block are its ancestor tags, the
 words of their class, id and role attributes, and what its text looks like; labels are content and boilerplate. The field
 is trained on labelled pages made by a generator with many layouts (and further pages if given), and Viterbi decodes the
-most likely labelling. Scripts, styles, heads, templates and comments of the markup never become blocks.
+most likely labelling. Scripts, styles, frames, heads, templates, form controls and comments of the markup never become blocks.
 
 Defined results: null or empty html has no text; character references are decoded; white space inside a block becomes one
-blank; unclosed and stray tags are tolerated; blocks come in page order, joined by a line feed; rows that repeat give
+blank; unclosed and stray tags are tolerated; long pages are read whole, in time in proportion to their length; no rows give
+no rows; blocks come in page order, joined by a line feed; rows that repeat give
 repeated rows; other columns are ignored.
 """
 
@@ -17,6 +18,8 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of HTML: elements whose content is not text, elements without content, block-level elements.
-RAW = frozenset("script style".split())
+RAW = frozenset("script style iframe".split())
 RAW_TEXT = frozenset("textarea title".split())
-HIDDEN = frozenset("head noscript template iframe object svg math canvas audio video select datalist option textarea button dialog".split())
+HIDDEN = frozenset("head template select datalist option textarea button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     """address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li
@@ -35,32 +38,52 @@ BLOCK = frozenset(
 #: Elements that a new one of the same set closes, and those that any block closes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _P_ENDERS = BLOCK - {"br", "head", "title", "template", "noscript", "select", "option", "optgroup", "textarea", "button", "iframe", "html", "body", "tr", "td", "th", "tbody", "thead", "tfoot"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|aria-label|itemprop|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: What is not an element, and how an element's tag begins and goes on; each is tried at a place only once.
+_OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_MARK = re.compile(r"<[!?]")
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_REST = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*+>""")
+_ATTR = re.compile(r"""\b(class|id|role|aria-label|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 
 
-def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
-    """(text, ancestors, characters inside links) of each leaf block with text; an ancestor is (tag, attribute words)."""
+class Place(NamedTuple):
+    """What a block's ancestors say, of a size that does not grow with their number: tags that count, the nearest block-level tag, what attribute words hint at, and the nearest such hint."""
+
+    tags: frozenset = frozenset()
+    at: str = "none"
+    hints: frozenset = frozenset()
+    near: str = "none"
+
+    def inside(self, tag: str, words: set) -> Place:
+        own = {_HINT[w] for w in words if w in _HINT}
+        near = next((_HINT[w] for w in sorted(words) if w in _HINT), self.near)
+        tags = self.tags | {tag} if tag in _TAGS and tag not in self.tags else self.tags
+        return Place(tags, tag if tag in BLOCK else self.at, self.hints | own if own - self.hints else self.hints, near)
+
+
+def blocks(page: str | None) -> list[tuple[str, Place, int]]:
+    """(text, place, characters inside links) of each leaf block with text. The time is in proportion to the page: a tag that is never closed is text, and once a quote is never closed, tags end at the first >."""
     page = page or ""
     out: list = []
-    stack: list[tuple[str, frozenset]] = []
+    stack: list[tuple[str, Place]] = []
+    opened: Counter = Counter()
     text: list[str] = []
-    linked, hidden, at = 0, 0, 0
+    linked, hidden, at, quotes, last = 0, 0, 0, True, page.rfind(">")
 
     def add(raw: str) -> None:
         nonlocal linked
         if raw and not hidden:
             text.append(entities.unescape(raw))
-            if any(t == "a" for t, _ in stack):
+            if opened["a"]:
                 linked += len(text[-1].strip())
 
     def flush() -> None:
         nonlocal linked
         got = _SPACE.sub(" ", "".join(text)).strip()
         if got:
-            out.append((got, tuple(stack), linked))
+            out.append((got, stack[-1][1] if stack else Place(), linked))
         text.clear()
         linked = 0
 
@@ -68,7 +91,9 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
         nonlocal hidden
         if any(t in BLOCK for t, _ in stack[k:]):
             flush()
-        hidden -= sum(t in HIDDEN or "\0" in w for t, w in stack[k:])
+        for t, _ in stack[k:]:
+            opened[t] -= 1
+            hidden -= t in HIDDEN
         del stack[k:]
 
     while at < len(page):
@@ -76,24 +101,30 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
         if lt < 0:
             add(page[at:])
             break
-        m = _TOKEN.match(page, lt)
+        add(page[at:lt])
+        if m := _OTHER.match(page, lt):
+            at = m.end()
+            continue
+        if lt > last:
+            end = _MARK.search(page, lt)
+            end = end.start() if end else len(page)
+            add(page[lt:end])
+            at = end
+            continue
+        m = _OPEN.match(page, lt)
         if not m:
-            add(page[at : lt + 1])
+            add("<")
             at = lt + 1
             continue
-        add(page[at:lt])
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
+        rest = _REST.match(page, m.end()) if quotes else None
+        quotes = rest is not None
+        at = rest.end() if rest else page.find(">", m.end()) + 1
+        tag, said = m[2].lower(), page[m.end() : at - 1]
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
-            else:
-                if tag in BLOCK:
-                    flush()
+            if opened[tag]:
+                pop(max(k for k in range(len(stack)) if stack[k][0] == tag) if stack[-1][0] != tag else len(stack) - 1)
+            elif tag in BLOCK:
+                flush()
             continue
         if tag in RAW or tag in RAW_TEXT:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -103,31 +134,28 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
             continue
         if tag in BLOCK:
             flush()
-        if tag in CLOSES:
+        if tag in CLOSES and any(opened[t] for t in CLOSES[tag]):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in CLOSES[tag]:
                     pop(k)
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table", "select"):
                     break
-        if tag in _P_ENDERS:
+        if tag in _P_ENDERS and opened["p"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p":
                     pop(k)
                     break
                 if stack[k][0] in BLOCK:
                     break
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
+        if tag in VOID or said.endswith("/") and tag not in BLOCK:
             continue
-        words = set()
-        for a in _ATTR.finditer(m[3]):
-            name, value = a[1].lower(), (a[2] or a[3] or a[4] or "").lower()
-            if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
-                words.add("\0")
-            elif name != "style":
-                words.update(_NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", a[2] or a[3] or a[4] or "").lower()))
-        stack.append((tag, frozenset(words)))
-        hidden += tag in HIDDEN or "\0" in words
+        words: set = set()
+        for a in _ATTR.finditer(said):
+            words.update(_NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", a[2] or a[3] or a[4] or "").lower()))
+        stack.append((tag, (stack[-1][1] if stack else Place()).inside(tag, words)))
+        opened[tag] += 1
+        hidden += tag in HIDDEN
     flush()
     return out
 
@@ -150,20 +178,14 @@ _HINT = {w: k for k, ws in HINTS.items() for w in ws.split()}
 _TAGS = frozenset("article main nav header footer aside form section figure table ul ol li p h1 h2 h3 h4 blockquote pre div td dl figcaption a".split())
 
 
-def features(found: list[tuple[str, tuple, int]]) -> list[list[str]]:
+def features(found: list[tuple[str, Place, int]]) -> list[list[str]]:
     out = []
-    for i, (text, stack, linked) in enumerate(found):
+    for i, (text, place, linked) in enumerate(found):
         words = text.split()
-        f = {"bias"}
-        tags = [t for t, _ in stack]
-        f.update(f"in:{t}" for t in tags if t in _TAGS)
-        parent = next((t for t in reversed(tags) if t in BLOCK), "none")
-        f.add(f"at:{parent}")
-        hints = {_HINT[w] for _, ws in stack for w in ws if w in _HINT}
-        f.update(f"hint:{h}" for h in hints)
-        near = next((h for _, ws in reversed(stack) for w in sorted(ws) if (h := _HINT.get(w))), "none")
-        f.add(f"near:{near}")
-        if not hints and not {"nav", "header", "footer", "aside", "form"} & set(tags):
+        f = {"bias", f"at:{place.at}", f"near:{place.near}"}
+        f.update(f"in:{t}" for t in place.tags)
+        f.update(f"hint:{h}" for h in place.hints)
+        if not place.hints and not {"nav", "header", "footer", "aside", "form"} & place.tags:
             f.add("plain")
         f.add(f"words:{min(7, int(math.log2(len(words) + 1)))}")
         share = linked / max(1, len(text))
