@@ -20,7 +20,7 @@ LABEL, LABEL_VALUE = r"(?i)^(PAGE|PG)\.?:?\s*$", r"^(\d+)$"
 ANCHOR = r"^(EXHIBIT|SCHEDULE|ATTACHMENT|APPENDIX|ANNEX|ADDENDUM)\b"
 MEMO, MEMO_WORD = r"(?i)^(TO|FROM|DATE|RE|SUBJECT|CC|SENT)\s*:", r"(?i)^MEMORANDUM\s*$"
 ADDRESS, PHONE, WEB = r",\s*[A-Za-z .]+\s+\d{5}(-\d{4})?\b", r"(?i)\b(?:[TF]|TEL|FAX)[:.]?\s*\d{3}[.\-]\d{3}[.\-]\d{4}\b", r"(?i)\bwww\.\S+\.\w+"
-PII = {"ssn": r"\b\d{3}-\d{2}-\d{4}\b", "ein": r"\b\d{2}-\d{7}\b", "phone": r"\(\d{3}\)\s?\d{3}[-.]\d{4}\b|\b\d{3}[-.]\d{3}[-.]\d{4}\b", "email": r"\b[\w.+-]+@[\w-]+\.[A-Za-z]{2,}\b"}
+PII = {"ssn": r"(?U)\b\d{3}-\d{2}-\d{4}\b", "ein": r"(?U)\b\d{2}-\d{7}\b", "phone": r"(?U)\(\d{3}\)\s?\d{3}[-.]\d{4}\b|\b\d{3}[-.]\d{3}[-.]\d{4}\b", "email": r"(?U)\b[\w.+-]+@[\w-]+\.[A-Za-z]{2,}\b"}
 STOP_WORDS = "the of to and in for a on at street st avenue ave road rd floor suite room blvd boulevard drive dr building".split()
 LARGEST_PAGE = 999
 
@@ -86,7 +86,7 @@ def numbering_bare(text: Column, ls: Column | None = None) -> Column:
 def numbering_split(text: Column, ls: Column | None = None) -> Column:
     """The number on the line after a line that is only a page label."""
     ls = lines(text) if ls is None else ls
-    pairs = F.arrays_zip(ls.alias("l"), F.slice(ls, 2, 100_000).alias("n"))
+    pairs = F.arrays_zip(ls.alias("l"), F.slice(ls, F.lit(2), F.greatest(F.size(ls), F.lit(1))).alias("n"))
     hit = F.filter(pairs, lambda x: x["l"].rlike(LABEL) & F.coalesce(x["n"], F.lit("")).rlike(LABEL_VALUE) & F.coalesce(_small(x["n"]), F.lit(False)))
     return first(hit)["n"].try_cast("long")
 

@@ -14,6 +14,10 @@ MISC, MISC_CATEGORY, DRAWING = "supporting_misc", "Supporting / Misc", "engineer
 DRAWING_SHARE, PROTOTYPE_HIGH, PROTOTYPE_LOW, KEYWORDS_MEDIUM, KEYWORDS_ANCHORED, TABLE_DRAWINGS, KEPT = 0.60, 0.82, 0.65, 2, 3, 200, 20
 
 
+#: Settings that a taxonomy may give, by the names it gives them, with what holds where it gives none.
+SETTINGS = {"prototype_min_confidence": PROTOTYPE_HIGH, "low_confidence_threshold": PROTOTYPE_LOW, "keyword_min_hits": 1, "prototype_min_pages_to_save": 2}
+
+
 def segment_inputs(features: DataFrame, index: DataFrame, texts: DataFrame) -> DataFrame:
     """One row a segment: titles, body (the first three texted pages that are not blank), drawing share, tables, first page's anchor. texts: doc_id, page_num, text."""
     rows = features.join(index, ["doc_id", "page_num"]).join(texts.select("doc_id", "page_num", F.col("text").alias("native_text")), ["doc_id", "page_num"], "left")
@@ -30,7 +34,7 @@ def segment_inputs(features: DataFrame, index: DataFrame, texts: DataFrame) -> D
 
 
 def matches(segs: DataFrame, phrases: DataFrame, kind: str, column: str) -> DataFrame:
-    """(doc_id, segment_index, type_ord, type_id, phrase_ord, phrase) of the listed phrases that a text column contains. The taxonomy is small; it is checked and broadcast."""
+    """(doc_id, segment_index, type_ord, type_id, phrase_ord, phrase) of the listed phrases that a text column contains. The taxonomy is a configuration, whose size does not depend on the pages; it is broadcast."""
     own = phrases.filter((F.col("kind") == kind) & (F.col("type_id") != MISC) & (F.col("phrase") != "")).select("type_ord", "type_id", "phrase_ord", F.lower("phrase").alias("phrase"))
     low = segs.select("doc_id", "segment_index", F.lower(F.coalesce(column, F.lit(""))).alias("t"))
     return low.join(F.broadcast(own), F.contains("t", "phrase")).drop("t")
@@ -55,15 +59,17 @@ def centroids(vectors: DataFrame, *keys: str) -> DataFrame:
 
 
 def nearest_prototype(groups: DataFrame, prototypes: DataFrame, *keys: str) -> DataFrame:
-    """The type whose prototypes have the largest positive mean cosine. Prototypes are capped at KEPT a type, and so small enough to broadcast."""
-    sims = groups.join(F.broadcast(prototypes)).select(*keys, "type_ord", "type_id", cosine_or_zero(F.col("centroid"), F.col("vec")).alias("s"))
+    """The type whose prototypes have the largest positive mean cosine. Only the newest KEPT of a type count, so what is broadcast grows with the taxonomy alone."""
+    last = F.row_number().over(Window.partitionBy("type_id").orderBy(F.desc("ord")))
+    few = prototypes.withColumn("_b", last).filter(F.col("_b") <= KEPT).drop("_b")
+    sims = groups.join(F.broadcast(few)).select(*keys, "type_ord", "type_id", cosine_or_zero(F.col("centroid"), F.col("vec")).alias("s"))
     mean = sims.groupBy(*keys, "type_ord", "type_id").agg(F.avg("s").alias("mean_sim")).filter("mean_sim > 0")
     return mean.groupBy(*keys).agg(F.max_by(F.struct("type_id", "mean_sim"), F.struct("mean_sim", -F.col("type_ord"))).alias("b")).select(*keys, "b.type_id", "b.mean_sim")
 
 
-def classify(segs: DataFrame, types: DataFrame, phrases: DataFrame, prototypes: DataFrame | None = None, cents: DataFrame | None = None) -> DataFrame:
-    """document_type_id, confidence, method, category, label, special_tags and whether the segment may teach a prototype. The first pass that answers decides."""
-    key = ["doc_id", "segment_index"]
+def classify(segs: DataFrame, types: DataFrame, phrases: DataFrame, prototypes: DataFrame | None = None, cents: DataFrame | None = None, settings: dict | None = None) -> DataFrame:
+    """settings: those of the taxonomy, see SETTINGS. document_type_id, confidence, method, category, label, special_tags and whether the segment may teach a prototype. The first pass that answers decides."""
+    key, limit = ["doc_id", "segment_index"], {**SETTINGS, **(settings or {})}
     name = lambda df, x, *cols: df.select(*key, *(F.col(c).alias(f"{x}_{c}") for c in cols))
     s = segs.withColumn("both", F.concat_ws(" ", "titles", "body"))
     s = s.join(name(longest_anchor(matches(s, phrases, "anchor", "titles")), "a", "type_id", "phrase"), key, "left").join(name(longest_anchor(matches(s, phrases, "anchor", "body")), "b", "type_id", "phrase"), key, "left")
@@ -75,21 +81,21 @@ def classify(segs: DataFrame, types: DataFrame, phrases: DataFrame, prototypes:
     else:
         s = s.withColumns({"centroid": F.lit(None).cast("array<double>"), "p_type_id": F.lit(None).cast("string"), "p_mean_sim": F.lit(None).cast("double")})
     c = F.col
-    enough = F.when(F.coalesce(F.length("first_anchor"), F.lit(0)) > 0, c("k_hits") >= KEYWORDS_ANCHORED).otherwise(c("k_hits") >= 1)
+    enough = F.when(F.coalesce(F.length("first_anchor"), F.lit(0)) > 0, c("k_hits") >= KEYWORDS_ANCHORED).otherwise(c("k_hits") >= limit["keyword_min_hits"])
     answer = lambda t, conf, how: F.struct(t.alias("document_type_id"), conf.alias("confidence"), how.alias("classification_method"))
     high = F.lit("HIGH")
     anchor = lambda x, where: F.when(c(f"{x}_type_id").isNotNull(), answer(c(f"{x}_type_id"), high, F.concat(F.lit(f"anchor_phrase_{where}:"), F.substring(c(f"{x}_phrase"), 1, 40))))
     r = F.coalesce(
         anchor("a", "bookmark"), anchor("b", "body"),
         F.when(c("drawing_share") >= DRAWING_SHARE, answer(F.lit(DRAWING), high, F.concat(F.lit("visual_fingerprint:"), F.bround(c("drawing_share") * 100, 0).cast("int"), F.lit("%_drawing_pages")))),
-        F.when(c("p_mean_sim") >= PROTOTYPE_LOW, answer(c("p_type_id"), F.when(c("p_mean_sim") >= PROTOTYPE_HIGH, "HIGH").otherwise("MEDIUM"), F.concat(F.lit("prototype_similarity:"), F.format_string("%.3f", F.bround("p_mean_sim", 3))))),
+        F.when(c("p_mean_sim") >= limit["low_confidence_threshold"], answer(c("p_type_id"), F.when(c("p_mean_sim") >= limit["prototype_min_confidence"], "HIGH").otherwise("MEDIUM"), F.concat(F.lit("prototype_similarity:"), F.format_string("%.3f", F.bround("p_mean_sim", 3))))),
         F.when(enough, answer(c("k_type_id"), F.when(c("k_hits") >= KEYWORDS_MEDIUM, "MEDIUM").otherwise("LOW"), F.concat(F.lit("keyword_score:"), c("k_hits"), F.lit("_hits")))),
         answer(F.lit(MISC), F.lit("LOW"), F.lit("default")),
     )
     out = s.withColumn("r", r).select(*segs.columns, "centroid", "r.*")
     out = out.join(F.broadcast(types.select(c("type_id").alias("document_type_id"), c("label").alias("document_type_label"), "category", "ingest_mode")), "document_type_id", "left")
     tags = F.array_compact(F.array(F.when(c("any_drawing"), "engineering_drawing"), F.when(c("has_tables"), "contains_tables")))
-    teaches = (c("confidence") == "HIGH") & c("centroid").isNotNull() & ((c("pages") >= 2) | c("classification_method").startswith("anchor_phrase") | c("classification_method").startswith("visual_fingerprint"))
+    teaches = (c("confidence") == "HIGH") & c("centroid").isNotNull() & ((c("pages") >= limit["prototype_min_pages_to_save"]) | c("classification_method").startswith("anchor_phrase") | c("classification_method").startswith("visual_fingerprint"))
     return out.withColumns({"document_category": F.coalesce("category", F.lit(MISC_CATEGORY)), "document_type_label": F.coalesce("document_type_label", "document_type_id"), "ingest_mode": F.coalesce("ingest_mode", F.lit("standard")), "special_tags": tags, "may_teach": teaches}).drop("category")
 
 

@@ -24,13 +24,29 @@ def segments_summary(classified: DataFrame, described: DataFrame, totals: DataFr
     )
 
 
+#: Fixed value: the status of a run that was only planned.
+DRY_RUN = "dry-run"
+
+
+def batch_plan(inputs: DataFrame, done: DataFrame, root: str) -> DataFrame:
+    """Log rows of a dry run: what would run and where its output would go, in order of file names; inputs (pdf_filename), done (pdf_filename)."""
+    stem = F.regexp_replace("pdf_filename", r"\.[^./]+$", "")
+    return pending(inputs, done, "pdf_filename").select("pdf_filename", F.concat(F.lit(root.rstrip("/") + "/"), stem).alias("output_dir"), F.lit(DRY_RUN).alias("status"), F.lit(0.0).alias("seconds")).orderBy("pdf_filename")
+
+
+def batch_log(runs: DataFrame) -> DataFrame:
+    """Log rows of finished runs: (pdf_filename, output_dir, exit_code, seconds) in; a status that is not 0 is told with its number."""
+    status = F.when(F.col("exit_code") == 0, "OK").otherwise(F.concat(F.lit("FAILED("), "exit_code", F.lit(")")))
+    return runs.select("pdf_filename", "output_dir", status.alias("status"), F.round("seconds", 1).alias("seconds")).orderBy("pdf_filename")
+
+
 def cost_summary(costs: DataFrame, *keys: str) -> DataFrame:
     return costs.groupBy(*keys).agg(F.count("*").alias("calls"), F.sum("text_tokens").alias("text_tokens"), F.sum("image_tokens").alias("image_tokens"), F.bround(F.sum("cost_usd"), 6).alias("cost_usd"), F.bool_or("estimated").alias("any_estimated"))
 
 
 def run_report(summary: DataFrame, scores: DataFrame) -> DataFrame:
-    """One JSON document a bundle: counts, segments in order, and pages in order."""
-    segs = summary.groupBy(F.col("pdf_id").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("seg", "start_page", "end_page", "document_type_id", "confidence", "boundary_signals_fired"))).alias("segments"))
+    """One JSON document a bundle: counts, segments in order with all that the summary has of them, and pages in order."""
+    segs = summary.groupBy(F.col("pdf_id").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("seg", *(c for c in summary.columns if c not in ("seg", "pdf_id", "pdf_filename", "total_pages"))))).alias("segments"))
     pages = scores.groupBy("doc_id").agg(F.count("*").alias("processed_pages"), F.count_if("is_blank").alias("blank_pages"), F.array_sort(F.collect_list(F.struct("page_num", "total_score", "is_boundary"))).alias("pages"))
     return pages.join(segs, "doc_id", "left").select("doc_id", F.to_json(F.struct("processed_pages", "blank_pages", F.size("segments").alias("segment_count"), "segments", "pages")).alias("report"))
 
@@ -55,4 +71,4 @@ def pending(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def batch_counts(log: DataFrame) -> DataFrame:
-    return log.agg(F.count("*").alias("runs"), F.count_if(F.col("status").startswith("FAILED")).alias("failed"), F.count_if(F.col("status") != "DRY_RUN").alias("executed"), F.sum("seconds").alias("seconds"))
+    return log.agg(F.count("*").alias("runs"), F.count_if(F.col("status").startswith("FAILED")).alias("failed"), F.count_if(F.col("status") != DRY_RUN).alias("executed"), F.sum("seconds").alias("seconds"))

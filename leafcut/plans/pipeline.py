@@ -25,8 +25,8 @@ class Result:
         self.scores.unpersist()
 
 
-def run(pages: DataFrame, toc: DataFrame | None, vectors: DataFrame | None, types: DataFrame, phrases: DataFrame, prototypes: DataFrame | None = None, max_pages: int | None = None, exact_duplicates: bool = False) -> Result:
-    """pages follow the page contract; vectors are (doc_id, page_num, image_embedding, text_embedding). Nothing runs until a result is used; release() frees what was kept."""
+def run(pages: DataFrame, toc: DataFrame | None, vectors: DataFrame | None, types: DataFrame, phrases: DataFrame, prototypes: DataFrame | None = None, max_pages: int | None = None, exact_duplicates: bool = False, settings: dict | None = None) -> Result:
+    """pages follow the page contract; vectors are (doc_id, page_num, image_embedding, text_embedding); settings are the taxonomy's. Nothing runs until a result is used; release() frees what was kept."""
     pages = features.capped(pages, max_pages)
     # Features and scores are read several times over; they are kept on disk where memory is short, and made again if an executor is lost.
     f = features.page_features(pages, toc, exact_duplicates).persist(StorageLevel.MEMORY_AND_DISK)
@@ -40,7 +40,7 @@ def run(pages: DataFrame, toc: DataFrame | None, vectors: DataFrame | None, type
     cents = None
     if prototypes is not None:
         cents = classify.centroids(vectors.join(index, ["doc_id", "page_num"]).select("doc_id", "segment_index", F.col("image_embedding").alias("vec")), "doc_id", "segment_index")
-    classified = classify.classify(inputs, types, phrases, prototypes, cents)
+    classified = classify.classify(inputs, types, phrases, prototypes, cents, settings)
     described = scoring.describe(scores, f)
     totals = pages.groupBy("doc_id").agg(F.max("page_num").alias("total_pages"))
     return Result(f, scores, index, scoring.segments(scores), classified, reports.segments_summary(classified, described, totals))
