@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 from leafcut.functions import layout, text
 
@@ -83,7 +83,8 @@ def detected(pages: DataFrame, toc: DataFrame | None = None, exact_duplicates: b
 
 
 FOLD_IN = ("doc_id", "page_num", "is_duplicate_of_prev", "format_label", "prev_label", "drawing_spike", "title", "level", "has_anchor", "cur", "total", "region", "kind", "bare")
-FOLD_OUT = "doc_id string, page_num int, page_num_found long, page_total_found long, numbering_reset boolean, numbering_fresh_start boolean, numbering_scheme_changed boolean, bookmark_suppressed boolean, has_l1_bookmark boolean, format_changed boolean, format_returning boolean"
+STATE_OUT = "page_num_found long, page_total_found long, numbering_reset boolean, numbering_fresh_start boolean, numbering_scheme_changed boolean, bookmark_suppressed boolean, has_l1_bookmark boolean, format_changed boolean, format_returning boolean"
+FOLD_OUT = f"doc_id string, page_num int, {STATE_OUT}"
 
 
 class Fold:
@@ -125,34 +126,41 @@ class Fold:
         return number, of, reset, fresh, other, repeated, mark, changed, returning
 
 
-def folded(rows: DataFrame) -> DataFrame:
-    """The fold over detected pages, of narrow columns only. One document's pages stay in order; a task holds one state, not a document."""
-    narrow = rows.select(
+def with_state(rows: DataFrame) -> DataFrame:
+    """Detected pages with the fold's columns behind their own. rows come from detected(), whose windows left each document's pages together; they are sorted
+    here and passed through once, so there is no further exchange and no join. A task holds one state, not a document."""
+    state_in = [
         "doc_id", "page_num", "is_duplicate_of_prev", "format_label", "prev_label", "drawing_spike", "title", "level",
         (F.col("title_anchor").isNotNull() | F.col("correspondence_labels").isNotNull()).alias("has_anchor"), "labeled.cur", "labeled.total", "labeled.region", "labeled.kind", "bare",
-    )
+    ]
+    kept = [c for c in rows.columns if c not in ("text", "bands", "block", "labeled", "bare", "prev_label")]
+    both = rows.select(*kept, F.struct(*state_in).alias("_in"))
+    names = [*kept, *(x.split()[0] for x in STATE_OUT.split(", "))]
+    kinds = (pa.int64(), pa.int64(), *[pa.bool_()] * 7)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, state = None, Fold()
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in range(b.num_columns)]
             out = []
-            for row in zip(*cols, strict=True):
+            for row in zip(*(x.to_pylist() for x in b.column(b.num_columns - 1).flatten()), strict=True):
                 if row[0] != doc:
                     doc, state = row[0], Fold()
-                out.append((row[0], row[1], *state.step(*row[1:])))
-            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), *[pa.bool_()] * 7)
-            names = [x.split()[0] for x in FOLD_OUT.split(", ")]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * len(kinds), kinds, strict=True)], names)
+                out.append(state.step(*row[1:]))
+            new = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * len(kinds), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *new], names)
+
+    schema = StructType([*both.drop("_in").schema.fields, *StructType.fromDDL(STATE_OUT).fields])
+    return both.sortWithinPartitions("doc_id", "page_num").mapInArrow(run, schema)
 
-    return narrow.repartition("doc_id").sortWithinPartitions("doc_id", "page_num").mapInArrow(run, FOLD_OUT)
+
+def folded(rows: DataFrame) -> DataFrame:
+    """The fold's columns alone."""
+    return with_state(rows).select(*(x.split()[0] for x in FOLD_OUT.split(", ")))
 
 
 def page_features(pages: DataFrame, toc: DataFrame | None = None, exact_duplicates: bool = False) -> DataFrame:
     """All features of each page but its text, which later steps join when they need it."""
-    rows = detected(pages, toc, exact_duplicates)
-    state = folded(rows)
-    full = rows.join(state, ["doc_id", "page_num"])
+    full = with_state(detected(pages, toc, exact_duplicates))
     low = F.col("level") <= 2
     return full.select(
         "doc_id", "page_num", "is_blank", "title_anchor", F.bround("width", 1).alias("w"), F.bround("height", 1).alias("h"), layout.orientation(F.bround("width", 1), F.bround("height", 1)).alias("orientation"),
