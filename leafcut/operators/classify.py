@@ -5,7 +5,7 @@ Matching is by substring on lower-cased text. Every tie is broken by the order o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafcut.functions.vectors import cosine_or_zero
@@ -40,14 +40,31 @@ def matches(segs: DataFrame, phrases: DataFrame, kind: str, column: str) -> Data
     return low.join(F.broadcast(own), F.contains("t", "phrase")).drop("t")
 
 
-def longest_anchor(found: DataFrame) -> DataFrame:
-    best = F.max_by(F.struct("type_id", "phrase"), F.struct(F.length("phrase"), -F.col("type_ord"), -F.col("phrase_ord"))).alias("b")
-    return found.groupBy("doc_id", "segment_index").agg(best).select("doc_id", "segment_index", "b.type_id", "b.phrase")
+def with_listed(segs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """segs with the taxonomy's phrases beside each row, as _anchor and _keyword: arrays of types with their phrases. The taxonomy is one row, and broadcast."""
+    own = phrases.filter((F.col("type_id") != MISC) & (F.col("phrase") != "")).groupBy("kind", "type_ord", "type_id").agg(F.collect_list(F.struct("phrase_ord", F.lower("phrase").alias("phrase"))).alias("ps"))
+    return segs.join(F.broadcast(own.agg(*(F.collect_list(F.when(F.col("kind") == k, F.struct("type_ord", "type_id", "ps"))).alias(f"_{k}") for k in ("anchor", "keyword")))))
 
 
-def most_keywords(found: DataFrame) -> DataFrame:
-    hits = found.groupBy("doc_id", "segment_index", "type_ord", "type_id").agg(F.countDistinct("phrase").alias("hits"))
-    return hits.groupBy("doc_id", "segment_index").agg(F.max_by(F.struct("type_id", "hits"), F.struct("hits", -F.col("type_ord"))).alias("b")).select("doc_id", "segment_index", "b.type_id", "b.hits")
+def _once(value: Column, f) -> Column:
+    """f of a value that is worked out once, however many phrases f holds it against."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _low(column: str) -> Column:
+    return F.lower(F.coalesce(column, F.lit("")))
+
+
+def longest_anchor(column: str) -> Column:
+    """The longest anchor phrase that a text column contains, and its type; of equally long ones the first by type and phrase. Null if there is none."""
+    of = lambda t, low: F.transform(F.filter(t["ps"], lambda p: F.contains(low, p["phrase"])), lambda p: F.struct(F.length(p["phrase"]), -t["type_ord"], -p["phrase_ord"], t["type_id"].alias("type_id"), p["phrase"].alias("phrase")))
+    return _once(_low(column), lambda low: F.array_max(F.flatten(F.transform("_anchor", lambda t: of(t, low)))))
+
+
+def most_keywords(column: str) -> Column:
+    """The type with most distinct keywords in a text column, and their number; of equals the first type. Null if there is none."""
+    hits = lambda t, low: F.size(F.array_distinct(F.filter(F.transform(t["ps"], lambda p: p["phrase"]), lambda p: F.contains(low, p)))).cast("long").alias("hits")
+    return _once(_low(column), lambda low: F.array_max(F.filter(F.transform("_keyword", lambda t: F.struct(hits(t, low), -t["type_ord"], t["type_id"].alias("type_id"))), lambda x: x["hits"] > 0)))
 
 
 def centroids(vectors: DataFrame, *keys: str) -> DataFrame:
@@ -71,9 +88,9 @@ def classify(segs: DataFrame, types: DataFrame, phrases: DataFrame, prototypes:
     """settings: those of the taxonomy, see SETTINGS. document_type_id, confidence, method, category, label, special_tags and whether the segment may teach a prototype. The first pass that answers decides."""
     key, limit = ["doc_id", "segment_index"], {**SETTINGS, **(settings or {})}
     name = lambda df, x, *cols: df.select(*key, *(F.col(c).alias(f"{x}_{c}") for c in cols))
-    s = segs.withColumn("both", F.concat_ws(" ", "titles", "body"))
-    s = s.join(name(longest_anchor(matches(s, phrases, "anchor", "titles")), "a", "type_id", "phrase"), key, "left").join(name(longest_anchor(matches(s, phrases, "anchor", "body")), "b", "type_id", "phrase"), key, "left")
-    s = s.join(name(most_keywords(matches(s, phrases, "keyword", "both")), "k", "type_id", "hits"), key, "left")
+    s = with_listed(segs.withColumn("both", F.concat_ws(" ", "titles", "body")), phrases)
+    s = s.withColumns({"a": longest_anchor("titles"), "b": longest_anchor("body"), "k": most_keywords("both")})
+    s = s.select(*segs.columns, *(F.col(f"{x}.{f}").alias(f"{x}_{f}") for x, f in (("a", "type_id"), ("a", "phrase"), ("b", "type_id"), ("b", "phrase"), ("k", "type_id"), ("k", "hits"))))
     if prototypes is not None and cents is not None:
         open_ = s.filter(F.col("a_type_id").isNull() & F.col("b_type_id").isNull() & (F.col("drawing_share") < DRAWING_SHARE)).select(*key)
         s = s.join(cents.select(*key, "centroid"), key, "left")
