@@ -39,3 +39,30 @@ def is_drawing(w: Column, h: Column, drawings: Column, infos: Column, most: int
     """A landscape page that is one large scan."""
     one = F.get(infos, F.lit(0))
     return F.coalesce((w > h) & (drawings <= most) & (F.size(infos) == 1) & (one["width"].cast("long") * one["height"] > pixels), F.lit(False))
+
+
+_WORDS = "array<array<struct<x0: double, y0: double, x1: double, y1: double, text: string>>>"
+
+
+def lines(ws: Column) -> Column:
+    """A page's words (structs of x0, y0, x1, y1, text) as lines from top to bottom, each from left to right. A word whose middle is above the foot of a line's first word belongs to it, so uneven baselines do not part a line."""
+    inside = lambda line, w: (w["y0"] + w["y1"]) / 2 <= line[0]["y1"]
+
+    def add(found: Column, w: Column) -> Column:
+        last = F.element_at(found, -1)
+        return F.when((F.size(found) > 0) & inside(last, w), F.concat(F.slice(found, 1, F.size(found) - 1), F.array(F.array_append(last, w)))).otherwise(F.concat(found, F.array(F.array(w))))
+
+    down = lambda a, b: F.when(a["y0"] < b["y0"], -1).when(a["y0"] > b["y0"], 1).when(a["x0"] < b["x0"], -1).when(a["x0"] > b["x0"], 1).otherwise(0)
+    each = F.aggregate(F.array_sort(ws, down), F.array().cast(_WORDS), add)
+    return F.transform(each, lambda line: F.array_sort(line))  # noqa: PLW0108
+
+
+def _text(ws: Column) -> Column:
+    return F.trim(F.array_join(F.transform(lines(ws), lambda line: F.array_join(F.transform(line, lambda w: w["text"]), " ")), "\n"))
+
+
+def bands(ws: Column, height: Column, shares: tuple[str, ...] = ("0.12", "0.20", "0.30")) -> Column:
+    """A map of share to the text of a page's words whose middle is in that share of its height at the top (header) and at the bottom (footer)."""
+    mid = lambda w: (w["y0"] + w["y1"]) / 2
+    part = lambda s: F.struct(_text(F.filter(ws, lambda w: mid(w) <= height * float(s))).alias("header"), _text(F.filter(ws, lambda w: mid(w) >= height * (1 - float(s)))).alias("footer"))
+    return F.create_map(*(x for s in shares for x in (F.lit(s), part(s))))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafcut.functions import text
+from leafcut.functions import layout, text
 
 # Labels whose values are redacted, and how far below a label its value may stand.
 LABELS = ("TAXPAYER ID:", "TAX ID:", "TAXPAYER ID", "TAX ID", "EIN:", "EIN", "SSN:", "SSN", "PHONE:", "PHONE", "PH:", "TEL:", "EMAIL:", "EMAIL", "E-MAIL:", "E-MAIL")
@@ -28,12 +28,24 @@ def redacted(pages: DataFrame) -> DataFrame:
 
 
 def label_spans(words: DataFrame) -> DataFrame:
-    """(doc_id, page_num, label, x0, y0, x1, y1): one or two adjacent words of a line that are a label, in any case."""
-    line = Window.partitionBy("doc_id", "page_num", "y0").orderBy("x0")
-    nxt = words.withColumns({"t2": F.lead("text").over(line), "e2": F.lead("x1").over(line)})
-    one = nxt.select("doc_id", "page_num", F.upper("text").alias("label"), "x0", "y0", "x1", "y1")
-    two = nxt.filter("t2 IS NOT NULL").select("doc_id", "page_num", F.upper(F.concat_ws(" ", "text", "t2")).alias("label"), "x0", "y0", F.col("e2").alias("x1"), "y1")
-    return one.unionByName(two).filter(F.col("label").isin(*LABELS))
+    """(doc_id, page_num, ws, label, x0, y0, x1, y1): every place of a label on a line, in any case, also inside a word or over several; ws are the page's words. Within a word, place goes by characters."""
+    pages = words.groupBy("doc_id", "page_num").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1", "text")).alias("ws"))
+    lines = pages.select("doc_id", "page_num", "ws", F.explode(layout.lines(F.col("ws"))).alias("line"))
+    lines = lines.withColumn("t", F.array_join(F.transform("line", lambda w: w["text"]), " "))
+    size = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x))
+    lines = lines.withColumn("line", F.transform("line", lambda w, i: F.struct(w.alias("w"), (size(F.transform(F.slice("line", 1, i), lambda x: x["text"])) + i).alias("at"), F.length(w["text"]).alias("n"))))
+
+    def places(label: str) -> Column:
+        parts = F.split("t", rf"(?i)\Q{label}\E", -1)
+        found = F.transform(parts, lambda _, i: F.struct(F.lit(label).alias("label"), (size(F.slice(parts, 1, i)) + (i - 1) * len(label)).alias("at"), i.alias("i")))
+        return F.filter(found, lambda x: x["i"] > 0)
+
+    spots = lines.withColumn("p", F.explode(F.concat(*map(places, LABELS)))).withColumn("stop", F.col("p.at") + F.length("p.label"))
+    on = spots.withColumn("on", F.filter("line", lambda x: (x["at"] < F.col("stop")) & (x["at"] + x["n"] > F.col("p.at"))))
+    first, last = F.element_at("on", 1), F.element_at("on", -1)
+    along = lambda x, at: x["w"]["x0"] + (x["w"]["x1"] - x["w"]["x0"]) * (at - x["at"]) / x["n"]
+    edge = lambda f, name: f(F.transform("on", lambda x: x["w"][name])).alias(name)
+    return on.select("doc_id", "page_num", "ws", "p.label", along(first, F.col("p.at")).alias("x0"), edge(F.array_min, "y0"), along(last, F.col("stop")).alias("x1"), edge(F.array_max, "y1"))
 
 
 def _values(ws: Column) -> Column:
@@ -44,9 +56,7 @@ def _values(ws: Column) -> Column:
 
 def label_regions(words: DataFrame) -> DataFrame:
     """Distinct boxes around a label's value words: to its right on the line, else on the line below; a page's words are one row, so each label looks at its own page only."""
-    pages = words.groupBy("doc_id", "page_num").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1", "text")).alias("ws"))
-    rows = label_spans(words).join(pages, ["doc_id", "page_num"])
-    c = F.col
+    rows, c = label_spans(words), F.col
     mid = lambda x: (x["y0"] + x["y1"]) / 2
     right = F.array_sort(F.filter("ws", lambda x: (mid(x) >= c("y0") - SLACK) & (mid(x) <= c("y1") + SLACK) & (x["x0"] >= c("x1") - SLACK)))
     down = F.filter("ws", lambda x: (x["y0"] >= c("y1") - SLACK) & (x["y0"] <= c("y1") + GAP) & (x["x0"] <= c("x1") + RIGHT))

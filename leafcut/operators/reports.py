@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafcut.functions.text import slug
+from leafcut.operators import scoring, similarity
 
 
 def output_name(df: DataFrame) -> DataFrame:
@@ -44,11 +45,30 @@ def cost_summary(costs: DataFrame, *keys: str) -> DataFrame:
     return costs.groupBy(*keys).agg(F.count("*").alias("calls"), F.sum("text_tokens").alias("text_tokens"), F.sum("image_tokens").alias("image_tokens"), F.bround(F.sum("cost_usd"), 6).alias("cost_usd"), F.bool_or("estimated").alias("any_estimated"))
 
 
-def run_report(summary: DataFrame, scores: DataFrame) -> DataFrame:
-    """One JSON document a bundle: counts, segments in order with all that the summary has of them, and pages in order."""
-    segs = summary.groupBy(F.col("pdf_id").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("seg", *(c for c in summary.columns if c not in ("seg", "pdf_id", "pdf_filename", "total_pages"))))).alias("segments"))
-    pages = scores.groupBy("doc_id").agg(F.count("*").alias("processed_pages"), F.count_if("is_blank").alias("blank_pages"), F.array_sort(F.collect_list(F.struct("page_num", "total_score", "is_boundary"))).alias("pages"))
-    return pages.join(segs, "doc_id", "left").select("doc_id", F.to_json(F.struct("processed_pages", "blank_pages", F.size("segments").alias("segment_count"), "segments", "pages")).alias("report"))
+def _config() -> Column:
+    """The limits and weights that decided, as a struct."""
+    named = lambda **v: F.struct(*(F.lit(x).alias(k) for k, x in v.items()))
+    weights = named(structural=scoring.STRUCTURAL, returning_format=scoring.RETURNING, numbering_fresh=scoring.FRESH, numbering_reset=scoring.RESET, scheme_change=scoring.SCHEME, embedding_high=scoring.HIGH, embedding_moderate=scoring.EACH, drawing=scoring.DRAWING, letterhead=scoring.LETTERHEAD, penalty=scoring.PENALTY)
+    return F.struct(weights.alias("weights"), *(F.lit(v).alias(k) for k, v in (("boundary_threshold", scoring.BOUNDARY), ("z_threshold", similarity.MODERATE_Z), ("z_high_threshold", similarity.HIGH_Z), ("min_absolute_drop", similarity.LEAST_DROP))))
+
+
+def run_report(summary: DataFrame, scores: DataFrame, meta: DataFrame | None = None, timing: DataFrame | None = None, costs: DataFrame | None = None) -> DataFrame:
+    """One JSON document a bundle: metadata, timing, cost, every segment and page in order with all that is known of them, and the configuration.
+    meta and timing have a row a bundle (doc_id and any columns), costs some (doc_id and the columns of cost_summary); what is not given is left out."""
+    parts = summary.withColumn("special_tags", F.filter(F.split("special_tags", r"\|"), lambda t: t != ""))
+    segs = parts.groupBy(F.col("pdf_id").alias("doc_id")).agg(F.first("pdf_filename").alias("input_pdf"), F.max("total_pages").alias("total_pages"), F.array_sort(F.collect_list(F.struct(F.col("seg").alias("segment_index"), *(c for c in parts.columns if c != "seg")))).alias("segments"))
+    pages = scores.groupBy("doc_id").agg(F.count("*").alias("pages_processed"), F.count_if("is_blank").alias("blank_pages_skipped"), F.array_sort(F.collect_list(F.struct("page_num", *(c for c in scores.columns if c not in ("doc_id", "page_num"))))).alias("per_page_detail"))
+    rows = pages.join(segs, "doc_id", "left")
+    one = lambda df, name: df.select("doc_id", F.struct(*(c for c in df.columns if c != "doc_id")).alias(name))
+    told = ["input_pdf", "total_pages", "pages_processed", "blank_pages_skipped", F.size(F.coalesce("segments", F.array())).alias("segments_found")]
+    if meta is not None:
+        rows, told = rows.join(one(meta, "_meta"), "doc_id", "left"), [*told, *(F.col(f"_meta.{c}") for c in meta.columns if c != "doc_id")]
+    if timing is not None:
+        rows = rows.join(one(timing, "timing_seconds"), "doc_id", "left")
+    if costs is not None:
+        rows = rows.join(one(costs, "c").groupBy("doc_id").agg(F.array_sort(F.collect_list("c")).alias("cost_and_tokens")), "doc_id", "left")
+    more = [c for c, x in (("timing_seconds", timing), ("cost_and_tokens", costs)) if x is not None]
+    return rows.select("doc_id", F.to_json(F.struct(F.struct(*told).alias("run_metadata"), *more, "segments", "per_page_detail", _config().alias("config"))).alias("report"))
 
 
 def merged(parts: list[DataFrame]) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from leafcut.functions import layout
+
 RAW_PAGES = "doc_id string, page_num int, width double, height double, text string, bands map<string, struct<header: string, footer: string>>, drawing_count int, image_count int, image_area double, image_infos array<struct<width: int, height: int, colorspace: int>>"
 # Defaults of a taxonomy's settings.
 DEFAULTS = {"prototype_min_confidence": 0.82, "keyword_min_hits": 1, "low_confidence_threshold": 0.65, "prototype_min_pages_to_save": 2}
@@ -81,35 +83,49 @@ def failures(files: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 class EmbeddingProvider(Protocol):
-    """Vectors for a batch of page texts: (image vector, text vector, method) each."""
+    """Vectors for a batch of pages: (image vector, text vector, method) each, and the text and image tokens it used if it tells them. Where pages have an `image` column, the page images (PNG bytes or null) come second."""
 
-    def __call__(self, texts: list[str]) -> list[tuple[list[float] | None, list[float] | None, str]]: ...
+    def __call__(self, texts: list[str], images: list[bytes | None] = ...) -> list[tuple]: ...
 
 
 EMPTY_PAGE = "document page"
+_EMBEDDED = "doc_id string, page_num int, image_embedding array<double>, text_embedding array<double>, method string, text_tokens long, image_tokens long"
 
 
 def embed(pages: DataFrame, providers: list[EmbeddingProvider], tries: int = 5, wait: Callable[[int], None] | None = None) -> DataFrame:
-    """Vectors of pages that are not blank: each provider is tried `tries` times, then the next one is."""
+    """Vectors of pages that are not blank: each provider is tried `tries` times, then the next one is. Tokens feed the cost summary; they are null where a provider tells none."""
+    pictured = "image" in pages.columns
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            texts = [t or EMPTY_PAGE for t in p["text"]]
+            given = [[(t or "").strip() or EMPTY_PAGE for t in p["text"]]]
+            if pictured:
+                given.append([None if x is None else bytes(x) for x in p["image"]])
             got = None
             for provider in providers:
                 for k in range(tries):
                     try:
-                        got = provider(texts)
+                        got = provider(*given)
                         break
                     except Exception:  # noqa: BLE001  tried again, then the next provider
                         if wait:
                             wait(k)
                 if got is not None:
                     break
-            got = got or [(None, None, "failed")] * len(texts)
-            yield pd.DataFrame({"doc_id": p["doc_id"], "page_num": p["page_num"], "image_embedding": [g[0] for g in got], "text_embedding": [g[1] for g in got], "method": [g[2] for g in got]})
+            got = [(*g, None, None)[:5] for g in got or [(None, None, "failed")] * len(p)]
+            out = pd.DataFrame({"doc_id": p["doc_id"], "page_num": p["page_num"]})
+            for i, name in enumerate(("image_embedding", "text_embedding", "method", "text_tokens", "image_tokens")):
+                out[name] = pd.Series([g[i] for g in got], index=p.index, dtype="Int64" if i > 2 else "object")
+            yield out
+
+    return pages.filter("NOT is_blank").select("doc_id", "page_num", "text", *(["image"] if pictured else [])).mapInPandas(run, _EMBEDDED)
+
 
-    return pages.filter("NOT is_blank").select("doc_id", "page_num", "text").mapInPandas(run, "doc_id string, page_num int, image_embedding array<double>, text_embedding array<double>, method string")
+def with_bands(pages: DataFrame, words: DataFrame) -> DataFrame:
+    """Pages (doc_id, page_num, width, height, ...) of a decoder that gives words by position, with the header and footer bands that the detectors read; a page without words has empty ones."""
+    ws = words.groupBy("doc_id", "page_num").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1", "text")).alias("_ws"))
+    none = F.array().cast("array<struct<x0: double, y0: double, x1: double, y1: double, text: string>>")
+    return pages.drop("bands").join(ws, ["doc_id", "page_num"], "left").withColumn("bands", layout.bands(F.coalesce("_ws", none), F.col("height"))).drop("_ws")
 
 
 class _FilePart(InputPartition):
