@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import warnings
 from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
@@ -17,10 +19,21 @@ RAW_PAGES = "doc_id string, page_num int, width double, height double, text stri
 DEFAULTS = {"prototype_min_confidence": 0.82, "keyword_min_hits": 1, "low_confidence_threshold": 0.65, "prototype_min_pages_to_save": 2}
 
 
-def bundles(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """doc_id, path and bytes of the PDF files of a folder, extension in any case, ordered by path."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").option("recursiveFileLookup", str(recursive).lower()).load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("doc_id"), "path", "length", "content").orderBy("path")
+def bundles(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
+    """doc_id, path and bytes of the PDF files of folders and of single files, extension in any case, ordered by path. An input that does not exist is warned of and left out; one file named twice comes once."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").option("recursiveFileLookup", str(recursive).lower())
+    known = [x for x in ([path] if isinstance(path, str) else path) if exists(spark, x)]
+    rows = files.load(known) if known else spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
+    return rows.select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("doc_id"), "path", "length", "content").dropDuplicates(["path"]).orderBy("path")
+
+
+def exists(spark: SparkSession, path: str, warn: bool = True) -> bool:
+    """Whether a path is there, in whatever store Spark reads it from."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+    if warn and not found:
+        warnings.warn(f"not found, skipped: {path}", stacklevel=3)
+    return found
 
 
 def taxonomy(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, dict]:
@@ -50,9 +63,19 @@ def write_prototypes(kept: DataFrame, path: str) -> int:
 
 
 def summaries(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Rows of per-bundle summary files, one folder level down, with the file that each came from; by position under the first header."""
-    read = spark.read.option("header", True).option("enforceSchema", True)
-    return (read.schema(schema) if schema else read).csv(f"{path}/*/*.csv").withColumn("_file", F.input_file_name())
+    """Rows of per-bundle summary files, one folder level down, with the file that each came from and its place there; by position under the header of the first file that has one.
+    Files without any line give nothing. A header line that differs is warned of, and its rows are kept by position."""
+    text = spark.read.text(f"{path}/*/*.csv", wholetext=True).withColumn("_file", F.input_file_name())
+    heads = text.select("_file", F.regexp_extract("value", r"^\x{FEFF}?([^\r\n]*)", 1).alias("head")).filter("head <> ''")
+    first = heads.agg(F.min(F.struct("_file", "head")).alias("m")).select("m.head").first()[0]
+    if first is None:
+        return spark.createDataFrame([], f"{schema + ', ' if schema else ''}_file string")
+    for (other,) in heads.filter(F.col("head") != first).select(F.min("_file")).collect():
+        if other:
+            warnings.warn(f"columns may not line up: the header of {other} differs from the first file's", stacklevel=2)
+    shape = schema or ", ".join(f"`{c}` string" for c in next(csv.reader([first])))
+    read = spark.read.option("header", True).option("enforceSchema", True).option("multiLine", True).option("escape", '"').schema(shape)
+    return read.csv(f"{path}/*/*.csv").withColumn("_file", F.input_file_name())
 
 
 class PageDecoder(Protocol):
