@@ -362,7 +362,8 @@ def _near(docs: DataFrame) -> DataFrame:
     groups = stage(grouped.groupBy("g", "doc", "n").agg(F.min("p").alias("p")), "groups")
     if chosen is not None:
         chosen.destroy()
-    parts = stage(scanned.filter("n > 0").select(F.col("node").alias("doc"), "pick", "parts", "fold").join(groups.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "parts")
+    # One row a set before the join, so that many copies of one text are brought together within tasks first.
+    parts = stage(scanned.filter("n > 0").select(F.col("node").alias("doc"), "pick", "parts", "fold").dropDuplicates(["doc"]).join(groups.select("doc").distinct(), "doc"), "parts")
 
     links, tried, found = None, None, None
     turn = 0
