@@ -336,11 +336,11 @@ def _close(x: str, y: str, n: str, m: str) -> str:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each document."""
-    return _near(docs).drop("pick")
+    return _near(docs)[0].drop("pick")
 
 
-def _near(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and row_id (as pick) for each document. Nodes are sets, not identifiers, so texts that share an identifier stay apart."""
+def _near(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """doc_id, n_shingles, component_id and row_id (as pick) for each document, and the staged tables that this frame reads. Nodes are sets, not identifiers, so texts that share an identifier stay apart."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_id().alias("pick"))
     scanned = stage(docs.mapInArrow(_scan, _SCANNED), "sets")
@@ -365,7 +365,7 @@ def _near(docs: DataFrame) -> DataFrame:
     # One row a set before the join, so that many copies of one text are brought together within tasks first.
     parts = stage(scanned.filter("n > 0").select(F.col("node").alias("doc"), "pick", "parts", "fold").dropDuplicates(["doc"]).join(groups.select("doc").distinct(), "doc"), "parts")
 
-    links, tried, found = None, None, None
+    links, tried, found, kept = None, None, None, [sets, groups, parts]
     turn = 0
     while turn <= HUB_ROUNDS:
         now = groups.withColumn("c", F.col("doc"))
@@ -381,7 +381,8 @@ def _near(docs: DataFrame) -> DataFrame:
             rest = [F.min(F.struct(F.col(f"h{i}.x").alias("x"), F.col(f"h{i}.a").alias("a"), F.col(f"h{i}.na").alias("na"), F.col(f"h{i}.pa").alias("pa"), F.col("c").alias("ca"))).alias(f"r{i}") for i in range(1, HUBS + 1)]
             hubs = per.join(main, "g").filter("c <> main").groupBy("g", "gk", "main", "m0").agg(*rest)
             hubs = hubs.select("g", "gk", "main", F.array("m0", *(F.struct(f"r{i}.a", f"r{i}.na", f"r{i}.pa", f"r{i}.ca", F.lit(i).alias("kind")) for i in range(1, HUBS + 1))).alias("hubs"))
-            near = attach(now, stage(hubs, "hubs"), "g", "gk", n_rows).filter("c <> main").select("doc", "n", "p", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'p', 'na', 'pa')}")
+            spent = stage(hubs, "hubs")
+            near = attach(now, spent, "g", "gk", n_rows).filter("c <> main").select("doc", "n", "p", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'p', 'na', 'pa')}")
             near = near.groupBy("doc", "n", "a", "na", "kind").agg(F.count("*").alias("k")).withColumnsRenamed({"a": "x", "na": "nx"})
             near = near.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"), F.when(F.col("x") < F.col("doc"), F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(F.col("x") < F.col("doc"), F.col("n")).otherwise(F.col("nx")).alias("nb"), "doc", "kind", "k")
             if tried is not None:
@@ -392,6 +393,7 @@ def _near(docs: DataFrame) -> DataFrame:
             # All candidate pairs across components: rows outside a group's largest component, against all rows.
             open_ = now.join(main.select("g", "main"), "g")
             open_ = stage(open_.join(parts.select("doc", "fold"), "doc"), "open")
+            spent = open_
             few = open_.filter("c <> main").select("g", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("p").alias("px"), F.col("c").alias("cx"), F.col("fold").alias("fx"))
             met = few.join(open_, "g").filter(f"c <> cx AND (c = main OR x < doc) AND {_fits('n', 'p', 'nx', 'px')} AND {_close('fold', 'fx', 'n', 'nx')}")
             pairs = met.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"), F.when(F.col("x") < F.col("doc"), F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(F.col("x") < F.col("doc"), F.col("n")).otherwise(F.col("nx")).alias("nb")).distinct()
@@ -399,22 +401,26 @@ def _near(docs: DataFrame) -> DataFrame:
                 pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         n_pairs = pairs.count()
+        unstage(spent)
         bounds, pa_ = _split(pairs, "a", "b", parts.select("doc", F.col("parts").alias("pa")), n_pairs)
         bounds, pb_ = _split(bounds, "b", "a", parts.select("doc", F.col("parts").alias("pb")), n_pairs)
         bounds = bounds.join(pa_, ["a", "sa"]).join(pb_, ["b", "sb"])
         near_ = stage(bounds.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_may_link, "a long, b long, na long, nb long"), "near")
         wanted = near_.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        source, needed = among(known, "pick", stage(parts.join(wanted, "doc").select("pick"), "wanted"))
+        wanted = stage(parts.join(wanted, "doc").select("pick"), "wanted")
+        source, needed = among(known, "pick", wanted)
         segments = source.mapInArrow(_segments((levels, needed)), "doc long, frag int, els array<long>")
         segments = stage(segments.dropDuplicates(["doc", "frag"]) if twice else segments, "segments")
         good = stage(_verified(near_, segments, near_.count()), "links")
-        unstage(segments, near_)
+        unstage(segments, near_, wanted)
+        kept += [pairs, good]
         if needed is not None:
             needed.destroy()
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = good if links is None else links.unionByName(good)
         if turn == 0 or not good.isEmpty():
             found = stage(components(links, "a", "b"), "components")
+            kept.append(found)
         unstage(now)
         release(spark)
         # A round without new pairs ends the rounds; the last turn, over all that is left, always comes.
@@ -423,15 +429,20 @@ def _near(docs: DataFrame) -> DataFrame:
     classes = sets.join(found, sets["node"] == found["node"], "left").select("key", "size", "rep", F.coalesce("component", sets["node"]).alias("c"))
     least = stage(classes.groupBy("c").agg(F.min("rep").alias("component_id"), F.count("*").alias("k")), "least")
     answers = stage(attach(classes, least, "c", "k", sets.count()).select("key", "size", "component_id"), "answers")
-    unstage(groups, parts, least)
+    # All that the answers were made from is spent now.
+    unstage(*kept, least)
+    release(spark)
     full = attach(rows.filter("n > 0"), answers, "key", "size", max(1, rows.count()))
     full = full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "pick")
-    return full.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "pick"))
+    return full.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "pick")), [scanned, answers]
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs with one document of each group of near duplicates, the one with the smallest identifier; rows of the group that share it all stay, and so do rows without an identifier."""
-    return without(docs, stage(_near(docs).filter("component_id <> doc_id").select(F.col("pick").alias("_gone")).distinct(), "gone"))
+    near, read = _near(docs)
+    gone = stage(near.filter("component_id <> doc_id").select(F.col("pick").alias("_gone")).distinct(), "gone")
+    unstage(*read)
+    return without(docs, gone)
 
 
 SQL = r"""
