@@ -140,18 +140,18 @@ def passing(shared, ids: np.ndarray) -> np.ndarray:
 
 
 def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
-    """Connected components by alternating large and small stars: (node, component), component the smallest node that links reach. Nodes without a link to another node have no row. Each round is written to the shared folder; nothing is collected but a count and a checksum."""
+    """Connected components by alternating large and small stars: (node, component), component the smallest node that links reach. Nodes without a link to another node have no row. Each round is written to the shared folder; nothing is collected but two counts, which tell when every node that is left hangs on one centre."""
     pair = lambda df, x, y: df.select(F.least(x, y).alias("v"), F.greatest(x, y).alias("u")).filter("u <> v").distinct()
     now = stage(pair(edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), F.col(a), F.col(b)), "stars")
-    last = None
     for _ in range(rounds):
-        mark = now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
-        if mark[0] == 0 or mark == last:
+        ends = now.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+        per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+        total, astray = per.agg(F.coalesce(F.sum("up"), F.lit(0)), F.count_if(F.expr("up > 1 OR up = 1 AND least = 0"))).first()
+        if not astray:
             break
-        last = mark
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("k"))
-        large = attach(both.filter("v > u"), low, "u", "k", 2 * mark[0]).select(F.col("v").alias("x"), F.col("m").alias("y"))
+        large = attach(both.filter("v > u"), low, "u", "k", 2 * total).select(F.col("v").alias("x"), F.col("m").alias("y"))
         large = pair(large, F.col("x"), F.col("y"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.col("v"), F.col("u"))).alias("x"), F.col("m").alias("y"))

@@ -34,7 +34,7 @@ FRAGMENTS = 4
 #: Least and most bits of a set's parity map, which bounds an overlap from above before it is counted; between them a map has a bit a shingle or more.
 LEAST_BITS, MOST_BITS = 512, 1 << 15
 #: Rounds of hubs before all remaining candidates are compared, and hubs of each group outside its largest component.
-HUB_ROUNDS, HUBS = 3, 3
+HUB_ROUNDS, HUBS = 2, 3
 _CHUNK = 1 << 19
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -365,7 +365,7 @@ def _near(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     # One row a set before the join, so that many copies of one text are brought together within tasks first.
     parts = stage(scanned.filter("n > 0").select(F.col("node").alias("doc"), "pick", "parts", "fold").dropDuplicates(["doc"]).join(groups.select("doc").distinct(), "doc"), "parts")
 
-    links, tried, found, kept = None, None, None, [sets, groups, parts]
+    tried, found, kept = None, None, [sets, groups, parts]
     turn = 0
     while turn <= HUB_ROUNDS:
         now = groups.withColumn("c", F.col("doc"))
@@ -413,15 +413,16 @@ def _near(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         segments = stage(segments.dropDuplicates(["doc", "frag"]) if twice else segments, "segments")
         good = stage(_verified(near_, segments, near_.count()), "links")
         unstage(segments, near_, wanted)
-        kept += [pairs, good]
+        kept.append(pairs)
         if needed is not None:
             needed.destroy()
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = good if links is None else links.unionByName(good)
         if turn == 0 or not good.isEmpty():
-            found = stage(components(links, "a", "b"), "components")
-            kept.append(found)
-        unstage(now)
+            # What is known already goes in as one link a node, not as all links so far.
+            links = good.select("a", "b") if found is None else good.select("a", "b").union(found.filter("node <> component"))
+            before, found = found, stage(components(links, "a", "b"), "components")
+            unstage(*[before] if before is not None else [])
+        unstage(now, good)
         release(spark)
         # A round without new pairs ends the rounds; the last turn, over all that is left, always comes.
         turn = max(turn + 1, HUB_ROUNDS) if turn < HUB_ROUNDS and pairs.isEmpty() else turn + 1
@@ -430,7 +431,7 @@ def _near(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     least = stage(classes.groupBy("c").agg(F.min("rep").alias("component_id"), F.count("*").alias("k")), "least")
     answers = stage(attach(classes, least, "c", "k", sets.count()).select("key", "size", "component_id"), "answers")
     # All that the answers were made from is spent now.
-    unstage(*kept, least)
+    unstage(*kept, found, least)
     release(spark)
     full = attach(rows.filter("n > 0"), answers, "key", "size", max(1, rows.count()))
     full = full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "pick")
