@@ -124,8 +124,8 @@ FE AS MATERIALIZED (SELECT D.*, number AS page_num_found, CASE WHEN number IS NO
     repeated AS bookmark_suppressed, mark AS has_l1_bookmark, changed AS format_changed, ret AS format_returning, CASE WHEN mark THEN title END AS bookmark_title, level AS bookmark_level FROM D JOIN FOLD f USING (doc_id, page_num))"""
 
 VECTORS = """
-V AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE vec_id < 500),
-PV AS MATERIALIZED (SELECT P.doc_id, P.page_num, list_transform(range(1, len(a.e) + 1), lambda k: a.e[k] + 0.3::DOUBLE * b.e[k]) AS vec FROM P JOIN V a ON a.vec_id = (P.page_num // 10) % 20 JOIN V b ON b.vec_id = 50 + P.i % 400)"""
+V AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+PV AS MATERIALIZED (SELECT P.doc_id, P.page_num, list_transform(range(1, len(a.e) + 1), lambda k: a.e[k] + 0.3::DOUBLE * b.e[k]) AS vec FROM P JOIN V a ON a.vec_id = (P.page_num // 10) % 20 JOIN V b ON b.vec_id = (50 + P.i) % (SELECT max(vec_id) + 1 FROM embeddings))"""
 
 
 def flags(source: str, name: str = "FL") -> str:

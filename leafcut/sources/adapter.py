@@ -70,9 +70,10 @@ def vector_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors for the page streams: pages of a stream share a vector by tens, blended with their own."""
     v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
-    p = raw_pages(spark, sf_dir).select("doc_id", "page_num", "i", (F.floor(F.col("page_num") / 10) % 20).cast("long").alias("g"), (50 + F.col("i") % 400).alias("o"))
-    small = v.filter("vec_id < 500")
-    both = p.join(F.broadcast(small.select(F.col("vec_id").alias("g"), F.col("e").alias("a"))), "g").join(F.broadcast(small.select(F.col("vec_id").alias("o"), F.col("e").alias("b"))), "o")
+    size = v.agg(F.greatest(F.max("vec_id") + 1, F.lit(1)).alias("size"))  # one row
+    p = raw_pages(spark, sf_dir).crossJoin(F.broadcast(size)).select("doc_id", "page_num", (F.floor(F.col("page_num") / 10) % 20).cast("long").alias("g"), ((50 + F.col("i")) % F.col("size")).alias("o"))
+    shared = F.broadcast(v.filter("vec_id < 20").select(F.col("vec_id").alias("g"), F.col("e").alias("a")))  # one of twenty for each ten pages
+    both = p.join(shared, "g").join(v.select(F.col("vec_id").alias("o"), F.col("e").alias("b")), "o")
     return both.select("doc_id", "page_num", F.zip_with("a", "b", lambda x, y: x + F.lit(0.3) * y).alias("vec"))
 
 
