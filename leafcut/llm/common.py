@@ -56,6 +56,13 @@ def unstage(*frames: DataFrame) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    """Deletes a folder of the shared storage, now or when the application ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.deleteOnExit(p) if at_exit else fs.delete(p, True)
+
+
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Left join of rows with one row per key. Hot keys, HOT_SHARE of the rows or more and so a fixed number at most, are broadcast; the others are shuffled."""
     least = max(int(total * HOT_SHARE), HOT_LEAST)

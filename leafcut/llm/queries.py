@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafcut.llm import decontaminate, exact_dedup, html_extract, language_id, license_scan, mixing, ngram_join, secrets_scan, toxicity, url_filter
+from leafcut.llm import decontaminate, exact_dedup, html_extract, language_id, license_scan, mixing, ngram_join, peak_sweep, periodic, secrets_scan, toxicity, url_filter, warc
 from leafcut.llm.common import table
 
 
@@ -46,5 +46,17 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.predict_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_license_scan, op3_mixing, op4_language_id, op5_html_extract, op6_decontaminate, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity)}
-SQL = {"op1_ngram_join": ngram_join.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
+def op11_warc(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
+def op13_peak_sweep(spark, sf_dir):
+    return peak_sweep.open_sales(*(table(spark, sf_dir, t) for t in ("sales", "sale_lines", "clients")))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_license_scan, op3_mixing, op4_language_id, op5_html_extract, op6_decontaminate, op7_exact_dedup, op8_secret_scan, op9_url_filter, op10_toxicity, op11_warc, op12_periodic_runs, op13_peak_sweep)}
+SQL = {"op1_ngram_join": ngram_join.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL, "op11_warc": warc.SQL, "op12_periodic_runs": periodic.SQL, "op13_peak_sweep": peak_sweep.SQL}
