@@ -117,11 +117,18 @@ def classify(segs: DataFrame, types: DataFrame, phrases: DataFrame, prototypes:
 
 
 def keep_prototypes(old: DataFrame, new: DataFrame, most: int = KEPT) -> DataFrame:
-    """type_id, ord, vec: the last `most` prototypes of each type, renumbered, after adding the new behind the old."""
-    both = old.select("type_id", F.lit(0).alias("_new"), "ord", "vec").unionByName(new.select("type_id", F.lit(1).alias("_new"), "ord", "vec"))
-    back = F.row_number().over(Window.partitionBy("type_id").orderBy(F.desc("_new"), F.desc("ord")))
-    kept = both.withColumn("_b", back).filter(F.col("_b") <= most)
-    return kept.withColumn("ord", F.row_number().over(Window.partitionBy("type_id").orderBy(F.desc("_b")))).drop("_b", "_new")
+    """type_id, ord, vec and whatever columns both have: the last `most` prototypes of each type, renumbered, after adding the new behind the old. Each task hands on its last ones of a type only, so a type may have any number of new vectors. ord may be of any kind that can be ordered."""
+    newest = lambda df: df.withColumn("_b", F.row_number().over(Window.partitionBy("type_id").orderBy(F.desc("ord")))).filter(F.col("_b") <= most)
+    both = newest(old).withColumn("_new", F.lit(0)).drop("ord").unionByName(newest(new).withColumn("_new", F.lit(1)).drop("ord"))
+    kept = both.withColumn("_k", F.row_number().over(Window.partitionBy("type_id").orderBy(F.desc("_new"), "_b"))).filter(F.col("_k") <= most)
+    kept = kept.withColumn("ord", F.row_number().over(Window.partitionBy("type_id").orderBy(F.desc("_k"))))
+    return kept.select("type_id", "ord", "vec", *(c for c in new.columns if c not in ("type_id", "ord", "vec")))
+
+
+def taught(classified: DataFrame, types: DataFrame) -> DataFrame:
+    """type_id, ord, vec of the segments that may teach, by document and segment; only known types learn."""
+    rows = classified.filter("may_teach").select(F.col("document_type_id").alias("type_id"), F.struct("doc_id", "segment_index").alias("ord"), F.col("centroid").alias("vec"))
+    return rows.join(F.broadcast(types.select("type_id")), "type_id", "left_semi")
 
 
 def stats(types: DataFrame, phrases: DataFrame, prototypes: DataFrame) -> DataFrame:

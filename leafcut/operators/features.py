@@ -53,8 +53,8 @@ def capped(pages: DataFrame, most: int | None) -> DataFrame:
     return pages if most is None else pages.filter(F.col("page_num") <= most)
 
 
-def detected(pages: DataFrame, toc: DataFrame | None = None, exact_duplicates: bool = False) -> DataFrame:
-    """Row-local signals and those of the page before; the columns that the fold needs among them. exact_duplicates: only equal texts are duplicates."""
+def detected(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
+    """Row-local signals and those of the page before; the columns that the fold needs among them."""
     if toc is None:
         marked = pages.withColumns({"title": F.lit(None).cast("string"), "level": F.lit(None).cast("int")})
     else:
@@ -77,7 +77,7 @@ def detected(pages: DataFrame, toc: DataFrame | None = None, exact_duplicates: b
         "drawing_density_drop": F.coalesce((prev_d > SPIKE_LEAST) & (d < prev_d / SPIKE_FACTOR), F.lit(False)),
         "prev_block": F.last("block", ignorenulls=True).over(by_page().rowsBetween(Window.unboundedPreceding, -1)),
     })
-    same = F.coalesce((F.length(t) > DUPLICATE_CHARS) & (t == F.col("prev_text")), F.lit(False)) if exact_duplicates else similar_enough(t, F.col("prev_text"))
+    same = similar_enough(t, F.col("prev_text"))
     changed = F.coalesce(text.jaccard(text.tokens(F.col("block")), text.tokens(F.col("prev_block"))) < LETTERHEAD_SAME, F.lit(False))
     return back.withColumns({"is_duplicate_of_prev": same, "letterhead_changed": changed}).drop("prev_text", "prev_block")
 
@@ -158,9 +158,9 @@ def folded(rows: DataFrame) -> DataFrame:
     return with_state(rows).select(*(x.split()[0] for x in FOLD_OUT.split(", ")))
 
 
-def page_features(pages: DataFrame, toc: DataFrame | None = None, exact_duplicates: bool = False) -> DataFrame:
+def page_features(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
     """All features of each page but its text, which later steps join when they need it."""
-    full = with_state(detected(pages, toc, exact_duplicates))
+    full = with_state(detected(pages, toc))
     low = F.col("level") <= 2
     return full.select(
         "doc_id", "page_num", "is_blank", "title_anchor", F.bround("width", 1).alias("w"), F.bround("height", 1).alias("h"), layout.orientation(F.bround("width", 1), F.bround("height", 1)).alias("orientation"),

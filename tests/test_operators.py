@@ -192,7 +192,7 @@ def test_embedding_falls_back(spark):
 
 def test_streamed_fold_equals_batch(spark, tmp_path):
     rows = adapter.raw_pages(spark, "/root/testdata/sf0.001")
-    det = features.detected(rows, adapter.toc(spark, "/root/testdata/sf0.001"), exact_duplicates=True)
+    det = features.detected(rows, adapter.toc(spark, "/root/testdata/sf0.001"))
     want = sorted(map(tuple, features.folded(det).collect()))
     flat = det.select("doc_id", "page_num", "is_duplicate_of_prev", "format_label", "prev_label", "drawing_spike", "title", "level", (F.col("title_anchor").isNotNull() | F.col("correspondence_labels").isNotNull()).alias("has_anchor"), "labeled.cur", "labeled.total", "labeled.region", "labeled.kind", "bare")
     flat.filter("page_num <= 5").coalesce(1).write.parquet(str(tmp_path / "in" / "a"))
