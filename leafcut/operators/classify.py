@@ -5,10 +5,18 @@ Matching is by substring on lower-cased text. Every tie is broken by the order o
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from leafcut.functions.vectors import cosine_or_zero
+from leafcut.functions.vectors import norm
 
 MISC, MISC_CATEGORY, DRAWING = "supporting_misc", "Supporting / Misc", "engineering_drawing"
 DRAWING_SHARE, PROTOTYPE_HIGH, PROTOTYPE_LOW, KEYWORDS_MEDIUM, KEYWORDS_ANCHORED, TABLE_DRAWINGS, KEPT = 0.60, 0.82, 0.65, 2, 3, 200, 20
@@ -33,70 +41,182 @@ def segment_inputs(features: DataFrame, index: DataFrame, texts: DataFrame) -> D
     )
 
 
+class Phrases:
+    """The taxonomy's phrases in one automaton, which tells every phrase that a text contains in one pass over it, however many there are."""
+
+    def __init__(self, rows: list[tuple[str, int, str, int, str]]):
+        """rows: kind, type_ord, type_id, phrase_ord, phrase; of equal rows one counts."""
+        self.listed = sorted(set(rows), key=lambda r: (r[1], r[3], r[0], r[2], r[4]))
+        at: dict[str, list[int]] = {}
+        for i, r in enumerate(self.listed):
+            at.setdefault(r[4], []).append(i)
+        self.machine = ahocorasick.Automaton()
+        for phrase, places in at.items():
+            self.machine.add_word(phrase, tuple(places))
+        if at:
+            self.machine.make_automaton()
+
+    def found(self, text: str | None, kind: str) -> list[tuple[str, int, str, int, str]]:
+        """The listed phrases of a kind that a text contains, by type and phrase."""
+        if not text or not self.listed:
+            return []
+        hits = set()
+        for _, places in self.machine.iter(text):
+            hits.update(places)
+        return [self.listed[i] for i in sorted(hits) if self.listed[i][0] == kind]
+
+    def longest(self, text: str | None, kind: str = "anchor") -> tuple[str | None, str | None]:
+        """The longest phrase of a kind in a text, and its type; of equally long ones the first by type and phrase."""
+        best = max(self.found(text, kind), key=lambda r: (len(r[4]), -r[1], -r[3]), default=None)
+        return (best[2], best[4]) if best else (None, None)
+
+    def most(self, text: str | None, kind: str = "keyword") -> tuple[str | None, int | None]:
+        """The type with most distinct phrases of a kind in a text, and their number; of equals the first type."""
+        by: dict[tuple[int, str], set[str]] = {}
+        for _, order, name, _, phrase in self.found(text, kind):
+            by.setdefault((-order, name), set()).add(phrase)
+        best = max(by.items(), key=lambda x: (len(x[1]), x[0][0]), default=None)
+        return (best[0][1], len(best[1])) if best else (None, None)
+
+
+def listed(phrases: DataFrame) -> Phrases:
+    """Brings the taxonomy's phrases to the driver: a configuration, whose size does not depend on the pages."""
+    own = phrases.filter((F.col("type_id") != MISC) & (F.col("phrase") != "")).select("kind", "type_ord", "type_id", "phrase_ord", F.lower("phrase"))
+    return Phrases([tuple(r) for r in own.collect()])
+
+
+def _low(column: str) -> Column:
+    return F.lower(F.coalesce(column, F.lit("")))
+
+
 def matches(segs: DataFrame, phrases: DataFrame, kind: str, column: str) -> DataFrame:
-    """(doc_id, segment_index, type_ord, type_id, phrase_ord, phrase) of the listed phrases that a text column contains. The taxonomy is a configuration, whose size does not depend on the pages; it is broadcast."""
-    own = phrases.filter((F.col("kind") == kind) & (F.col("type_id") != MISC) & (F.col("phrase") != "")).select("type_ord", "type_id", "phrase_ord", F.lower("phrase").alias("phrase"))
-    low = segs.select("doc_id", "segment_index", F.lower(F.coalesce(column, F.lit(""))).alias("t"))
-    return low.join(F.broadcast(own), F.contains("t", "phrase")).drop("t")
+    """(doc_id, segment_index, type_ord, type_id, phrase_ord, phrase) of the listed phrases that a text column contains."""
+    known = listed(phrases)
 
+    @F.pandas_udf("array<struct<type_ord: int, type_id: string, phrase_ord: int, phrase: string>>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"type_ord": o, "type_id": t, "phrase_ord": k, "phrase": p} for _, o, t, k, p in known.found(x, kind)] for x in texts])
 
-def with_listed(segs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """segs with the taxonomy's phrases beside each row, as _anchor and _keyword: arrays of types with their phrases. The taxonomy is one row, and broadcast."""
-    own = phrases.filter((F.col("type_id") != MISC) & (F.col("phrase") != "")).groupBy("kind", "type_ord", "type_id").agg(F.collect_list(F.struct("phrase_ord", F.lower("phrase").alias("phrase"))).alias("ps"))
-    return segs.join(F.broadcast(own.agg(*(F.collect_list(F.when(F.col("kind") == k, F.struct("type_ord", "type_id", "ps"))).alias(f"_{k}") for k in ("anchor", "keyword")))))
+    return segs.select("doc_id", "segment_index", F.explode(of(_low(column))).alias("m")).select("doc_id", "segment_index", "m.*")
 
 
-def _once(value: Column, f) -> Column:
-    """f of a value that is worked out once, however many phrases f holds it against."""
-    return F.transform(F.array(value), f)[0]
+def longest_anchor(column: str, known: Phrases) -> Column:
+    """(type_id, phrase): the longest anchor phrase that a text column contains; both null if there is none."""
 
+    @F.pandas_udf("type_id string, phrase string")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([known.longest(x) for x in texts], columns=["type_id", "phrase"], dtype=object)
 
-def _low(column: str) -> Column:
-    return F.lower(F.coalesce(column, F.lit("")))
+    return of(_low(column))
 
 
-def longest_anchor(column: str) -> Column:
-    """The longest anchor phrase that a text column contains, and its type; of equally long ones the first by type and phrase. Null if there is none."""
-    of = lambda t, low: F.transform(F.filter(t["ps"], lambda p: F.contains(low, p["phrase"])), lambda p: F.struct(F.length(p["phrase"]), -t["type_ord"], -p["phrase_ord"], t["type_id"].alias("type_id"), p["phrase"].alias("phrase")))
-    return _once(_low(column), lambda low: F.array_max(F.flatten(F.transform("_anchor", lambda t: of(t, low)))))
+def most_keywords(column: str, known: Phrases) -> Column:
+    """(type_id, hits): the type with most distinct keywords in a text column; both null if there is none."""
 
+    @F.pandas_udf("type_id string, hits long")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        name, hits = zip(*(known.most(x) for x in texts), strict=True) if len(texts) else ((), ())
+        return pd.DataFrame({"type_id": pd.Series(name, dtype=object), "hits": pd.Series(hits, dtype="Int64")})
 
-def most_keywords(column: str) -> Column:
-    """The type with most distinct keywords in a text column, and their number; of equals the first type. Null if there is none."""
-    hits = lambda t, low: F.size(F.array_distinct(F.filter(F.transform(t["ps"], lambda p: p["phrase"]), lambda p: F.contains(low, p)))).cast("long").alias("hits")
-    return _once(_low(column), lambda low: F.array_max(F.filter(F.transform("_keyword", lambda t: F.struct(hits(t, low), -t["type_ord"], t["type_id"].alias("type_id"))), lambda x: x["hits"] > 0)))
+    return of(_low(column))
+
+
+def _once(value: Column, f) -> Column:
+    """f of a value that is worked out once."""
+    return F.transform(F.array(value), f)[0]
 
 
 def centroids(vectors: DataFrame, *keys: str) -> DataFrame:
-    """The mean of a group's vectors, scaled to length 1; null where lengths differ, unscaled if its length is 0. Sums are by dimension, so no group of vectors meets in one row."""
-    known = vectors.filter("vec IS NOT NULL AND size(vec) > 0")
-    dims = known.select(*keys, F.size("vec").alias("n"), F.posexplode("vec").alias("i", "x")).groupBy(*keys, "i").agg(F.avg("x").alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    mean = dims.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("mean"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("norm"))
-    return mean.select(*keys, F.when(F.col("lo") == F.col("hi"), F.when(F.col("norm") == 0, F.col("mean")).otherwise(F.transform("mean", lambda x: x / F.col("norm")))).alias("centroid"))
+    """The mean of a group's vectors, scaled to length 1; null where lengths differ, unscaled if its length is 0. Tasks sum up what they have of a group into one vector, so a group costs a row a task, whatever its size and width."""
+    known = vectors.filter("vec IS NOT NULL AND size(vec) > 0").select(*keys, F.size("vec").alias("_n"), array_to_vector("vec").alias("_v"))
+    sums = known.groupBy(*keys, "_n").agg(Summarizer.mean(F.col("_v")).alias("_m"))
+    mean = sums.groupBy(*keys).agg(F.count("*").alias("kinds"), F.first("_m").alias("_m")).select(*keys, "kinds", vector_to_array("_m").alias("mean"))
+    scaled = _once(F.col("mean"), lambda m: _once(norm(m), lambda n: F.when(n == 0, m).otherwise(F.transform(m, lambda x: x / n))))
+    return mean.select(*keys, F.when(F.col("kinds") == 1, scaled).alias("centroid"))
+
+
+class Prototypes:
+    """The newest KEPT prototypes of each type as one matrix of unit rows for each vector length; what goes to the tasks grows with the taxonomy alone."""
+
+    def __init__(self, rows: list[tuple[int, str, list[float]]]):
+        self.types = sorted({(order, name) for order, name, _ in rows})
+        place = {t: i for i, t in enumerate(self.types)}
+        self.sizes = np.zeros(len(self.types))
+        by: dict[int, list] = {}
+        for order, name, vec in rows:
+            self.sizes[place[order, name]] += 1
+            by.setdefault(len(vec), []).append((place[order, name], vec))
+        self.matrices = {}
+        for n, own in by.items():
+            m = np.array([v for _, v in own], float).reshape(len(own), n)
+            size = np.linalg.norm(m, axis=1, keepdims=True)
+            shares = np.zeros((len(own), len(self.types)))
+            shares[np.arange(len(own)), [i for i, _ in own]] = 1
+            self.matrices[n] = (np.divide(m, size, out=np.zeros_like(m), where=size > 0), shares)
+
+    def nearest(self, batch: list) -> tuple[list, list]:
+        """Type and mean cosine of each vector's best type; null where no mean is above 0. A vector of another length than a prototype's has cosine 0 with it."""
+        best, means = [None] * len(batch), [None] * len(batch)
+        groups: dict[int, list[int]] = {}
+        for i, v in enumerate(batch):
+            if v is not None and len(v) in self.matrices:
+                groups.setdefault(len(v), []).append(i)
+        for n, rows in groups.items():
+            matrix, shares = self.matrices[n]
+            x = np.array([batch[i] for i in rows], float)
+            size = np.linalg.norm(x, axis=1, keepdims=True)
+            x = np.divide(x, size, out=np.zeros_like(x), where=size > 0)
+            mean = (x @ matrix.T) @ shares / self.sizes
+            for i, k, m in zip(rows, mean.argmax(axis=1), mean.max(axis=1), strict=True):
+                if m > 0:
+                    best[i], means[i] = self.types[k][1], float(m)
+        return best, means
+
+
+def newest(prototypes: DataFrame) -> Prototypes:
+    """Brings the newest KEPT prototypes of each type to the driver: a configuration, of at most KEPT vectors a type."""
+    last = F.row_number().over(Window.partitionBy("type_id").orderBy(F.desc("ord")))
+    rows = prototypes.withColumn("_b", last).filter(F.col("_b") <= KEPT).select("type_ord", "type_id", "vec").collect()
+    return Prototypes([tuple(r) for r in rows])
+
+
+def nearest(vec: Column, known: Prototypes) -> Column:
+    """(type_id, mean_sim) of the type whose prototypes have the largest positive mean cosine with a vector: one matrix product a batch, without a join."""
+
+    @F.pandas_udf("type_id string, mean_sim double")
+    def of(batch: pd.Series) -> pd.DataFrame:
+        best, means = known.nearest(batch.tolist())
+        return pd.DataFrame({"type_id": pd.Series(best, dtype=object), "mean_sim": pd.Series(means, dtype=float)})
+
+    return of(vec)
 
 
 def nearest_prototype(groups: DataFrame, prototypes: DataFrame, *keys: str) -> DataFrame:
-    """The type whose prototypes have the largest positive mean cosine. Only the newest KEPT of a type count, so what is broadcast grows with the taxonomy alone."""
-    last = F.row_number().over(Window.partitionBy("type_id").orderBy(F.desc("ord")))
-    few = prototypes.withColumn("_b", last).filter(F.col("_b") <= KEPT).drop("_b")
-    sims = groups.join(F.broadcast(few)).select(*keys, "type_ord", "type_id", cosine_or_zero(F.col("centroid"), F.col("vec")).alias("s"))
-    mean = sims.groupBy(*keys, "type_ord", "type_id").agg(F.avg("s").alias("mean_sim")).filter("mean_sim > 0")
-    return mean.groupBy(*keys).agg(F.max_by(F.struct("type_id", "mean_sim"), F.struct("mean_sim", -F.col("type_ord"))).alias("b")).select(*keys, "b.type_id", "b.mean_sim")
+    """The type whose prototypes have the largest positive mean cosine with a group's centroid; groups without one have no row."""
+    rows, known = groups.select(*keys, "centroid"), newest(prototypes)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            p["type_id"], p["mean_sim"] = known.nearest(p["centroid"].tolist())
+            yield p[p["type_id"].notna()].drop(columns="centroid")
+
+    return rows.mapInPandas(run, StructType([*rows.drop("centroid").schema, StructField("type_id", StringType()), StructField("mean_sim", DoubleType())]))
 
 
 def classify(segs: DataFrame, types: DataFrame, phrases: DataFrame, prototypes: DataFrame | None = None, cents: DataFrame | None = None, settings: dict | None = None) -> DataFrame:
     """settings: those of the taxonomy, see SETTINGS. document_type_id, confidence, method, category, label, special_tags and whether the segment may teach a prototype. The first pass that answers decides."""
     key, limit = ["doc_id", "segment_index"], {**SETTINGS, **(settings or {})}
-    name = lambda df, x, *cols: df.select(*key, *(F.col(c).alias(f"{x}_{c}") for c in cols))
-    s = with_listed(segs.withColumn("both", F.concat_ws(" ", "titles", "body")), phrases)
-    s = s.withColumns({"a": longest_anchor("titles"), "b": longest_anchor("body"), "k": most_keywords("both")})
+    known = listed(phrases)
+    s = segs.withColumn("both", F.concat_ws(" ", "titles", "body"))
+    s = s.withColumns({"a": longest_anchor("titles", known), "b": longest_anchor("body", known), "k": most_keywords("both", known)})
     s = s.select(*segs.columns, *(F.col(f"{x}.{f}").alias(f"{x}_{f}") for x, f in (("a", "type_id"), ("a", "phrase"), ("b", "type_id"), ("b", "phrase"), ("k", "type_id"), ("k", "hits"))))
+    none = lambda kind: F.lit(None).cast(kind)
+    s = s.join(cents.select(*key, "centroid"), key, "left") if cents is not None else s.withColumn("centroid", none("array<double>"))
     if prototypes is not None and cents is not None:
-        open_ = s.filter(F.col("a_type_id").isNull() & F.col("b_type_id").isNull() & (F.col("drawing_share") < DRAWING_SHARE)).select(*key)
-        s = s.join(cents.select(*key, "centroid"), key, "left")
-        s = s.join(name(nearest_prototype(cents.join(open_, key, "left_semi"), prototypes, *key), "p", "type_id", "mean_sim"), key, "left")
+        open_ = F.col("a_type_id").isNull() & F.col("b_type_id").isNull() & (F.col("drawing_share") < DRAWING_SHARE)
+        s = s.withColumn("p", nearest(F.when(open_, F.col("centroid")), newest(prototypes))).withColumns({"p_type_id": F.col("p.type_id"), "p_mean_sim": F.col("p.mean_sim")}).drop("p")
     else:
-        s = s.withColumns({"centroid": F.lit(None).cast("array<double>"), "p_type_id": F.lit(None).cast("string"), "p_mean_sim": F.lit(None).cast("double")})
+        s = s.withColumns({"p_type_id": none("string"), "p_mean_sim": none("double")})
     c = F.col
     enough = F.when(F.coalesce(F.length("first_anchor"), F.lit(0)) > 0, c("k_hits") >= KEYWORDS_ANCHORED).otherwise(c("k_hits") >= limit["keyword_min_hits"])
     answer = lambda t, conf, how: F.struct(t.alias("document_type_id"), conf.alias("confidence"), how.alias("classification_method"))

@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import BooleanType, StructType
 
 from leafcut.functions import layout, text
 
@@ -28,19 +28,58 @@ DUPLICATE_CHARS, DUPLICATE_RATIO = 15, 0.95
 SPIKE_FACTOR, SPIKE_LEAST, LETTERHEAD_SAME = 3, 200, 0.4
 
 
-@F.pandas_udf(DoubleType())
-def text_ratio(cur: pd.Series, prev: pd.Series) -> pd.Series:
-    """Matching-block ratio of two texts, frequent characters of the second ignored as starts; only rows that could reach the limit arrive here not null."""
-    return pd.Series([difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0 if a is not None and b is not None else None for a, b in zip(cur, prev, strict=True)])
+#: Characters whose numbers bound a text ratio; all others count as one.
+COUNTED = " etaoinshrdlucmfwypvbgkjqxz0123456789ETAOINSHRDLUCMFWYPVBGKJQXZ.,-\n"
+
+
+def reaches(a: str, b: str, limit: float) -> bool:
+    """Whether the matching-block ratio of two texts (frequent characters of the second ignored as starts) is limit or more. Blocks are taken as the ratio takes them, but only until what is matched is enough, or what is left can't be."""
+    total = len(a) + len(b)
+    if not total:
+        return 1.0 >= limit
+    most = lambda r: min(r[1] - r[0], r[3] - r[2])
+    matcher, matched, left = difflib.SequenceMatcher(None, a, b), 0, [(0, len(a), 0, len(b))]
+    open_ = most(left[0])
+    while left and 2.0 * (matched + open_) / total >= limit and 2.0 * matched / total < limit:
+        # The largest range first: it tells most.
+        at = max(range(len(left)), key=lambda i: most(left[i]))
+        alo, ahi, blo, bhi = left.pop(at)
+        open_ -= min(ahi - alo, bhi - blo)
+        i, j, k = matcher.find_longest_match(alo, ahi, blo, bhi)
+        if k:
+            matched += k
+            for r in ((alo, i, blo, j), (i + k, ahi, j + k, bhi)):
+                if most(r) > 0:
+                    left.append(r)
+                    open_ += most(r)
+    return 2.0 * matched / total >= limit
+
+
+@F.pandas_udf(BooleanType())
+def _reaches(cur: pd.Series, prev: pd.Series) -> pd.Series:
+    return pd.Series([None if a is None or b is None else reaches(a, b, DUPLICATE_RATIO) for a, b in zip(cur, prev, strict=True)], dtype=object)
+
+
+def ratio_bound(a: Column, b: Column) -> Column:
+    """At least the text ratio of two texts, by how many of each counted character both have: matching blocks match a character once."""
+    n = lambda t, c: F.length(t) - F.length(F.replace(t, c, F.lit("")))
+    start = F.struct(F.lit(0).alias("both"), F.length(a).alias("a"), F.length(b).alias("b"))
+    step = lambda s, c: F.struct((s["both"] + F.least(n(a, c), n(b, c))).alias("both"), (s["a"] - n(a, c)).alias("a"), (s["b"] - n(b, c)).alias("b"))
+    return F.aggregate(F.array(*map(F.lit, COUNTED)), start, step, lambda s: 2.0 * (s["both"] + F.least(s["a"], s["b"])) / (F.length(a) + F.length(b)))
+
+
+def undecided(cur: Column, prev: Column) -> Column:
+    """Whether lengths and counts leave open if two differing page texts count as duplicates."""
+    a, b = F.length(cur), F.length(prev)
+    near = (a > DUPLICATE_CHARS) & (b > DUPLICATE_CHARS) & (cur != prev) & (2 * F.least(a, b) >= DUPLICATE_RATIO * (a + b))
+    return F.coalesce(F.when(near, ratio_bound(cur, prev) >= DUPLICATE_RATIO), F.lit(False))
 
 
 def similar_enough(cur: Column, prev: Column) -> Column:
-    """Whether two page texts count as duplicates. Equal texts need no matching, and lengths bound the ratio from above."""
-    a, b = F.length(cur), F.length(prev)
-    both = (a > DUPLICATE_CHARS) & (b > DUPLICATE_CHARS)
-    possible = both & (cur != prev) & (2 * F.least(a, b) >= DUPLICATE_RATIO * (a + b))
-    ratio = text_ratio(F.when(possible, cur), F.when(possible, prev))
-    return F.coalesce(both & ((cur == prev) | (ratio >= DUPLICATE_RATIO)), F.lit(False))
+    """Whether two page texts count as duplicates. Equal texts need no matching, and lengths and counts of characters bound the ratio from above; only pages they leave open go through Python."""
+    open_ = undecided(cur, prev)
+    ratio = _reaches(F.when(open_, cur), F.when(open_, prev))
+    return F.coalesce(((F.length(cur) > DUPLICATE_CHARS) & (F.length(prev) > DUPLICATE_CHARS) & (cur == prev)) | ratio, F.lit(False))
 
 
 def bookmark_map(toc: DataFrame) -> DataFrame:

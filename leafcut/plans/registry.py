@@ -322,14 +322,14 @@ def j05_substring_join(spark, d):
 
 @query(S.chain(S.TAXON, f"X AS ({_DOCSEG})") + "SELECT doc_id, segment_index, type_id, phrase FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, segment_index ORDER BY length(phrase) DESC, type_ord, phrase_ord) AS k FROM X JOIN TP ON kind = 'anchor' AND contains(t, phrase)) WHERE k = 1")
 def a08_l03_longest_anchor(spark, d):
-    found = classify.with_listed(_phrase_segments(spark, d), A.taxonomy_phrases(spark)).withColumn("b", classify.longest_anchor("t"))
-    return found.filter("b IS NOT NULL").select("doc_id", "segment_index", "b.type_id", "b.phrase")
+    found = _phrase_segments(spark, d).withColumn("b", classify.longest_anchor("t", classify.listed(A.taxonomy_phrases(spark))))
+    return found.filter("b.type_id IS NOT NULL").select("doc_id", "segment_index", "b.type_id", "b.phrase")
 
 
 @query(S.chain(S.TAXON, f"X AS ({_DOCSEG})") + "SELECT doc_id, segment_index, type_id, hits FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, segment_index ORDER BY hits DESC, type_ord) AS k FROM (SELECT doc_id, segment_index, type_ord, type_id, count(DISTINCT phrase) AS hits FROM X JOIN TP ON kind = 'keyword' AND contains(t, phrase) GROUP BY ALL)) WHERE k = 1")
 def a09_most_keywords(spark, d):
-    found = classify.with_listed(_phrase_segments(spark, d), A.taxonomy_phrases(spark)).withColumn("b", classify.most_keywords("t"))
-    return found.filter("b IS NOT NULL").select("doc_id", "segment_index", "b.type_id", "b.hits")
+    found = _phrase_segments(spark, d).withColumn("b", classify.most_keywords("t", classify.listed(A.taxonomy_phrases(spark))))
+    return found.filter("b.type_id IS NOT NULL").select("doc_id", "segment_index", "b.type_id", "b.hits")
 
 
 _G = "V AS (SELECT vec_id // 10 AS g, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), U AS (SELECT g, i, avg(e[i]) AS m FROM V, range(1, 65) r(i) GROUP BY g, i), CE AS MATERIALIZED (SELECT g, list(m ORDER BY i) AS mean FROM U GROUP BY g), CN AS MATERIALIZED (SELECT g, list_transform(mean, lambda x: x / sqrt(" + S.dot("mean", "mean") + ")) AS centroid FROM CE)"
