@@ -99,9 +99,9 @@ def id_filter(ids: DataFrame, bits: int | None = None) -> np.ndarray:
     c = F.col(ids.columns[0])
     bits = filter_bits(ids.count()) if bits is None else bits
     places = F.explode(F.array(*(_place(c, seed, bits) for seed in (11, 12)))).alias("p")
-    words = ids.select(places).groupBy(F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("m")).toPandas()
+    words = ids.select(places).groupBy(F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("m")).toArrow()
     out = np.zeros(1 << bits - 6, np.uint64)
-    out[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).view(np.uint64)
+    out[words["w"].to_numpy()] = words["m"].to_numpy().view(np.uint64)
     return out
 
 
@@ -191,9 +191,15 @@ def keep_rows(docs: DataFrame, column: str, passes) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def fresh(*names: str) -> list[str]:
+    """Column names that no table of a user's has."""
+    return [f"_{x}_{uuid.uuid4().hex}" for x in names]
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the rows whose row_id is in gone (one column, _gone)."""
-    return docs.join(gone, row_id() == F.col("_gone"), "left_anti")
+    """docs without the rows whose row_id is in gone (one column). A row_id has 64 bits: of ten billion rows some few may go with one that was meant."""
+    (name,) = fresh("gone")
+    return docs.join(gone.toDF(name), row_id() == F.col(name), "left_anti")
 
 
 def row_id() -> Column:

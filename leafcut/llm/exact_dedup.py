@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafcut.llm.common import FILTER_MOST, attach, id_filter, passing, stage
+from leafcut.llm.common import FILTER_MOST, attach, fresh, id_filter, passing, stage
 
 MEMTABLE_ROWS = 100_000
 _SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
@@ -147,16 +147,17 @@ def exact_groups(docs: DataFrame, key_bytes: int = 32, most: int = FILTER_MOST)
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """docs with one row of each text: of those with the smallest identifier (without any, if none has one) any one, by a hash of their columns."""
-    groups = stage(exact_groups(docs).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept"), "groups")
-    again = stage(groups.filter("kept").groupBy("_id", "_sha").count().filter("count > 1").select("_id", "_sha"), "again")
+    """docs with one row of each text: of those with the smallest identifier (without any, if none has one) any one, by a hash of their columns. Columns of any names stay as they were."""
+    doc, sha, own, row, n = fresh("id", "sha", "own", "row", "n")
+    groups = stage(exact_groups(docs).select(F.col("doc_id").alias(doc), F.col("text_sha256").alias(sha), "kept"), "groups")
+    again = stage(groups.filter("kept").groupBy(doc, sha).agg(F.count("*").alias(n)).filter(F.col(n) > 1).select(doc, sha), "again")
     cols = docs.columns
-    told = docs.withColumn("_own", F.sha2(_plain(), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha"))
-    left = told.join(groups.filter("NOT kept").select("_id", "_sha").distinct(), same, "left_anti")
+    told = docs.withColumn(own, F.sha2(_plain(), 256))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(sha))
+    left = told.join(groups.filter("NOT kept").select(doc, sha).distinct(), same, "left_anti")
     if again.isEmpty():
         return left.select(cols)
-    one = left.join(again, same, "left_semi").groupBy("doc_id", "_own").agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("_row")).select("_row.*")
+    one = left.join(again, same, "left_semi").groupBy("doc_id", own).agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias(row)).select(f"{row}.*")
     return left.join(again, same, "left_anti").select(cols).unionByName(one)
 
 

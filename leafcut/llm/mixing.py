@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafcut.llm.common import bounded, stage
+from leafcut.llm.common import bounded, fresh, stage
 
 DOMAINS = ("good", "poor", "toxic")
 #: Share of the tokens that each domain is to have; together the mixture has BUDGET times the corpus' tokens.
@@ -150,7 +150,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
 
 
 def mixed(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs that the mixture uses, with their rate and number of copies."""
-    rates = stage(mix(docs, labels).select(F.col("doc_id").alias("_doc"), "rate", "copies"), "rates")
+    """docs that the mixture uses, with their rate and number of copies. Columns of a user's that are called rate or copies give way to these; all others, whatever their names, stay."""
+    (doc,) = fresh("doc")
+    rates = stage(mix(docs, labels).select(F.col("doc_id").alias(doc), "rate", "copies"), "rates")
     clear = docs.drop("rate", "copies")
-    return clear.join(rates.filter("copies > 0"), clear["doc_id"].eqNullSafe(F.col("_doc"))).drop("_doc")
+    return clear.join(rates.filter("copies > 0"), clear["doc_id"].eqNullSafe(F.col(doc))).drop(doc)

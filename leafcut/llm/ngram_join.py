@@ -347,9 +347,9 @@ def _near(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     rows = scanned.filter("key IS NOT NULL").select("doc_id", "pick", "n", "key")
     one = F.coalesce(F.min_by("pick", "doc_id"), F.min("pick")).alias("pick")
     sets = stage(scanned.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("node").alias("node"), one), "classes")
-    frequent = scanned.filter("h IS NOT NULL").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= KNOWN).groupBy(F.col("h").bitwiseAND(F.lit((1 << ORDER_BITS) - 1)).alias("p")).agg(F.floor(F.log2(F.max("c"))).cast("int").alias("level")).toPandas()
+    frequent = scanned.filter("h IS NOT NULL").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= KNOWN).groupBy(F.col("h").bitwiseAND(F.lit((1 << ORDER_BITS) - 1)).alias("p")).agg(F.floor(F.log2(F.max("c"))).cast("int").alias("level")).toArrow()
     levels = np.zeros(1 << ORDER_BITS, np.uint8)  # a table of fixed size, however large the corpus
-    levels[frequent["p"].to_numpy(np.int64)] = frequent["level"].to_numpy(np.uint8)
+    levels[frequent["p"].to_numpy()] = frequent["level"].to_numpy().astype(np.uint8)
     del frequent
     twice = not rows.filter("n > 0").groupBy("pick").count().filter("count > 1").isEmpty()
 

@@ -8,7 +8,7 @@ Targets may be relative in any form: they are resolved against the page's own ad
 decoded. Dot segments go from targets without a host; addresses with one name their node as they stand.
 
 Defined results: a null address or one without :// has empty host and path, is an alias of nothing and is allowed; null
-html has no links, nor has a tag that holds <; long html is read whole; rows that repeat an address share its verdict; other columns are ignored; no rows give no rows.
+html has no links, nor have comments; of several base addresses the first counts; a tag whose quote is not closed is not read; long html is read whole; rows that repeat an address share its verdict; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -25,9 +25,12 @@ from leafcut.llm.common import attach, components, stage, unstage
 #: (verdict, host, path prefix). A rule fits its host and all subdomains; the longest rule wins.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
-#: A rel attribute that has canonical among its tokens. Tags hold no <, so that unclosed ones are read once.
+#: A comment, or a tag up to its end, which no quoted value can hold. Each part is matched once and not again, so malformed pages take no longer.
+_TAG = r"""(?is)<!--.*?(?:-->|\z)|<(?:link|meta|base)\b[^<>"']*+(?:(?:"[^"]*"|'[^']*')[^<>"']*+)*+>"""
+#: A rel attribute that has canonical among its tokens.
 _CANONICAL = r"""(?i)[\s"'/]rel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical[\s/>])"""
-_ATTR = r"""\s*=\s*["']?([^"'\s>]+)"""
+#: What a refresh's content says after its delay.
+_REFRESH = r"""(?is)^\s*[0-9.]*\s*(?:[;,]|\s)\s*(?:url\s*=\s*)?["']?([^"']*)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -89,16 +92,25 @@ def resolved(url: Column, t: Column) -> Column:
     )
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute's value, without quotes and the white space around it, character references decoded; empty if there is none."""
+    at = rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>]+))"""
+    value = F.regexp_replace(F.concat(*(F.regexp_extract(tag, at, k) for k in (1, 2, 3))), r"^\s+|\s+$|[\t\r\n]", "")
+    coded = F.contains(value, F.lit("&"))
+    return F.when(coded, decoded(F.when(coded, value))).otherwise(value)
+
+
 def alias_links(pages: DataFrame) -> DataFrame:
-    """(url, target): canonical links and immediate redirects that a page's html declares, made absolute."""
-    tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^<>]*>"), F.lit(0))
+    """(url, target): canonical links and immediate redirects that a page's html declares, made absolute against its base address if it names one, else against its own."""
+    tags = F.filter(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_TAG), F.lit(0)), lambda t: ~F.startswith(t, F.lit("<!")))
+    found = pages.filter(F.coalesce("html", F.lit("")).rlike("(?i)canonical|refresh") & (F.instr("url", "://") > 0)).select("url", tags.alias("_tags"))
+    found = found.withColumn("_base", F.get(F.filter("_tags", lambda t: t.rlike(r"(?i)^<base\b.*?\bhref")), F.lit(0)))
     tag = F.col("_tag")
-    canonical = F.when(tag.rlike(_CANONICAL), F.regexp_extract(tag, r"""(?i)[\s"'/]href""" + _ATTR, 1))
-    refresh = F.when(tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""), F.regexp_extract(tag, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
-    found = pages.filter(F.coalesce("html", F.lit("")).rlike("(?i)canonical|refresh")).select("url", F.explode(tags).alias("_tag")).select("url", F.coalesce(canonical, refresh).alias("t"))
-    t = F.when(F.contains("t", F.lit("&")), decoded(F.when(F.contains("t", F.lit("&")), F.col("t")))).otherwise(F.col("t"))
-    found = found.filter("t <> ''").select("url", t.alias("t"))
-    return found.filter("t <> ''").select("url", resolved(F.col("url"), F.col("t")).alias("target")).filter("target IS NOT NULL AND instr(target, '://') > 0 AND instr(url, '://') > 0")
+    links = found.select("url", "_base", F.explode("_tags").alias("_tag"))
+    links = links.select("url", "_base", F.when(tag.rlike(_CANONICAL), attribute(tag, "href")).when(tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?\s*refresh\b"""), F.trim(F.regexp_extract(attribute(tag, "content"), _REFRESH, 1))).alias("t")).filter("t <> ''")
+    base = attribute(F.coalesce("_base", F.lit("")), "href")
+    links = links.withColumn("_from", F.when(base == "", F.col("url")).otherwise(F.coalesce(resolved(F.col("url"), base), F.col("url"))))
+    return links.select("url", resolved(F.col("_from"), F.col("t")).alias("target")).filter("target IS NOT NULL AND instr(target, '://') > 0")
 
 
 def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
