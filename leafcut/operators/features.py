@@ -92,8 +92,8 @@ def capped(pages: DataFrame, most: int | None) -> DataFrame:
     return pages if most is None else pages.filter(F.col("page_num") <= most)
 
 
-def detected(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
-    """Row-local signals and those of the page before; the columns that the fold needs among them."""
+def row_local(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
+    """Pages with the bookmark of each and every signal that a page tells by itself; pages may be a stream."""
     if toc is None:
         marked = pages.withColumns({"title": F.lit(None).cast("string"), "level": F.lit(None).cast("int")})
     else:
@@ -104,11 +104,17 @@ def detected(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
     cut = {("", ""): "_lines", **{k: f"_lines_{i}" for i, k in enumerate(text.band_lines(F.col("bands")))}}
     marked = marked.withColumns({cut["", ""]: text.lines(t), **{cut[k]: v for k, v in text.band_lines(F.col("bands")).items()}})
     own, ls = F.col("_lines"), {k: F.col(v) for k, v in cut.items()}
-    local = marked.withColumns({
+    return marked.withColumns({
         "is_blank": layout.is_blank(t, F.col("image_area"), w, h, d), "format_label": layout.page_format(w, h), "title_anchor": text.title_anchor(t, own), "correspondence_labels": text.correspondence(t, own),
         "text_char_count": F.length(t), "text_density": layout.text_density(t, w, h), "is_drawing": layout.is_drawing(w, h, d, F.col("image_infos")), "block": text.letterhead(ls),
         "labeled": text.labeled_numbering(ls), "bare": text.bare_candidate(ls),
     }).drop(*cut.values())
+
+
+def detected(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
+    """Row-local signals and those of the page before; the columns that the fold needs among them."""
+    local = row_local(pages, toc)
+    t, d = F.coalesce("text", F.lit("")), F.col("drawing_count")
     prev_d, prev_t = F.lag("drawing_count").over(by_page()), F.lag(t).over(by_page())
     back = local.withColumns({
         "prev_label": F.lag("format_label").over(by_page()), "prev_text": prev_t,
