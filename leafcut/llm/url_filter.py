@@ -93,24 +93,30 @@ def resolved(url: Column, t: Column) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """An attribute's value, without quotes and the white space around it, character references decoded; empty if there is none."""
+    """An attribute's value as it stands, without quotes and the white space around it; empty if there is none."""
     at = rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>]+))"""
-    value = F.regexp_replace(F.concat(*(F.regexp_extract(tag, at, k) for k in (1, 2, 3))), r"^\s+|\s+$|[\t\r\n]", "")
-    coded = F.contains(value, F.lit("&"))
-    return F.when(coded, decoded(F.when(coded, value))).otherwise(value)
+    return F.regexp_replace(F.concat(*(F.regexp_extract(tag, at, k) for k in (1, 2, 3))), r"^\s+|\s+$|[\t\r\n]", "")
+
+
+def _plain(name: str) -> Column:
+    """A column with its character references decoded."""
+    coded = F.contains(name, F.lit("&"))
+    return F.when(coded, decoded(F.when(coded, F.col(name)))).otherwise(F.col(name))
 
 
 def alias_links(pages: DataFrame) -> DataFrame:
     """(url, target): canonical links and immediate redirects that a page's html declares, made absolute against its base address if it names one, else against its own."""
-    tags = F.filter(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_TAG), F.lit(0)), lambda t: ~F.startswith(t, F.lit("<!")))
-    found = pages.filter(F.coalesce("html", F.lit("")).rlike("(?i)canonical|refresh") & (F.instr("url", "://") > 0)).select("url", tags.alias("_tags"))
-    found = found.withColumn("_base", F.get(F.filter("_tags", lambda t: t.rlike(r"(?i)^<base\b.*?\bhref")), F.lit(0)))
+    tags = F.filter(F.regexp_extract_all(F.col("html"), F.lit(_TAG), F.lit(0)), lambda t: ~F.startswith(t, F.lit("<!")))
+    found = pages.filter(F.col("html").rlike("(?i)canonical|refresh") & (F.instr("url", "://") > 0)).select("url", tags.alias("_tags"))
+    found = found.filter(F.size("_tags") > 0).withColumn("_base", F.get(F.filter("_tags", lambda t: t.rlike(r"(?i)^<base\b.*?\bhref")), F.lit(0)))
+    links = found.select("url", "_base", F.explode("_tags").alias("_tag")).filter(F.col("_tag").rlike("(?i)canonical|refresh"))
     tag = F.col("_tag")
-    links = found.select("url", "_base", F.explode("_tags").alias("_tag"))
-    links = links.select("url", "_base", F.when(tag.rlike(_CANONICAL), attribute(tag, "href")).when(tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?\s*refresh\b"""), F.trim(F.regexp_extract(attribute(tag, "content"), _REFRESH, 1))).alias("t")).filter("t <> ''")
-    base = attribute(F.coalesce("_base", F.lit("")), "href")
-    links = links.withColumn("_from", F.when(base == "", F.col("url")).otherwise(F.coalesce(resolved(F.col("url"), base), F.col("url"))))
-    return links.select("url", resolved(F.col("_from"), F.col("t")).alias("target")).filter("target IS NOT NULL AND instr(target, '://') > 0")
+    # Each step is a column of its own, so that no later one holds it several times over.
+    links = links.select("url", "_base", F.when(tag.rlike(_CANONICAL), attribute(tag, "href")).alias("_href"), F.when(tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?\s*refresh\b"""), attribute(tag, "content")).alias("_content"))
+    links = links.select("url", attribute(F.coalesce("_base", F.lit("")), "href").alias("_base"), F.coalesce("_href", F.trim(F.regexp_extract("_content", _REFRESH, 1))).alias("_t")).filter("_t <> ''")
+    links = links.select("url", _plain("_base").alias("_base"), _plain("_t").alias("_t"))
+    links = links.select("url", F.when(F.col("_base") == "", F.col("url")).otherwise(F.coalesce(resolved(F.col("url"), F.col("_base")), F.col("url"))).alias("_from"), "_t")
+    return links.select("url", resolved(F.col("_from"), F.col("_t")).alias("target")).filter("target IS NOT NULL AND instr(target, '://') > 0")
 
 
 def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
