@@ -114,7 +114,9 @@ def alias_links(pages: DataFrame) -> DataFrame:
     # Each step is a column of its own, so that no later one holds it several times over.
     links = links.select("url", "_base", F.when(tag.rlike(_CANONICAL), attribute(tag, "href")).alias("_href"), F.when(tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?\s*refresh\b"""), attribute(tag, "content")).alias("_content"))
     links = links.select("url", attribute(F.coalesce("_base", F.lit("")), "href").alias("_base"), F.coalesce("_href", F.trim(F.regexp_extract("_content", _REFRESH, 1))).alias("_t")).filter("_t <> ''")
-    links = links.select("url", _plain("_base").alias("_base"), _plain("_t").alias("_t"))
+    links = stage(links.select("url", _plain("_base").alias("_base"), _plain("_t").alias("_t")), "declared")
+    if links.filter("_base <> ''").isEmpty():
+        return links.select("url", resolved(F.col("url"), F.col("_t")).alias("target")).filter("target IS NOT NULL AND instr(target, '://') > 0")
     links = links.select("url", F.when(F.col("_base") == "", F.col("url")).otherwise(F.coalesce(resolved(F.col("url"), F.col("_base")), F.col("url"))).alias("_from"), "_t")
     return links.select("url", resolved(F.col("_from"), F.col("_t")).alias("target")).filter("target IS NOT NULL AND instr(target, '://') > 0")
 
