@@ -13,7 +13,6 @@ identifier are one document whose tokens add up, and share its rate; other colum
 
 from __future__ import annotations
 
-import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -116,15 +115,21 @@ def posteriors(docs: DataFrame, model) -> DataFrame:
     return _evidence(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), weights).select("doc_id", "tokens", q1.alias("q1"), q2.alias("q2")).withColumn("q0", GRID - F.col("q1") - F.col("q2"))
 
 
-def _rate(moves: list[list[float]], step: float) -> Column:
-    """The rate of a posterior after the moves so far, each a weight by domain; from rate 1. The moves are one constant, so that every round runs the same compiled plan."""
-    said = F.from_json(F.lit(json.dumps(moves)), "array<array<double>>")
+def _rates(cells: DataFrame, aims: list[float], square: list[float], step: float) -> DataFrame:
+    """q0, q1, q2, rate of each cell after STEPS moves from rate 1, in one job: the cells, GRID ** 2 / 2 or so at most however many documents there are, are one row, and each move is two passes over its array."""
+    cell = F.struct("q0", "q1", "q2", "n", *(((F.col(f"q{k}") / GRID).alias(f"s{k}")) for k in range(len(DOMAINS))))
+    row = cells.agg(F.collect_list(cell).alias("c"))
+    c = F.col("c")
 
-    def move(rate: Column, m: Column) -> Column:
-        pull = sum((F.col(f"q{k}") * F.get(m, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0)) / GRID
-        return F.greatest(F.lit(0.0), rate * (1 - step * RIDGE) + step * RIDGE - step * pull)
+    def move(rates: Column, _: Column) -> Column:
+        used = F.zip_with(c, rates, lambda x, r: F.transform(F.array(*(x[f"s{k}"] for k in range(len(DOMAINS)))), lambda s: s * x["n"] * r))
+        got = F.aggregate(used, F.array(*[F.lit(0.0)] * len(DOMAINS)), lambda t, x: F.zip_with(t, x, lambda u, v: u + v))
+        # A domain's error is weighed by its own size; one without tokens pulls nowhere.
+        pull = lambda g, x: sum(((F.get(g, F.lit(k)) - aims[k]) / square[k] * x[f"s{k}"] for k in range(len(DOMAINS)) if square[k]), F.lit(0.0))
+        return F.transform(F.array(got), lambda g: F.zip_with(c, rates, lambda x, r: F.greatest(F.lit(0.0), r * (1 - step * RIDGE) + step * RIDGE - step * pull(g, x))))[0]
 
-    return F.aggregate(said, F.lit(1.0), move)
+    rates = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.transform(c, lambda x: F.lit(1.0)), move)
+    return row.select(F.explode(F.arrays_zip("c", rates.alias("rate"))).alias("e")).select("e.c.q0", "e.c.q1", "e.c.q2", "e.rate")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float = BUDGET) -> DataFrame:
@@ -135,15 +140,11 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     share = lambda k: F.col(f"q{k}") / GRID
     first = cells.agg(F.sum("n"), *(F.sum(F.col("n") * share(k) ** 2) for k in range(len(DOMAINS)))).first()
     total, square = first[0] or 0.0, [x or 0.0 for x in first[1:]]
-    moves: list[list[float]] = []
-    # A domain's error is weighed by its own size, which bounds the curvature by the number of domains.
+    # That weight bounds the curvature by the number of domains.
     step = 1 / (len(DOMAINS) + RIDGE)
-    if model and total:
-        for _ in range(STEPS):
-            rate = _rate(moves, step)
-            got = cells.agg(*(F.sum(F.col("n") * share(k) * rate) for k in range(len(DOMAINS)))).first()
-            moves.append([(g - targets[d] * budget * total) / s if s else 0.0 for g, d, s in zip(got, DOMAINS, square, strict=True)])
-    rates = stage(cells.select("q0", "q1", "q2", _rate(moves, step).alias("rate")), "cells")  # GRID ** 2 / 2 rows or so at most
+    aims = [targets[d] * budget * total for d in DOMAINS]
+    rates = _rates(cells, aims, square, step) if model and total else cells.select("q0", "q1", "q2", F.lit(1.0).alias("rate"))
+    rates = stage(rates, "cells")  # GRID ** 2 / 2 rows or so at most
     unit = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
     out = soft.join(F.broadcast(rates), ["q0", "q1", "q2"]).select("doc_id", "tokens", *(share(k).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate")
     return out.withColumn("copies", (F.floor("rate") + F.when(unit < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int"))
