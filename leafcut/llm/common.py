@@ -63,9 +63,20 @@ def delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
     fs.deleteOnExit(p) if at_exit else fs.delete(p, True)
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Left join of rows with one row per key. Hot keys, HOT_SHARE of the rows or more and so a fixed number at most, are broadcast; the others are shuffled."""
-    least = max(int(total * HOT_SHARE), HOT_LEAST)
+def any_hot(groups: DataFrame, size: str, total: int) -> bool:
+    """Whether attach() has a key to broadcast; for groups that are staged, as it reads their sizes."""
+    return (groups.agg(F.max(size)).first()[0] or 0) >= least_hot(total)
+
+
+def least_hot(total: int) -> int:
+    return max(int(total * HOT_SHARE), HOT_LEAST)
+
+
+def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, hot: bool = True) -> DataFrame:
+    """Left join of rows with one row per key. Hot keys, HOT_SHARE of the rows or more and so a fixed number at most, are broadcast; the others are shuffled. hot: False if it is known that there are none, so that rows are made once and nothing is broadcast."""
+    if not hot:
+        return rows.join(groups, key, "left")
+    least = least_hot(total)
     hot = groups.filter(F.col(size) >= least).withColumn("_hot", F.lit(True))
     split = rows.join(F.broadcast(hot), key, "left")
     cold = split.filter(F.col("_hot").isNull()).select(*rows.columns).join(groups.filter(F.col(size) < least), key, "left")
@@ -147,18 +158,18 @@ def passing(shared, ids: np.ndarray) -> np.ndarray:
 
 
 def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
-    """Connected components by alternating large and small stars: (node, component), component the smallest node that links reach. Nodes without a link to another node have no row. Each round is written to the shared folder; nothing is collected but two counts, which tell when every node that is left hangs on one centre."""
+    """Connected components by alternating large and small stars: (node, component), component the smallest node that links reach. Nodes without a link to another node have no row. Each round is written to the shared folder; nothing is collected but three counts, which tell when every node that is left hangs on one centre, and whether any is hot."""
     pair = lambda df, x, y: df.select(F.least(x, y).alias("v"), F.greatest(x, y).alias("u")).filter("u <> v").distinct()
     now = stage(pair(edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), F.col(a), F.col(b)), "stars")
     for _ in range(rounds):
         ends = now.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("e")).select("e.*")
-        per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
-        total, astray = per.agg(F.coalesce(F.sum("up"), F.lit(0)), F.count_if(F.expr("up > 1 OR up = 1 AND least = 0"))).first()
+        per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"), F.count("*").alias("k"))
+        total, astray, most = per.agg(F.coalesce(F.sum("up"), F.lit(0)), F.count_if(F.expr("up > 1 OR up = 1 AND least = 0")), F.max("k")).first()
         if not astray:
             break
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("k"))
-        large = attach(both.filter("v > u"), low, "u", "k", 2 * total).select(F.col("v").alias("x"), F.col("m").alias("y"))
+        large = attach(both.filter("v > u"), low, "u", "k", 2 * total, hot=most >= least_hot(2 * total)).select(F.col("v").alias("x"), F.col("m").alias("y"))
         large = pair(large, F.col("x"), F.col("y"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.col("v"), F.col("u"))).alias("x"), F.col("m").alias("y"))

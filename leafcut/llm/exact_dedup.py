@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafcut.llm.common import FILTER_MOST, attach, fresh, id_filter, passing, stage
+from leafcut.llm.common import FILTER_MOST, any_hot, attach, fresh, id_filter, passing, stage
 
 MEMTABLE_ROWS = 100_000
 _SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
@@ -132,7 +132,7 @@ def exact_groups(docs: DataFrame, key_bytes: int = 32, most: int = FILTER_MOST)
     alone = rows.filter("NOT hit").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n"), told.alias("text_sha256"))
     rows = rows.filter("hit").drop("hit")
     if mixed.isEmpty():
-        found = attach(rows, hits.select("key", "keep_id", "n"), "key", "n", total).withColumn("text_sha256", told)
+        found = attach(rows, hits.select("key", "keep_id", "n"), "key", "n", total, any_hot(hits, "n", total)).withColumn("text_sha256", told)
     else:
         # Several texts under one key: the full digest leads each row to its text's group, whose bytes were compared above.
         clear = hits.select("key", "keep_id", "n").join(mixed, "key", "left_anti")

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafcut.llm.common import HOT_LEAST, HOT_SHARE, among, attach, components, mix, passing, release, row_id, stage, unstage, without
+from leafcut.llm.common import HOT_LEAST, HOT_SHARE, among, any_hot, attach, components, mix, passing, release, row_id, stage, unstage, without
 
 WORDS = 5
 #: Shingles that a memtable meets in FREQUENT documents are counted, and those with a count of KNOWN come last; this only changes the order, never the result.
@@ -302,19 +302,28 @@ def _segments(shared):
     return run
 
 
-def _split(pairs: DataFrame, side: str, other: str, rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs and rows (by doc, now by side) with one more column to join by: the pairs of a document that has more than HOT_SHARE of them all, such as a hub, are dealt over several tasks, and its rows repeated for each."""
-    least, salt = max(int(total * HOT_SHARE), HOT_LEAST // 4), "s" + side
-    hot = F.broadcast(pairs.groupBy(side).agg(F.count("*").alias("_n")).filter(F.col("_n") > least).select(F.col(side).alias("_k"), F.ceil(F.col("_n") / least).cast("int").alias("_w")))
-    dealt = pairs.join(hot, F.col(side) == F.col("_k"), "left").withColumn(salt, F.coalesce(F.pmod(F.hash(other), "_w"), F.lit(0))).drop("_k", "_w")
-    many = rows.join(hot, F.col("doc") == F.col("_k"), "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce("_w", F.lit(1)) - 1))).drop("_k", "_w")
+def _hot(pairs: DataFrame, total: int) -> dict[str, str]:
+    """For sides a and b of pairs, SQL for the number of tasks that a document's pairs are dealt over: 1, but for the documents, such as hubs, that have more than HOT_SHARE of all pairs; so at most 1 / HOT_SHARE of them a side reach the driver."""
+    least = max(int(total * HOT_SHARE), HOT_LEAST // 4)
+    end = lambda side: F.struct(F.lit(side).alias("side"), F.col(side).alias("k"))
+    many = pairs.select(F.explode(F.array(end("a"), end("b"))).alias("e")).groupBy("e.side", "e.k").count().filter(F.col("count") > least).collect()
+    of = {side: ", ".join(f"{r['k']}L, {-(-r['count'] // least)}" for r in many if r["side"] == side) for side in ("a", "b")}
+    return {side: f"coalesce(element_at(map({known}), {{}}), 1)" if known else "" for side, known in of.items()}
+
+
+def _split(pairs: DataFrame, side: str, other: str, rows: DataFrame, hot: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Pairs and rows (by doc, now by side) with one more column to join by: the pairs of a document with many are dealt over several tasks, as _hot() says, and its rows repeated for each."""
+    salt, wide = "s" + side, hot[side]
+    dealt = pairs.withColumn(salt, F.expr(f"pmod(hash({other}), {wide.format(side)})") if wide else F.lit(0))
+    many = rows.withColumn(salt, F.expr(f"explode(sequence(0, {wide.format('doc')} - 1))") if wide else F.lit(0))
     return dealt, many.withColumnRenamed("doc", side)
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, total: int) -> DataFrame:
     """Of pairs (a, b, na, nb) those with 100 * intersection >= 80 * union: overlaps are counted fragment by fragment and summed per pair."""
-    pairs, one = _split(pairs, "a", "b", segments.withColumnRenamed("els", "ea"), total)
-    pairs, two = _split(pairs, "b", "a", segments.withColumnRenamed("els", "eb"), total)
+    hot = _hot(pairs, total)
+    pairs, one = _split(pairs, "a", "b", segments.withColumnRenamed("els", "ea"), hot)
+    pairs, two = _split(pairs, "b", "a", segments.withColumnRenamed("els", "eb"), hot)
     met = pairs.join(one, ["a", "sa"]).join(two, ["b", "sb", "frag"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ea", "eb")).cast("long").alias("o"))
     return met.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap")).filter("100 * overlap >= 80 * (na + nb - overlap)").select("a", "b", "overlap")
 
@@ -382,7 +391,7 @@ def _near(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             hubs = per.join(main, "g").filter("c <> main").groupBy("g", "gk", "main", "m0").agg(*rest)
             hubs = hubs.select("g", "gk", "main", F.array("m0", *(F.struct(f"r{i}.a", f"r{i}.na", f"r{i}.pa", f"r{i}.ca", F.lit(i).alias("kind")) for i in range(1, HUBS + 1))).alias("hubs"))
             spent = stage(hubs, "hubs")
-            near = attach(now, spent, "g", "gk", n_rows).filter("c <> main").select("doc", "n", "p", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'p', 'na', 'pa')}")
+            near = attach(now, spent, "g", "gk", n_rows, any_hot(spent, "gk", n_rows)).filter("c <> main").select("doc", "n", "p", "c", F.inline("hubs")).filter(f"c <> ca AND {_fits('n', 'p', 'na', 'pa')}")
             near = near.groupBy("doc", "n", "a", "na", "kind").agg(F.count("*").alias("k")).withColumnsRenamed({"a": "x", "na": "nx"})
             near = near.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b"), F.when(F.col("x") < F.col("doc"), F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(F.col("x") < F.col("doc"), F.col("n")).otherwise(F.col("nx")).alias("nb"), "doc", "kind", "k")
             if tried is not None:
@@ -402,8 +411,9 @@ def _near(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         pairs = stage(pairs, "pairs")
         n_pairs = pairs.count()
         unstage(spent)
-        bounds, pa_ = _split(pairs, "a", "b", parts.select("doc", F.col("parts").alias("pa")), n_pairs)
-        bounds, pb_ = _split(bounds, "b", "a", parts.select("doc", F.col("parts").alias("pb")), n_pairs)
+        hot = _hot(pairs, n_pairs)
+        bounds, pa_ = _split(pairs, "a", "b", parts.select("doc", F.col("parts").alias("pa")), hot)
+        bounds, pb_ = _split(bounds, "b", "a", parts.select("doc", F.col("parts").alias("pb")), hot)
         bounds = bounds.join(pa_, ["a", "sa"]).join(pb_, ["b", "sb"])
         near_ = stage(bounds.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_may_link, "a long, b long, na long, nb long"), "near")
         wanted = near_.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
@@ -429,11 +439,13 @@ def _near(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     levels.destroy()
     classes = sets.join(found, sets["node"] == found["node"], "left").select("key", "size", "rep", F.coalesce("component", sets["node"]).alias("c"))
     least = stage(classes.groupBy("c").agg(F.min("rep").alias("component_id"), F.count("*").alias("k")), "least")
-    answers = stage(attach(classes, least, "c", "k", sets.count()).select("key", "size", "component_id"), "answers")
+    n_sets = sets.count()
+    answers = stage(attach(classes, least, "c", "k", n_sets, any_hot(least, "k", n_sets)).select("key", "size", "component_id"), "answers")
     # All that the answers were made from is spent now.
     unstage(*kept, found, least)
     release(spark)
-    full = attach(rows.filter("n > 0"), answers, "key", "size", max(1, rows.count()))
+    n_rows = rows.count()
+    full = attach(rows.filter("n > 0"), answers, "key", "size", n_rows, any_hot(answers, "size", n_rows))
     full = full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "pick")
     return full.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "pick")), [scanned, answers]
 
