@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from leafcut.llm import decontaminate, exact_dedup, language_id, mixing, ngram_join
-from leafcut.llm.common import stage, table
+from leafcut.llm.common import release, stage, table, unstage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written and read again before the next."""
+    """All stages over the documents, each written and read again before the next; what one has read is deleted once the next table is written."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
+        before, docs = docs, stage(step(spark, docs, sf_dir), name)
+        unstage(before)
+        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
