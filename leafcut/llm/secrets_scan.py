@@ -4,6 +4,8 @@ The base finds assignments to sensitive names, access keys and hexadecimal keys.
 string with a letter whose own name (name=value), line or line before speaks of something sensitive, and at the bodies
 under PEM headers: how many bytes does it add to the compressed context, when the compressor already knows common code and
 identifiers? One that hardly compresses is reported as `novel`. Strings of 16 characters or more count; of digits alone, none.
+Of a web address, and of a string that is for the most part words and numbers between `/`, `-`, `_`, `.`, `+` and `~`, only the pieces
+between these signs count, so a key that is made of short words is not found.
 
 Defined results: a null text is empty and has no spans; spans are code points, end exclusive; base spans stay as they are,
 and a novel span overlaps none of them; every row of documents gives a row, repeated ones too; long texts are scanned whole;
@@ -35,6 +37,12 @@ _HINTS = ("pass", "secret", "token", "key", "credential", "bearer", "authoriz",
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
 #: Parts of a candidate: names before `=`, and the value with its padding.
 _PART = re.compile(r"[^=]+(?:=+$)?")
+#: Pieces of an address or identifier, and what is plain in one: a number, or letters of one case with a capital at most in front.
+_PIECE = re.compile(r"[A-Za-z0-9]+=*")
+_PLAIN = re.compile(r"[0-9]+|[A-Z]?[a-z]+|[A-Z]+")
+_UNSAYABLE = re.compile(r"[^aeiouy0-9]{5}|\A[^aeiouy0-9]{4,}\Z", re.I)
+#: The longest plain piece, and the share of plain pieces from which only the others are measured.
+PLAIN_LENGTH, PLAIN_SHARE = 14, 0.6
 #: A PEM header, and its body: up to the next dashes, or without any the lines that look like one.
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----")
 _PEM_LINES = re.compile(r"(?:[ \t]*(?:[A-Za-z0-9+/=]*|[A-Za-z0-9-]+:[^\n]*)[ \t\r]*(?:\n|\Z))*")
@@ -95,8 +103,8 @@ class Scanner:
             return []
         out, bodies = [], self.bodies(text)
         for m in CANDIDATE.finditer(text):
-            before = None
-            for start, s in self.parts(m):
+            before, address = None, m[0].startswith("www.") or m[0].startswith("//") and text.endswith(":", 0, m.start())
+            for start, s in (x for part in self.parts(m) for x in self.pieces(*part, address)):
                 if not re.search("[A-Za-z]", s) or any(a < start + len(s) and start < b for a, _, b in taken):
                     continue
                 if not any(a <= start < b for a, b in bodies) and not SENSITIVE.search(text[m.start() : start]):
@@ -117,6 +125,16 @@ class Scanner:
         long = [(at, x) for at, x in (trim(m.start() + p.start(), p[0]) for p in _PART.finditer(m[0])) if len(x) >= 16]
         return long or [(at, x) for at, x in (trim(m.start(), m[0]),) if len(x) >= 16]
 
+    @staticmethod
+    def pieces(start: int, s: str, address: bool) -> list[tuple[int, str]]:
+        """The whole, or for an address or a string of plain pieces, those of its pieces that are long enough."""
+        found = list(_PIECE.finditer(s))
+        if not address:
+            plain = sum(len(p[0]) for p in found if len(p[0]) <= PLAIN_LENGTH and _PLAIN.fullmatch(p[0]) and not _UNSAYABLE.search(p[0]))
+            if len(found) < 2 or plain < PLAIN_SHARE * sum(len(p[0]) for p in found):
+                return [(start, s)]
+        return [(start + p.start(), p[0]) for p in found if len(p[0]) >= 16]
+
     @staticmethod
     def lines(text: str, start: int) -> str:
         """The ends, of CONTEXT characters, of the line up to start and of the last line before it that is not blank, as far as LINE_BYTES characters show them."""
