@@ -10,6 +10,7 @@ from leafcut.operators import classify, features, redact, reports, scoring, simi
 from leafcut.plans import pipeline
 from leafcut.plans import sql as S
 from leafcut.sources import adapter as A
+from leafcut.sources import readers
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -59,7 +60,7 @@ _FE = S.chain(S.PAGES, S.DETECT, S.FOLD)
 _NB = "NB AS (SELECT f.doc_id, f.page_num, vec FROM FE f LEFT JOIN PV USING (doc_id, page_num) WHERE NOT is_blank)"
 _SC = S.chain(S.PAGES, S.DETECT, S.FOLD, S.VECTORS, _NB, S.flags("NB"), S.SCORES)
 _CL = S.chain(S.PAGES, S.DETECT, S.FOLD, S.VECTORS, _NB, S.flags("NB"), S.SCORES, S.TAXON, S.CLASSES)
-_VS = "VS AS (SELECT 'v' AS doc_id, CAST(vec_id + 1 AS INTEGER) AS page_num, list_transform(embedding, lambda x: x::DOUBLE) AS vec FROM embeddings)"
+_VS = "VS AS (SELECT vec_id // 100 AS doc_id, CAST(vec_id % 100 + 1 AS INTEGER) AS page_num, list_transform(embedding, lambda x: x::DOUBLE) AS vec FROM embeddings)"
 
 
 # Sources, filters and row-local projections.
@@ -73,10 +74,21 @@ def s04_bookmark_map(spark, d):
     return features.bookmark_map(A.toc(spark, d))
 
 
-@query(S.chain(S.TAXON) + "SELECT TT.type_id, count(*) FILTER (WHERE kind = 'anchor') AS anchors, count(*) FILTER (WHERE kind = 'keyword') AS keywords FROM TT LEFT JOIN TP USING (type_id) GROUP BY TT.type_id")
+_TX = """SELECT b.p_brand AS type_id, CAST(row_number() OVER (ORDER BY b.p_brand) - 1 AS INTEGER) AS type_ord, 'standard' AS ingest_mode, count(*) FILTER (WHERE kind = 'anchor') AS anchors, count(*) FILTER (WHERE kind = 'keyword') AS keywords,
+coalesce(string_agg(phrase, '|' ORDER BY phrase) FILTER (WHERE kind = 'anchor'), '') AS anchor_phrases, coalesce(string_agg(phrase, '|' ORDER BY phrase) FILTER (WHERE kind = 'keyword'), '') AS keyword_phrases, 2.0::DOUBLE AS least_hits, 0.82::DOUBLE AS least_confidence
+FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL) b LEFT JOIN (SELECT DISTINCT p_brand, 'anchor' AS kind, p_type AS phrase FROM part WHERE p_type IS NOT NULL UNION ALL SELECT DISTINCT p_brand, 'keyword', p_name FROM part WHERE p_name IS NOT NULL) x USING (p_brand) GROUP BY b.p_brand"""
+
+
+@query(_TX)
 def s05_taxonomy(spark, d):
-    t, p = A.taxonomy_types(spark), A.taxonomy_phrases(spark)
-    return t.select("type_id").join(p.select("type_id", "kind"), "type_id", "left").groupBy("type_id").agg(F.count_if(F.col("kind") == "anchor").alias("anchors"), F.count_if(F.col("kind") == "keyword").alias("keywords"))
+    """A taxonomy of the part table, written as a file and read by its reader: types in order, phrases in order, settings given and by default."""
+    types, phrases, settings = readers.taxonomy(spark, A.written_taxonomy(spark, d))
+    of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("phrase_ord", "phrase"))))
+    said = phrases.groupBy("type_id").agg(of("anchor").alias("a"), of("keyword").alias("k"))
+    text = lambda c: F.coalesce(F.array_join(F.col(f"{c}.phrase"), "|"), F.lit(""))
+    size = lambda c: F.coalesce(F.array_size(c), F.lit(0)).cast("long")
+    numbers = (F.lit(float(settings[x])).alias(n) for x, n in (("keyword_min_hits", "least_hits"), ("prototype_min_confidence", "least_confidence")))
+    return types.join(said, "type_id", "left").select("type_id", "type_ord", "ingest_mode", size("a").alias("anchors"), size("k").alias("keywords"), text("a").alias("anchor_phrases"), text("k").alias("keyword_phrases"), *numbers)
 
 
 @query("SELECT doc_id, coalesce(nullif(trim(CASE WHEN doc_id % 5 = 0 THEN '' ELSE text END), ''), 'document page') AS prompt FROM documents")
@@ -213,14 +225,14 @@ def w05_letterhead_changed(spark, d):
     return _detected(spark, d).select("doc_id", "page_num", "letterhead_changed")
 
 
-@query(S.chain(_VS, S.flags("VS")) + "SELECT page_num, sim FROM FL1")
+@query(S.chain(_VS, S.flags("VS")) + "SELECT doc_id, page_num, sim FROM FL1")
 def w06_n08_similarity_chain(spark, d):
-    return similarity.chain(A.vector_stream(spark, d), "vec").select("page_num", "sim")
+    return similarity.chain(A.vector_stream(spark, d), "vec").select("doc_id", "page_num", "sim")
 
 
-@query(S.chain(_VS, S.flags("VS")) + "SELECT page_num, sim, is_moderate, is_high FROM FL")
+@query(S.chain(_VS, S.flags("VS")) + "SELECT doc_id, page_num, sim, is_moderate, is_high FROM FL")
 def w07_rolling_zflag(spark, d):
-    return similarity.flags(similarity.chain(A.vector_stream(spark, d), "vec")).select("page_num", "sim", "is_moderate", "is_high")
+    return similarity.flags(similarity.chain(A.vector_stream(spark, d), "vec")).select("doc_id", "page_num", "sim", "is_moderate", "is_high")
 
 
 @query(_SC + "SELECT doc_id, page_num, sim, is_moderate, is_high FROM FL")

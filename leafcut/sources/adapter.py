@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,9 @@ TAXONOMY = (
 #: Phrases that the page adapter appends, by remainder.
 PHRASES = ("invoice number 7", "surface", "change order request and invoice", "budget detail", "total fiscal cost", "public notice of hearing", "sheet dwg", "amount due", "nothing here")
 
+#: Vectors of one page stream.
+STREAM = 100
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -63,8 +69,28 @@ def toc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """embeddings as one stream of pages."""
-    return table(spark, sf_dir, "embeddings").select(F.lit("v").alias("doc_id"), (F.col("vec_id") + 1).cast("int").alias("page_num"), F.col("embedding").cast("array<double>").alias("vec"))
+    """embeddings as streams of STREAM pages each, so that there are more streams where there are more vectors."""
+    i = F.col("vec_id")
+    return table(spark, sf_dir, "embeddings").select(F.floor(i / STREAM).alias("doc_id"), (i % STREAM + 1).cast("int").alias("page_num"), F.col("embedding").cast("array<double>").alias("vec"))
+
+
+def written_taxonomy(spark: SparkSession, sf_dir: str) -> str:
+    """Path of a taxonomy file made of part: a type for each brand, its kinds as anchors and its names as keywords, all in order. Distinct rows are grouped, so its size follows the number of brands, kinds and names, not of parts. The file stays in the shared folder."""
+    p = table(spark, sf_dir, "part").filter("p_brand IS NOT NULL")
+    said = lambda kind, c: p.filter(F.col(c).isNotNull()).select("p_brand", F.lit(kind).alias("kind"), F.col(c).alias("phrase")).distinct()
+    of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("phrase"))))
+    types = said("anchor", "p_type").unionByName(said("keyword", "p_name")).unionByName(p.select("p_brand", F.lit("none").alias("kind"), F.lit("").alias("phrase")).distinct())
+    types = types.groupBy("p_brand").agg(of("anchor").alias("anchor_phrases"), of("keyword").alias("keywords"))
+    one = F.struct(F.col("p_brand").alias("id"), F.concat(F.lit("Brand "), "p_brand").alias("label"), F.lit("Goods").alias("category"), "anchor_phrases", "keywords")
+    whole = types.agg(F.array_sort(F.collect_list(one)).alias("document_types")).withColumn("classification", F.create_map(F.lit("keyword_min_hits"), F.lit(2.0)))
+    path = f"{_shared(spark)}/taxonomy-{uuid.uuid4().hex}"
+    whole.select(F.to_json(F.struct("classification", "document_types"))).coalesce(1).write.text(path)
+    return path
+
+
+def _shared(spark: SparkSession) -> str:
+    """The cluster's shared folder; one of our own only where none is set, as in tests."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='leafcut-')}"
 
 
 def page_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import __spark_entry__
 from leafcut.plans import registry
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["s04_bookmark_map", "f05_f06_headers", "f08_letterhead", "n01_l04_lines", "n05_labeled_numbering", "n14_a13_pii_counts", "n16_n19_j08_label_regions", "w02_w03_w04_changes", "w07_rolling_zflag", "d01_numbering", "w10_u01_l01_segments", "a03_centroids", "a08_l03_longest_anchor", "a10_j06_n09_prototypes", "k04_l06_last_prototypes", "a02_cost_by_method", "n20_k08_next_version", "k09_j09_pending_runs"]
+NAMES = ["s04_bookmark_map", "s05_taxonomy", "w06_n08_similarity_chain", "f05_f06_headers", "f08_letterhead", "n01_l04_lines", "n05_labeled_numbering", "n14_a13_pii_counts", "n16_n19_j08_label_regions", "w02_w03_w04_changes", "w07_rolling_zflag", "d01_numbering", "w10_u01_l01_segments", "a03_centroids", "a08_l03_longest_anchor", "a10_j06_n09_prototypes", "k04_l06_last_prototypes", "a02_cost_by_method", "n20_k08_next_version", "k09_j09_pending_runs"]
 
 
 def norm(v):
