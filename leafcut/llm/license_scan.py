@@ -2,7 +2,8 @@
 
 Texts are cut into paragraphs. Every paragraph that holds a known n-gram is scored by a sparse multinomial logistic
 regression over word 1-grams and 2-grams, trained on licence notices and on ordinary uses of their words; `unknown` is a
-class of its own, and a family below the calibrated probability is unknown too. The paragraph's word 3-grams are then
+class of its own. A temperature and the weight of unknown are calibrated on notices and ordinary uses kept out of training;
+a family below the probability CERTAIN is unknown too. The paragraph's word 3-grams are then
 compared with the family's templates: a prediction is confirmed if enough of some template, or of the paragraph, is covered.
 
 Defined results: null and empty texts have no paragraphs; every paragraph with a family gives a row; an unknown one gives a
@@ -43,6 +44,22 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "You should have received a copy of the GNU General Public License along with this program",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+        "SPDX-License-Identifier: GPL-2.0-only",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "You should have received a copy of the GNU Affero General Public License along with this program",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
     "LGPL": (
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
         "Licensed under the GNU Lesser General Public License, version 2.1 or later.",
@@ -61,7 +78,15 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "public-domain": ("This is free and unencumbered software released into the public domain.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"),
     "all-rights-reserved": ("All rights reserved.", "Copyright (c) 2021 The Authors.", "Copyright (c) 2020 The Authors. All rights reserved.", "All rights reserved. No part of this publication may be reproduced, distributed or transmitted in any form without the prior written permission of the publisher."),
 }
-#: Ordinary uses of the same words, for the unknown class.
+#: What families are called in short notices, and the forms of these; fixed values.
+SHORT = {
+    "MIT": ("MIT", "Expat"), "Apache-2.0": ("Apache 2.0", "Apache-2.0", "Apache"), "GPL-3.0": ("GPLv3", "GPL-3.0", "GPL v3", "GPL 3", "GNU GPL version 3", "GNU General Public License v3"), "GPL-2.0": ("GPLv2", "GPL-2.0", "GPL v2", "GPL 2", "GNU GPL version 2", "GNU General Public License v2"),
+    "AGPL-3.0": ("AGPLv3", "AGPL-3.0", "AGPL v3", "GNU AGPL", "GNU Affero General Public"), "LGPL": ("LGPL", "LGPL-2.1", "LGPLv3", "GNU Lesser General Public"), "EPL-2.0": ("EPL", "EPL-2.0", "Eclipse Public"),
+    "BSD": ("BSD", "BSD 3-Clause", "BSD-2-Clause", "3-clause BSD"), "MPL-2.0": ("MPL", "MPL 2.0", "MPL-2.0", "Mozilla Public"), "CC-BY": ("CC BY 4.0", "CC-BY-4.0", "CC BY"), "CC-BY-SA": ("CC BY-SA 4.0", "CC-BY-SA-4.0", "CC BY-SA"),
+    "CC-BY-NC": ("CC BY-NC 4.0", "CC-BY-NC-4.0", "CC BY-NC"), "public-domain": ("CC0", "CC0-1.0", "Unlicense"),
+}
+NOTICES = ("License: {}", "Licence: {}", "License {}", "{} License", "{} licence", "Licensed under {}", "Licensed under the {} license.", "Released under {}.", "Distributed under the {} license", "SPDX-License-Identifier: {}", "This code is {} licensed.", "Lizenz: {}", "Lizenziert unter der {}-Lizenz.", "Licence : {}", "Licencia: {}", "(c) the authors, {} license")
+#: Ordinary uses of the same words, for the unknown class; every fourth is kept out of training.
 ORDINARY = (
     "A driving licence is needed to hire a car in this town.", "She had permission to leave early and went home.", "The warranty on the engine expired last winter.", "Copyright law was debated for three days in parliament.",
     "The version that was released in spring is faster.", "The general public was invited to the free concert.", "Fishing without a license is not permitted at the lake.", "The committee discussed the conditions of the agreement.",
@@ -69,11 +94,16 @@ ORDINARY = (
     "The author of this work lives near the sea.", "Commons are lands that all villagers share.", "The public domain of the palace includes the gardens.", "Attribution of the painting is disputed by experts.",
     "Redistribution of land was the promise of the new party.", "You may not use this entrance after ten.", "A copy of the report was sent to every person in the room.", "The rights of workers are reserved for the next session.",
     "The clause in the contract concerns the sale of goods.", "License plates must be visible from behind.", "The terms of the loan were published by the bank.", "Free entry for children under the age of six.",
+    "An eclipse of the sun was seen by the public in the north.", "The general who led the army was a free man again.", "Wir fahren mit dem Zug und mit dem Bus in die Stadt.", "Sie kam mit ihrer Schwester und ging mit ihm nach Hause.",
+    "Er hat den Brief mit der Hand geschrieben.", "Die Lizenz des Senders wurde nicht verlängert.", "La licence de chasse est valable un an.", "La licencia de obras fue negada por la ciudad.",
+    "A licence: that was all he wanted.", "Version 3 of the plan was worse than version 2.", "The gnu is a large animal of the African plains.", "Mozilla was the name of a lizard in a drawing.",
+    "Students of MIT and of other schools met by the river.", "Licensed premises close at eleven in this county.", "The Apache people lived in the mountains.", "The 2.0 litre engine burns more fuel than the 3.0 one.",
+    "Mit.", "Mit der Zeit.",
 )
 #: An unknown paragraph with one of these gives a row in any case.
-CUES = ("licens", "licenc", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "cc by", "cc-by", "cc0", "public license", "rights reserved", "spdx")
-#: Below this probability a family is unknown: the least at which held-out ordinary uses all stay unknown, with a margin.
-CERTAIN, COVERED = 0.55, 0.5
+CUES = ("licens", "licenc", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "cc by", "cc-by", "cc0", "public license", "rights reserved", "spdx", "lizenz")
+#: Below this probability, after calibration, a family is unknown; the share of ordinary uses kept out that calibration lets be named at most; the share of a template or paragraph that confirms.
+CERTAIN, WRONG, COVERED = 0.55, 0.01, 0.5
 _WORD = r"[a-z0-9]+"
 
 
@@ -85,40 +115,67 @@ def ngrams(w: list[str]) -> set[str]:
     return {*w, *(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))}
 
 
-@functools.cache
-def trained(seed: int = 3, rounds: int = 250, decay: float = 0.002) -> tuple[tuple[str, ...], dict[str, tuple[float, ...]], tuple[float, ...]]:
-    """Families, weights by n-gram, and biases. Notices are also learned cut short, with other words around, and mixed up for the unknown class."""
-    rng = random.Random(seed)
-    names = (*sorted(TEMPLATES), UNKNOWN)
-    filler = words(" ".join(ORDINARY))
-    data: list[tuple[set[str], int]] = []
-    for k, name in enumerate(names[:-1]):
+def uses(rng: random.Random) -> tuple[list[tuple[list[str], str]], list[tuple[list[str], str]]]:
+    """(words, family) for training, and such kept out of it: notices cut short and with other words around, short notices, ordinary sentences and mixed words. What is kept out has forms or sentences of its own."""
+    learn, apart = [], []
+    plain = [words(t) for k, t in enumerate(ORDINARY) if k % 4 != 3]
+    filler, every = [x for w in plain for x in w], [x for ts in TEMPLATES.values() for t in ts for x in words(t)]
+
+    def around(w: list[str]) -> list[str]:
+        noise = [rng.choice(filler) for _ in range(rng.choice((0, 0, 0, 3, 8)))]
+        return w + noise if rng.random() < 0.5 else noise + w
+
+    for name in sorted(TEMPLATES):
         for t in TEMPLATES[name]:
             w = words(t)
-            for _ in range(12):
+            for j in range(15):
                 a = rng.randint(0, max(0, len(w) // 4)) if len(w) > 8 else 0
                 b = rng.randint(min(len(w), max(5, len(w) // 2)), len(w))
-                noise = [rng.choice(filler) for _ in range(rng.choice((0, 0, 0, 3, 8)))]
-                data.append((ngrams(w[a:b] + noise if rng.random() < 0.5 else noise + w[a:b]), k))
-    every = [x for ts in TEMPLATES.values() for t in ts for x in words(t)]
-    for t in ORDINARY:
-        data += [(ngrams(words(t)), len(names) - 1)] * 6
-    for _ in range(300):
-        data.append((ngrams([rng.choice(filler) if rng.random() < 0.7 else rng.choice(every) for _ in range(rng.randint(3, 25))]), len(names) - 1))
-    vocabulary = {g: i for i, g in enumerate(sorted({g for t in TEMPLATES.values() for x in t for g in ngrams(words(x))}))}
-    x = np.zeros((len(data), len(vocabulary) + 1))
-    for i, (g, _) in enumerate(data):
-        hit = [vocabulary[v] for v in g if v in vocabulary]
-        x[i, hit] = 1 / max(1, len(g)) ** 0.5
-        x[i, -1] = 1
-    y = np.eye(len(names))[[k for _, k in data]]
+                (apart if j >= 12 else learn).append((around(w[a:b]), name))
+        for i, short in enumerate(SHORT.get(name, ())):
+            for j, form in enumerate(NOTICES):
+                (apart if (i + j) % 4 == 3 else learn).append((around(words(form.format(short))), name))
+    for k, t in enumerate(ORDINARY):
+        (apart if k % 4 == 3 else learn).extend([(words(t), UNKNOWN)] * (1 if k % 4 == 3 else 6))
+    for k in range(500):
+        w = [rng.choice(filler) if rng.random() < 0.7 else rng.choice(every) for _ in range(rng.randint(3, 25))]
+        (apart if k % 4 == 3 else learn).append((w, UNKNOWN))
+    return learn, apart
+
+
+@functools.cache
+def trained(seed: int = 3, rounds: int = 250, decay: float = 0.002) -> tuple[tuple[str, ...], dict[str, tuple[float, ...]], tuple[float, ...]]:
+    """Families, weights by n-gram, and biases, with the temperature and the weight of unknown that calibration finds: the temperature of greatest likelihood on what was kept out, then as little more for unknown as leaves at most WRONG of its ordinary uses a family."""
+    names = (*sorted(TEMPLATES), UNKNOWN)
+    learn, apart = uses(random.Random(seed))
+    called = {x for ts in SHORT.values() for t in ts for x in words(t)}
+    known = {g for t in TEMPLATES.values() for x in t for g in ngrams(words(x))}
+    known |= {g for w, f in learn if f != UNKNOWN for g in ngrams(w) if any(x.startswith(("licen", "lizen")) or x in called for x in g.split()) and all(x.startswith(("licen", "lizen")) or x in called for x in g.split())}
+    vocabulary = {g: i for i, g in enumerate(sorted(known))}
+
+    def rows(uses: list[tuple[list[str], str]]) -> tuple[np.ndarray, np.ndarray]:
+        x = np.zeros((len(uses), len(vocabulary) + 1))
+        for i, (w, _) in enumerate(uses):
+            g = ngrams(w)
+            x[i, [vocabulary[v] for v in g if v in vocabulary]] = 1 / max(1, len(g)) ** 0.5
+            x[i, -1] = 1
+        return x, np.eye(len(names))[[names.index(f) for _, f in uses]]
+
+    def share(z: np.ndarray) -> np.ndarray:
+        p = np.exp(z - z.max(1, keepdims=True))
+        return p / p.sum(1, keepdims=True)
+
+    x, y = rows(learn)
     w, scale = np.zeros((x.shape[1], len(names))), np.full((x.shape[1], len(names)), 1e-8)
     for _ in range(rounds):
-        z = x @ w
-        p = np.exp(z - z.max(1, keepdims=True))
-        g = x.T @ (p / p.sum(1, keepdims=True) - y) / len(data) + decay * np.r_[w[:-1], np.zeros((1, len(names)))] / 100
+        g = x.T @ (share(x @ w) - y) / len(learn) + decay * np.r_[w[:-1], np.zeros((1, len(names)))] / 100
         scale += g**2
         w -= 0.5 * g / np.sqrt(scale)
+    x, y = rows(apart)
+    w /= min((0.3 + 0.05 * k for k in range(40)), key=lambda t: -np.log((share(x @ w / t) * y).sum(1)).sum())
+    plain = x[y[:, -1] == 1]
+    while (share(plain @ w)[:, :-1].max(1) >= CERTAIN).mean() > WRONG:
+        w[-1, -1] += 0.05
     return names, {v: tuple(w[i]) for v, i in vocabulary.items()}, tuple(w[-1])
 
 
