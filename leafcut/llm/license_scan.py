@@ -102,7 +102,7 @@ ORDINARY = (
 )
 #: An unknown paragraph with one of these gives a row in any case.
 CUES = ("licens", "licenc", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "cc by", "cc-by", "cc0", "public license", "rights reserved", "spdx", "lizenz")
-#: Below this probability, after calibration, a family is unknown; the share of ordinary uses kept out that calibration lets be named at most; the share of a template or paragraph that confirms.
+#: Below this probability, after calibration, a family is unknown; the share of ordinary uses kept out that calibration lets be named, or speak for families, at most; the share of a template or paragraph that confirms.
 CERTAIN, WRONG, COVERED = 0.55, 0.01, 0.5
 _WORD = r"[a-z0-9]+"
 
@@ -138,7 +138,7 @@ def uses(rng: random.Random) -> tuple[list[tuple[list[str], str]], list[tuple[li
     for k, t in enumerate(ORDINARY):
         (apart if k % 4 == 3 else learn).extend([(words(t), UNKNOWN)] * (1 if k % 4 == 3 else 6))
     for k in range(500):
-        w = [rng.choice(filler) if rng.random() < 0.7 else rng.choice(every) for _ in range(rng.randint(3, 25))]
+        w = [rng.choice(filler) if rng.random() < 0.7 else rng.choice(every) for _ in range(rng.choice((1, 2, *(rng.randint(3, 25) for _ in range(6)))))]
         (apart if k % 4 == 3 else learn).append((w, UNKNOWN))
     return learn, apart
 
@@ -179,6 +179,20 @@ def trained(seed: int = 3, rounds: int = 250, decay: float = 0.002) -> tuple[tup
     return names, {v: tuple(w[i]) for v, i in vocabulary.items()}, tuple(w[-1])
 
 
+@functools.cache
+def speaking(seed: int = 3) -> float:
+    """The share that all families together have in an unknown paragraph that speaks for them: more than all but WRONG of the ordinary uses kept out of training give them."""
+    names, weights, bias = trained(seed)
+    shares = []
+    for w, family in uses(random.Random(seed))[1]:
+        if family == UNKNOWN:
+            g = ngrams(w)
+            z = np.array(bias) + sum((np.array(weights[v]) for v in g if v in weights), np.zeros(len(names))) / max(1, len(g)) ** 0.5
+            p = np.exp(z - z.max())
+            shares.append(1 - float(p[-1] / p.sum()))
+    return float(np.quantile(shares, 1 - WRONG))
+
+
 def _constant(spark, rows: list, schema: str) -> DataFrame:
     """A table of fixed size that is part of the plan."""
     return spark.sql("SELECT 1 AS _one").select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
@@ -221,9 +235,7 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     total = F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     best = F.get(F.array(*map(F.lit, names)), (F.array_position("z", F.col("top")) - 1).cast("int"))
     told = each.select("doc_id", "par", "sig", "cue", "m", "t3", best.alias("best"), F.explode(F.array(total)).alias("total"), (F.get("z", F.lit(k - 1)) - F.col("top")).alias("un"))
-    # A text without known n-grams gives all families together this share; more than that speaks for them.
-    base = 1 - float(np.exp(bias[-1]) / np.exp(np.array(bias)).sum())
-    told = told.select("doc_id", "par", "sig", "m", "t3", F.when(1 / F.col("total") >= CERTAIN, F.col("best")).otherwise(UNKNOWN).alias("family"), (1 / F.col("total")).alias("probability"), (F.col("cue") | (1 - F.exp("un") / F.col("total") > base + 1e-9)).alias("speaks"))
+    told = told.select("doc_id", "par", "sig", "m", "t3", F.when(1 / F.col("total") >= CERTAIN, F.col("best")).otherwise(UNKNOWN).alias("family"), (1 / F.col("total")).alias("probability"), (F.col("cue") | (1 - F.exp("un") / F.col("total") > speaking())).alias("speaks"))
     scored = told.filter((F.col("family") != UNKNOWN) | F.col("speaks") | (F.size("t3") > 0)).distinct()
     row = ["doc_id", "par", "sig", "family", "probability", "speaks"]
     hits = scored.select(*row, "m", F.explode_outer("t3").alias("t3")).join(F.broadcast(compare), "t3", "left").groupBy(*row, "m", "fam", "tid", "size").agg(F.count("*").alias("hit"))
