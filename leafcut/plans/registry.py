@@ -60,7 +60,7 @@ _FE = S.chain(S.PAGES, S.DETECT, S.FOLD)
 _NB = "NB AS (SELECT f.doc_id, f.page_num, vec FROM FE f LEFT JOIN PV USING (doc_id, page_num) WHERE NOT is_blank)"
 _SC = S.chain(S.PAGES, S.DETECT, S.FOLD, S.VECTORS, _NB, S.flags("NB"), S.SCORES)
 _CL = S.chain(S.PAGES, S.DETECT, S.FOLD, S.VECTORS, _NB, S.flags("NB"), S.SCORES, S.TAXON, S.CLASSES)
-_VS = "VS AS (SELECT vec_id // 100 AS doc_id, CAST(vec_id % 100 + 1 AS INTEGER) AS page_num, list_transform(embedding, lambda x: x::DOUBLE) AS vec FROM embeddings)"
+_VS = "VS AS (SELECT 'v' AS doc_id, CAST(vec_id + 1 AS INTEGER) AS page_num, list_transform(embedding, lambda x: x::DOUBLE) AS vec FROM embeddings)"
 
 
 # Sources, filters and row-local projections.
@@ -225,14 +225,14 @@ def w05_letterhead_changed(spark, d):
     return _detected(spark, d).select("doc_id", "page_num", "letterhead_changed")
 
 
-@query(S.chain(_VS, S.flags("VS")) + "SELECT doc_id, page_num, sim FROM FL1")
+@query(S.chain(_VS, S.flags("VS")) + "SELECT page_num, sim FROM FL1")
 def w06_n08_similarity_chain(spark, d):
-    return similarity.chain(A.vector_stream(spark, d), "vec").select("doc_id", "page_num", "sim")
+    return similarity.long_chain(A.vector_stream(spark, d), "vec").select("page_num", "sim")
 
 
-@query(S.chain(_VS, S.flags("VS")) + "SELECT doc_id, page_num, sim, is_moderate, is_high FROM FL")
+@query(S.chain(_VS, S.flags("VS")) + "SELECT page_num, sim, is_moderate, is_high FROM FL")
 def w07_rolling_zflag(spark, d):
-    return similarity.flags(similarity.chain(A.vector_stream(spark, d), "vec")).select("doc_id", "page_num", "sim", "is_moderate", "is_high")
+    return similarity.flags(similarity.long_chain(A.vector_stream(spark, d), "vec")).select("page_num", "sim", "is_moderate", "is_high")
 
 
 @query(_SC + "SELECT doc_id, page_num, sim, is_moderate, is_high FROM FL")
