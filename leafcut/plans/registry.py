@@ -232,7 +232,7 @@ def w06_n08_similarity_chain(spark, d):
 
 @query(S.chain(_VS, S.flags("VS")) + "SELECT page_num, sim, is_moderate, is_high FROM FL")
 def w07_rolling_zflag(spark, d):
-    return similarity.flags(similarity.long_chain(A.vector_stream(spark, d), "vec")).select("page_num", "sim", "is_moderate", "is_high")
+    return similarity.long_flags(similarity.long_chain(A.vector_stream(spark, d), "vec")).select("page_num", "sim", "is_moderate", "is_high")
 
 
 @query(_SC + "SELECT doc_id, page_num, sim, is_moderate, is_high FROM FL")
