@@ -9,7 +9,6 @@ from __future__ import annotations
 import difflib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -55,9 +54,10 @@ def reaches(a: str, b: str, limit: float) -> bool:
     return 2.0 * matched / total >= limit
 
 
-@F.pandas_udf(BooleanType())
-def _reaches(cur: pd.Series, prev: pd.Series) -> pd.Series:
-    return pd.Series([None if a is None or b is None else reaches(a, b, DUPLICATE_RATIO) for a, b in zip(cur, prev, strict=True)], dtype=object)
+# Texts go to Python some rows at a time: a batch of thousands of long texts would fill a worker.
+@F.udf(BooleanType(), useArrow=False)
+def _reaches(cur: str | None, prev: str | None) -> bool | None:
+    return None if cur is None or prev is None else reaches(cur, prev, DUPLICATE_RATIO)
 
 
 def ratio_bound(a: Column, b: Column) -> Column:
@@ -68,10 +68,14 @@ def ratio_bound(a: Column, b: Column) -> Column:
     return F.aggregate(F.array(*map(F.lit, COUNTED)), start, step, lambda s: 2.0 * (s["both"] + F.least(s["a"], s["b"])) / (F.length(a) + F.length(b)))
 
 
+def long_alike(a: Column, b: Column) -> Column:
+    """Whether two lengths leave open if texts of these lengths count as duplicates."""
+    return (a > DUPLICATE_CHARS) & (b > DUPLICATE_CHARS) & (2 * F.least(a, b) >= DUPLICATE_RATIO * (a + b))
+
+
 def undecided(cur: Column, prev: Column) -> Column:
     """Whether lengths and counts leave open if two differing page texts count as duplicates."""
-    a, b = F.length(cur), F.length(prev)
-    near = (a > DUPLICATE_CHARS) & (b > DUPLICATE_CHARS) & (cur != prev) & (2 * F.least(a, b) >= DUPLICATE_RATIO * (a + b))
+    near = long_alike(F.length(cur), F.length(prev)) & (cur != prev)
     return F.coalesce(F.when(near, ratio_bound(cur, prev) >= DUPLICATE_RATIO), F.lit(False))
 
 
@@ -92,17 +96,13 @@ def capped(pages: DataFrame, most: int | None) -> DataFrame:
     return pages if most is None else pages.filter(F.col("page_num") <= most)
 
 
-def row_local(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
-    """Pages with the bookmark of each and every signal that a page tells by itself; pages may be a stream."""
-    if toc is None:
-        marked = pages.withColumns({"title": F.lit(None).cast("string"), "level": F.lit(None).cast("int")})
-    else:
-        marked = pages.join(bookmark_map(toc), ["doc_id", "page_num"], "left")
+def own_signals(pages: DataFrame) -> DataFrame:
+    """Pages with every signal that a page's text, bands and shape tell by themselves."""
     t, w, h = F.coalesce("text", F.lit("")), F.col("width"), F.col("height")
     d = F.col("drawing_count")
     # Lines are columns of their own, so that each text is cut once however many detectors read it.
     cut = {("", ""): "_lines", **{k: f"_lines_{i}" for i, k in enumerate(text.band_lines(F.col("bands")))}}
-    marked = marked.withColumns({cut["", ""]: text.lines(t), **{cut[k]: v for k, v in text.band_lines(F.col("bands")).items()}})
+    marked = pages.withColumns({cut["", ""]: text.lines(t), **{cut[k]: v for k, v in text.band_lines(F.col("bands")).items()}})
     own, ls = F.col("_lines"), {k: F.col(v) for k, v in cut.items()}
     return marked.withColumns({
         "is_blank": layout.is_blank(t, F.col("image_area"), w, h, d), "format_label": layout.page_format(w, h), "title_anchor": text.title_anchor(t, own), "correspondence_labels": text.correspondence(t, own),
@@ -111,20 +111,49 @@ def row_local(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
     }).drop(*cut.values())
 
 
+def marked(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
+    """Pages with the bookmark of each."""
+    if toc is None:
+        return pages.withColumns({"title": F.lit(None).cast("string"), "level": F.lit(None).cast("int")})
+    return pages.join(bookmark_map(toc), ["doc_id", "page_num"], "left")
+
+
+def row_local(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
+    """Pages with the bookmark of each and every signal that a page tells by itself; pages may be a stream."""
+    return own_signals(marked(pages, toc))
+
+
+def digested(pages: DataFrame, *more: str) -> DataFrame:
+    """Length and SHA-256 of each page's text, which tell equal texts and texts too unlike in length without carrying them."""
+    t = F.coalesce("text", F.lit(""))
+    return pages.select("doc_id", "page_num", *more, F.length(t).alias("_chars"), F.unhex(F.sha2(t, 256)).alias("_sha"))
+
+
+def twins(pages: DataFrame) -> DataFrame:
+    """(doc_id, page_num, _twin) of pages whose text differs from the one before, but little enough to count as a duplicate. Only pages that lengths leave open fetch texts, each by its own key, so no document's texts meet in one task."""
+    before = {f"_prev_{c}": F.lag(c).over(by_page()) for c in ("page_num", "_chars", "_sha")}
+    open_ = digested(pages).withColumns(before).filter(long_alike(F.col("_chars"), F.col("_prev__chars")) & (F.col("_sha") != F.col("_prev__sha"))).select("doc_id", "page_num", "_prev_page_num")
+    texts = pages.select("doc_id", "page_num", "text")
+    both = open_.join(texts.withColumnRenamed("text", "_cur"), ["doc_id", "page_num"]).join(texts.select("doc_id", F.col("page_num").alias("_prev_page_num"), F.col("text").alias("_prev")), ["doc_id", "_prev_page_num"])
+    return both.filter(undecided(F.col("_cur"), F.col("_prev"))).filter(_reaches("_cur", "_prev")).select("doc_id", "page_num", F.lit(True).alias("_twin"))
+
+
 def detected(pages: DataFrame, toc: DataFrame | None = None) -> DataFrame:
-    """Row-local signals and those of the page before; the columns that the fold needs among them."""
-    local = row_local(pages, toc)
-    t, d = F.coalesce("text", F.lit("")), F.col("drawing_count")
-    prev_d, prev_t = F.lag("drawing_count").over(by_page()), F.lag(t).over(by_page())
+    """Row-local signals and those of the page before; the columns that the fold needs among them. Texts and bands stay behind: what goes through joins and windows is as long as its signals."""
+    own = own_signals(pages)
+    short = digested(own, *(c for c in own.columns if c not in ("doc_id", "page_num", "text", "bands")))
+    local = marked(short, toc).join(twins(pages), ["doc_id", "page_num"], "left")
+    d = F.col("drawing_count")
+    prev_d = F.lag("drawing_count").over(by_page())
     back = local.withColumns({
-        "prev_label": F.lag("format_label").over(by_page()), "prev_text": prev_t,
+        "prev_label": F.lag("format_label").over(by_page()), "_equal": (F.col("_chars") > DUPLICATE_CHARS) & (F.col("_sha") == F.lag("_sha").over(by_page())),
         "drawing_spike": F.coalesce((prev_d > 0) & (d > SPIKE_FACTOR * prev_d) & (d > SPIKE_LEAST), F.lit(False)),
         "drawing_density_drop": F.coalesce((prev_d > SPIKE_LEAST) & (d < prev_d / SPIKE_FACTOR), F.lit(False)),
         "prev_block": F.last("block", ignorenulls=True).over(by_page().rowsBetween(Window.unboundedPreceding, -1)),
     })
-    same = similar_enough(t, F.col("prev_text"))
+    same = F.coalesce(F.col("_equal"), F.lit(False)) | F.coalesce("_twin", F.lit(False))
     changed = F.coalesce(text.jaccard(text.tokens(F.col("block")), text.tokens(F.col("prev_block"))) < LETTERHEAD_SAME, F.lit(False))
-    return back.withColumns({"is_duplicate_of_prev": same, "letterhead_changed": changed}).drop("prev_text", "prev_block")
+    return back.withColumns({"is_duplicate_of_prev": same, "letterhead_changed": changed}).drop("_chars", "_sha", "_equal", "_twin", "prev_block")
 
 
 FOLD_IN = ("doc_id", "page_num", "is_duplicate_of_prev", "format_label", "prev_label", "drawing_spike", "title", "level", "has_anchor", "cur", "total", "region", "kind", "bare")
@@ -178,7 +207,7 @@ def with_state(rows: DataFrame) -> DataFrame:
         "doc_id", "page_num", "is_duplicate_of_prev", "format_label", "prev_label", "drawing_spike", "title", "level",
         (F.col("title_anchor").isNotNull() | F.col("correspondence_labels").isNotNull()).alias("has_anchor"), "labeled.cur", "labeled.total", "labeled.region", "labeled.kind", "bare",
     ]
-    kept = [c for c in rows.columns if c not in ("text", "bands", "block", "labeled", "bare", "prev_label")]
+    kept = [c for c in rows.columns if c not in ("block", "labeled", "bare", "prev_label")]
     both = rows.select(*kept, F.struct(*state_in).alias("_in"))
     names = [*kept, *(x.split()[0] for x in STATE_OUT.split(", "))]
     kinds = (pa.int64(), pa.int64(), *[pa.bool_()] * 7)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from leafcut.operators import places
+
 #: An own small taxonomy: (type, label, category, ingest mode, anchors, keywords). Real ones are read from JSON.
 TAXONOMY = (
     ("invoice", "Invoice", "Financial", "standard", ("invoice number", "invoice"), ("amount due", "remit", "total")),
@@ -32,10 +34,9 @@ def _sql(spark: SparkSession, sf_dir: str, query: str, *tables: str) -> DataFram
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as page streams: one stream a source, in order of doc_id."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    d = places.numbered(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "source", "doc_id", "page_num")
     i = F.col("i")
-    page = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    d = d.select(F.col("source").alias("doc_id"), page.alias("page_num"), F.col("doc_id").alias("i"), F.col("text").alias("own"))
+    d = d.select(F.col("source").alias("doc_id"), F.col("page_num").cast("int").alias("page_num"), F.col("doc_id").alias("i"), F.col("text").alias("own"))
     p = F.col("page_num")
     nl = F.lit("\n")
     size = lambda ws: F.get(F.array(*(F.lit(float(x)) for x in ws)), (i % 5).cast("int"))
