@@ -93,32 +93,30 @@ def matches(segs: DataFrame, phrases: DataFrame, kind: str, column: str) -> Data
     """(doc_id, segment_index, type_ord, type_id, phrase_ord, phrase) of the listed phrases that a text column contains."""
     known = listed(phrases)
 
-    @F.pandas_udf("array<struct<type_ord: int, type_id: string, phrase_ord: int, phrase: string>>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"type_ord": o, "type_id": t, "phrase_ord": k, "phrase": p} for _, o, t, k, p in known.found(x, kind)] for x in texts])
+    def of(t: str) -> list[tuple]:
+        return [r[1:] for r in known.found(t, kind)]
 
-    return segs.select("doc_id", "segment_index", F.explode(of(_low(column))).alias("m")).select("doc_id", "segment_index", "m.*")
+    return segs.select("doc_id", "segment_index", F.explode(F.udf(of, "array<struct<type_ord: int, type_id: string, phrase_ord: int, phrase: string>>", useArrow=False)(_low(column))).alias("m")).select("doc_id", "segment_index", "m.*")
 
 
+# Texts go to Python some rows at a time: a batch of thousands of long texts would fill a worker.
 def longest_anchor(column: str, known: Phrases) -> Column:
     """(type_id, phrase): the longest anchor phrase that a text column contains; both null if there is none."""
-
-    @F.pandas_udf("type_id string, phrase string")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([known.longest(x) for x in texts], columns=["type_id", "phrase"], dtype=object)
-
-    return of(_low(column))
+    return F.udf(known.longest, "type_id string, phrase string", useArrow=False)(_low(column))
 
 
 def most_keywords(column: str, known: Phrases) -> Column:
     """(type_id, hits): the type with most distinct keywords in a text column; both null if there is none."""
+    return F.udf(known.most, "type_id string, hits long", useArrow=False)(_low(column))
+
+
+def phrase_answers(titles: str, body: str, known: Phrases) -> Column:
+    """What the phrases tell of a segment: the longest anchor of its titles (a) and of its body (b), and the type with most keywords in both (k). Each text goes to Python once."""
 
-    @F.pandas_udf("type_id string, hits long")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        name, hits = zip(*(known.most(x) for x in texts), strict=True) if len(texts) else ((), ())
-        return pd.DataFrame({"type_id": pd.Series(name, dtype=object), "hits": pd.Series(hits, dtype="Int64")})
+    def of(t: str, b: str) -> tuple:
+        return *known.longest(t), *known.longest(b), *known.most(f"{t} {b}")
 
-    return of(_low(column))
+    return F.udf(of, "a_type_id string, a_phrase string, b_type_id string, b_phrase string, k_type_id string, k_hits long", useArrow=False)(_low(titles), _low(body))
 
 
 def _once(value: Column, f) -> Column:
@@ -207,9 +205,7 @@ def classify(segs: DataFrame, types: DataFrame, phrases: DataFrame, prototypes:
     """settings: those of the taxonomy, see SETTINGS. document_type_id, confidence, method, category, label, special_tags and whether the segment may teach a prototype. The first pass that answers decides."""
     key, limit = ["doc_id", "segment_index"], {**SETTINGS, **(settings or {})}
     known = listed(phrases)
-    s = segs.withColumn("both", F.concat_ws(" ", "titles", "body"))
-    s = s.withColumns({"a": longest_anchor("titles", known), "b": longest_anchor("body", known), "k": most_keywords("both", known)})
-    s = s.select(*segs.columns, *(F.col(f"{x}.{f}").alias(f"{x}_{f}") for x, f in (("a", "type_id"), ("a", "phrase"), ("b", "type_id"), ("b", "phrase"), ("k", "type_id"), ("k", "hits"))))
+    s = segs.withColumn("_said", phrase_answers("titles", "body", known)).select(*segs.columns, "_said.*")
     none = lambda kind: F.lit(None).cast(kind)
     s = s.join(cents.select(*key, "centroid"), key, "left") if cents is not None else s.withColumn("centroid", none("array<double>"))
     if prototypes is not None and cents is not None:

@@ -3,7 +3,7 @@
 import difflib
 import random
 
-from leafcut.operators import features
+from leafcut.operators import classify, features
 from leafcut.sources import adapter
 
 D = "/root/testdata/sf0.001"
@@ -19,6 +19,15 @@ def test_signals_leave_texts_behind(spark):
     assert "ArrowEvalPython" not in _plan(det)
 
 
+def test_phrases_take_each_text_once_in_small_batches(spark):
+    segs = spark.createDataFrame([("d", 1, "Total", "the Invoice number 7", 0.0)], "doc_id string, segment_index int, titles string, body string, drawing_share double")
+    known = classify.listed(adapter.taxonomy_phrases(spark))
+    out = segs.select(classify.phrase_answers("titles", "body", known).alias("x"))
+    assert "ArrowEvalPython" not in _plan(out)
+    t, b = "total", "the invoice number 7"
+    assert tuple(out.first().x) == (*known.longest(t), *known.longest(b), *known.most(f"{t} {b}")) == (None, None, "invoice", "invoice number", "invoice", 1)
+
+
 def test_duplicates_over_gaps_and_missing_texts(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
