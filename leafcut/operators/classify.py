@@ -28,11 +28,12 @@ SETTINGS = {"prototype_min_confidence": PROTOTYPE_HIGH, "low_confidence_threshol
 
 def segment_inputs(features: DataFrame, index: DataFrame, texts: DataFrame) -> DataFrame:
     """One row a segment: titles, body (the first three texted pages that are not blank), drawing share, tables, first page's anchor. texts: doc_id, page_num, text."""
-    rows = features.join(index, ["doc_id", "page_num"]).join(texts.select("doc_id", "page_num", F.col("text").alias("native_text")), ["doc_id", "page_num"], "left")
-    # Only the first three texted pages of a segment are carried on, so no group of texts is unbounded.
-    texted = ~F.col("is_blank") & (F.length(F.coalesce("native_text", F.lit(""))) > 0)
+    rows = features.join(index, ["doc_id", "page_num"])
+    # Only the first three texted pages of a segment are carried on, so no group of texts is unbounded. Which they are is told without the texts.
+    texted = ~F.col("is_blank") & (F.col("text_char_count") > 0)
     place = F.count_if(texted).over(Window.partitionBy("doc_id", "segment_index").orderBy("page_num"))
-    rows = rows.withColumn("body", F.when(texted & (place <= 3), F.col("native_text")))
+    rows = rows.withColumn("_says", texted & (place <= 3)).join(texts.select("doc_id", "page_num", F.col("text").alias("native_text")), ["doc_id", "page_num"], "left")
+    rows = rows.withColumn("body", F.when(F.col("_says"), F.col("native_text")))
     ordered = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("page_num", F.col(c).alias("t"))))), lambda x: x["t"]), " ")
     return rows.groupBy("doc_id", "segment_index").agg(
         F.min("page_num").alias("start_page"), F.max("page_num").alias("end_page"), ordered("bookmark_title").alias("titles"), ordered("body").alias("body"), F.min_by("title_anchor", "page_num").alias("first_anchor"),
